@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from episodica.checks.registry import query, rounded
-from episodica.checks.tables import COUNT_SQL, OFFENSES, STUDY, ZERO_SQL, cohort
+from episodica.checks.tables import COUNT_SQL, OFFENSES, STUDY, ZERO_SQL, cohort, kept_cohort
 from episodica.operators import encoding, splits
+from episodica.operators.evaluation import base_rate
+from episodica.operators.ordering import add_position
+from episodica.session import cut_lineage
 from episodica.sources import driver_tables as D
 
 CATEGORICAL = ["gender", "race", "ethnic"]
@@ -19,7 +22,7 @@ COUNTED = ["offense_code", "county_code"]
 
 GENDERS = ("FEMALE", "MALE")
 RACES = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
-REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
+REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE")
 
 
 def dummy_sql(column: str, values) -> str:
@@ -28,9 +31,9 @@ def dummy_sql(column: str, values) -> str:
 
 def split_features(spark, sf_dir):
     """Cohort rows per split side and their long features."""
-    rows = splits.temporal_split(cohort(spark, sf_dir), "release_date", STUDY.splits)
+    rows = cut_lineage(splits.temporal_split(cohort(spark, sf_dir), "release_date", STUDY.splits))
     features = encoding.features_long(rows, CATEGORICAL, NUMERIC, D.component(spark, sf_dir), COUNTED)
-    return rows, features
+    return rows, cut_lineage(features)
 
 
 @query(
@@ -68,7 +71,7 @@ EDGE_SQL = ", ".join(f"quantile_cont(age_at_episode, {i / 10}) AS e{i}" for i in
         FROM cohort, (SELECT {EDGE_SQL} FROM cohort)""",
 )
 def qcut_bins(spark, sf_dir):
-    binned = encoding.equal_frequency_bins(cohort(spark, sf_dir), "age_at_episode", 10)
+    binned = encoding.equal_frequency_bins(kept_cohort(spark, sf_dir), "age_at_episode", 10)
     return rounded(
         binned.select("person_id", "episode_id", "age_at_episode_bin", "age_at_episode_lo", "age_at_episode_hi"),
         "age_at_episode_lo",
@@ -136,8 +139,6 @@ def feature_intersect(spark, sf_dir):
        FROM shared_features""",
 )
 def feature_list(spark, sf_dir):
-    from episodica.operators.ordering import add_position
-
     shared = encoding.common_features(split_features(spark, sf_dir)[1])
     return add_position(shared, ["split_id"], [F.col("feature")], "position")
 
@@ -161,9 +162,11 @@ FILL_SQL = ", ".join(
         GROUP BY f.split_id, f.side, f.feature""",
 )
 def preprocess(spark, sf_dir):
-    rows = splits.temporal_split(cohort(spark, sf_dir), "release_date", STUDY.splits)
+    rows = cut_lineage(splits.temporal_split(cohort(spark, sf_dir), "release_date", STUDY.splits))
     filled = encoding.impute_by_split(rows, IMPUTED)
-    features = encoding.features_long(filled, CATEGORICAL, NUMERIC, D.component(spark, sf_dir), COUNTED)
+    features = cut_lineage(
+        encoding.features_long(filled, CATEGORICAL, NUMERIC, D.component(spark, sf_dir), COUNTED)
+    )
     # Totals first: a feature that most rows have is summed before the join.
     totals = features.groupBy("split_id", "side", "feature").agg(
         F.count("*").alias("n"), F.sum("value").alias("total")
@@ -205,7 +208,5 @@ def random_split(spark, sf_dir):
        FROM split_rows GROUP BY split_id, side""",
 )
 def baseline_rate(spark, sf_dir):
-    from episodica.operators.evaluation import base_rate
-
     rows = splits.temporal_split(cohort(spark, sf_dir), "release_date", STUDY.splits)
     return rounded(base_rate(rows, ["split_id", "side"]), "base_rate")

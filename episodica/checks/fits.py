@@ -89,7 +89,7 @@ ORDER BY round(-gain, 9), feature, threshold LIMIT 1"""
     "stump_split",
     "SELECT * FROM (WITH filled AS (SELECT feature, value, label FROM long_features WHERE side = 'train' AND split_id = 1), "
     "nonzero AS (SELECT feature, value, count(*) AS n, sum(label) AS pos FROM filled GROUP BY feature, value), "
-    "whole AS (SELECT count(*) AS all_n, sum(label) AS all_pos FROM split_rows WHERE side = 'train' AND split_id = 1) "
+    "whole AS (SELECT count(*) AS all_n, CAST(sum(label) AS BIGINT) AS all_pos FROM split_rows WHERE side = 'train' AND split_id = 1) "
     + stump_sql()
     + ")",
 )

@@ -7,7 +7,15 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from episodica.checks.registry import query, r6, rounded
-from episodica.checks.tables import EPISODE_COLUMNS, STUDY, cohort, labelled, merged, study_episodes
+from episodica.checks.tables import (
+    EPISODE_COLUMNS,
+    STUDY,
+    cohort,
+    kept_cohort,
+    labelled,
+    merged,
+    study_episodes,
+)
 from episodica.operators import encoding, episodes, profile, ranking
 from episodica.sources import driver_tables as D
 
@@ -101,7 +109,7 @@ def count_block_long(spark, sf_dir):
 
 @query("describe", f"SELECT variable, {DESCRIBE_SQL} FROM {unpivot_sql(VARIABLES, 'cohort')} GROUP BY variable")
 def describe(spark, sf_dir):
-    return rounded(profile.describe(cohort(spark, sf_dir), VARIABLES), *DESCRIBED)
+    return rounded(profile.describe(kept_cohort(spark, sf_dir), VARIABLES), *DESCRIBED)
 
 
 @query(
@@ -110,7 +118,7 @@ def describe(spark, sf_dir):
         GROUP BY gender, variable""",
 )
 def describe_by_group(spark, sf_dir):
-    return rounded(profile.describe(cohort(spark, sf_dir), VARIABLES, ["gender"]), *DESCRIBED)
+    return rounded(profile.describe(kept_cohort(spark, sf_dir), VARIABLES, ["gender"]), *DESCRIBED)
 
 
 NULL_COLUMNS = ["person_id", "release_date", "gender", "race", "ethnic", "height", "weight"]
@@ -170,7 +178,7 @@ RANGE_SQL = f"""(SELECT variable, CASE WHEN min(value) = max(value) THEN min(val
           ON b.variable = c.variable AND g.bin = c.bin""",
 )
 def histogram(spark, sf_dir):
-    return rounded(profile.histogram(cohort(spark, sf_dir), VARIABLES), "bin_lo", "bin_hi")
+    return rounded(profile.histogram(kept_cohort(spark, sf_dir), VARIABLES), "bin_lo", "bin_hi")
 
 
 BOX_VARIABLES = ["total_components", "height", "weight", "age_at_episode", "years_in_stay"]
@@ -191,7 +199,7 @@ FENCE_SQL = f"""(SELECT variable, quantile_cont(value, 0.25) AS q25, quantile_co
 )
 def box_stats(spark, sf_dir):
     return rounded(
-        profile.box_stats(cohort(spark, sf_dir), BOX_VARIABLES), "q25", "q50", "q75", "whisker_low", "whisker_high"
+        profile.box_stats(kept_cohort(spark, sf_dir), BOX_VARIABLES), "q25", "q50", "q75", "whisker_low", "whisker_high"
     )
 
 
@@ -215,7 +223,7 @@ PAIR_BIN = "CAST(LEAST(floor(({v} - lo_{v}) / ((hi_{v} - lo_{v}) / 10)), 9) AS I
     + ")",
 )
 def pair_density(spark, sf_dir):
-    return profile.pair_density(cohort(spark, sf_dir), PAIR_VARIABLES)
+    return profile.pair_density(kept_cohort(spark, sf_dir), PAIR_VARIABLES)
 
 
 @query(
@@ -244,7 +252,7 @@ OUTLIER_VARIABLES = ["total_components", "years_in_stay"]
            OR years_in_stay < b1 - 1.5 * (b3 - b1) OR years_in_stay > b3 + 1.5 * (b3 - b1)""",
 )
 def iqr_outliers(spark, sf_dir):
-    found = profile.iqr_outliers(cohort(spark, sf_dir), OUTLIER_VARIABLES)
+    found = profile.iqr_outliers(kept_cohort(spark, sf_dir), OUTLIER_VARIABLES)
     return rounded(found.select("person_id", "episode_id", *OUTLIER_VARIABLES), "years_in_stay")
 
 

@@ -9,7 +9,7 @@ from episodica.checks.registry import query, r6, rounded
 from episodica.functions import columns as C
 from episodica.operators import encoding, episodes, ranking, splits
 from episodica.plans import cohort as plans
-from episodica.session import scratch_path
+from episodica.session import cut_lineage, scratch_path
 from episodica.sources import driver_tables as D
 from episodica.sources import tables as S
 
@@ -37,6 +37,11 @@ def cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def kept_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cohort, materialised for queries that pass over it more than once."""
+    return cut_lineage(cohort(spark, sf_dir))
+
+
 # Text versions of the source tables, with the defects real files have.
 ID_TEXT = "CASE WHEN person_id % 50 = 0 THEN concat('T', person_id) ELSE lpad(CAST(person_id AS {text}), 9, '0') END"
 DATE_TEXT = (

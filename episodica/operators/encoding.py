@@ -194,6 +194,11 @@ def common_features(features: DataFrame) -> DataFrame:
     return sides["train"].intersect(sides["test"])
 
 
+def _codes_by_side(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    items = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("code")) for c in columns]
+    return rows.select("side", F.inline(F.array(*items))).filter(F.col("code").isNotNull()).distinct()
+
+
 @dataclass
 class FeatureEncoder:
     """Fitted mapping from cohort rows to sparse feature vectors.
@@ -210,23 +215,26 @@ class FeatureEncoder:
     fills: dict[str, float] = field(default_factory=dict)
     names: list[str] = field(default_factory=list)
 
-    def fit(self, train: DataFrame, test: DataFrame, source: DataFrame | None = None) -> FeatureEncoder:
-        seen = observed_codes(train, self.categorical).intersect(observed_codes(test, self.categorical))
-        lists = code_lists(seen, self.categorical)
+    def fit(self, rows: DataFrame, counts: DataFrame | None = None) -> FeatureEncoder:
+        """Learn codes and fill values from materialised rows with a column ``side``.
+
+        ``counts`` holds code counts of the same episodes, as count_block_long gives them.
+        """
+        seen = _codes_by_side(rows, self.categorical)
         if self.counted:
-            of_train, of_test = (
-                observed_codes(source.join(side.select(*EPISODE), EPISODE, "left_semi"), self.counted)
-                for side in (train, test)
+            seen = seen.unionByName(
+                rows.select(*EPISODE, "side").join(counts, EPISODE).select("side", "column", "code").distinct()
             )
-            lists |= code_lists(of_train.intersect(of_test), self.counted)
-        self.codes = lists
+        both = seen.groupBy("column", "code").agg(F.count("*").alias("sides")).filter("sides = 2")
+        self.codes = code_lists(both.drop("sides"), [*self.categorical, *self.counted])
+        train = rows.filter(F.col("side") == "train")
         self.fills = fill_values(train, self.imputed, "median") if self.imputed else {}
         self.names = [
             f"{c}_{v}" for c in [*self.categorical, *self.counted] for v in self.codes[c]
         ] + list(self.numeric)
         return self
 
-    def transform(self, rows: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    def transform(self, rows: DataFrame, counts: DataFrame | None = None) -> DataFrame:
         """Add column ``features``."""
         filled = impute(rows, self.fills)
         parts: list[str] = []
@@ -245,7 +253,7 @@ class FeatureEncoder:
             parts += [f"_h_{c}" for c in used]
         counted = [c for c in self.counted if self.codes[c]]
         if counted:
-            filled = filled.join(self._count_vectors(source, counted), EPISODE, "left")
+            filled = filled.join(self._count_vectors(counts, counted), EPISODE, "left")
             for c in counted:
                 zeros = F.array_repeat(F.lit(0.0), len(self.codes[c]))
                 filled = filled.withColumn(f"_c_{c}", array_to_vector(F.coalesce(F.col(f"_c_{c}"), zeros)))
@@ -253,9 +261,8 @@ class FeatureEncoder:
         assembler = VectorAssembler(inputCols=[*parts, *self.numeric], outputCol="features")
         return assembler.transform(filled).drop(*parts, *[f"_i_{c}" for c in used])
 
-    def _count_vectors(self, source: DataFrame, counted: Sequence[str]) -> DataFrame:
+    def _count_vectors(self, counts: DataFrame, counted: Sequence[str]) -> DataFrame:
         # One map of code counts per episode: its size is bounded by the code list.
-        counts = count_block_long(source, counted)
         entry = F.struct("code", F.col("n").cast("double").alias("n"))
         maps = counts.groupBy(*EPISODE).agg(
             *[
@@ -263,6 +270,7 @@ class FeatureEncoder:
                 for c in counted
             ]
         )
+
         def dense(c: str) -> Column:
             known = F.array(*[F.lit(v) for v in self.codes[c]])
             return F.transform(known, lambda code: F.coalesce(F.col(f"_c_{c}")[code], F.lit(0.0)))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from episodica.config import Study
 from episodica.functions import columns as C
-from episodica.operators.ordering import SLICE, add_next, add_running, slice_rows
+from episodica.operators.ordering import SLICE, slice_rows, sweep
 
 KEYS = ["person_id", "episode_id", "component_no"]
 
@@ -23,6 +23,12 @@ def keep_persons_of(source: DataFrame, cohort: DataFrame) -> DataFrame:
     return source.join(cohort.select("person_id").distinct(), "person_id", "left_semi")
 
 
+def keep_episodes_of(source: DataFrame, cohort: DataFrame) -> DataFrame:
+    """Rows of the source whose episode occurs in the cohort."""
+    keys = ["person_id", "episode_id"]
+    return source.join(cohort.select(*keys).distinct(), keys, "left_semi")
+
+
 def join_components_to_stays(components: DataFrame, stays: DataFrame) -> DataFrame:
     """Right outer join on person, episode and component: every stay row is kept.
 
@@ -78,8 +84,14 @@ def add_history(episodes: DataFrame, study: Study) -> DataFrame:
     order = [study.history_order, "episode_id"]
     columns = [F.col(c) for c in order]
     sliced = slice_rows(episodes, keys, columns)
-    ranked = add_running(sliced, keys, columns, {"prior_episodes": F.lit(1).cast("long")})
-    following = add_next(sliced, ranked, keys, order, {"_following": "begin_date"}, "_has_next")
+    following = sweep(
+        sliced,
+        keys,
+        columns,
+        running={"prior_episodes": F.lit(1).cast("long")},
+        following={"_following": "begin_date"},
+        found="_has_next",
+    )
     counted = F.col("_has_next") & (F.col("episode_class") == study.felony)
     return following.withColumn(
         "next_start", F.when(counted, F.col("_following")).otherwise(F.lit(study.no_return))

@@ -41,71 +41,60 @@ def _continued(sliced: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _carry_over(local: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
-    """Attach the carried row of (key, slice); again one row per slice at most."""
+    """Attach the carried row of (key, slice).
+
+    Those are slices of keys at which a slice starts: at most two per slice.
+    """
     on = {k: f"_at_{k}" for k in [*keys, SLICE]}
     renamed = carry.withColumnsRenamed(on)
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(at)) for k, at in on.items()])
     return local.join(F.broadcast(renamed), same, "left").drop(*on.values())
 
 
-def add_running(
-    sliced: DataFrame, keys: list[str], order: list[Column], measures: dict[str, Column]
-) -> DataFrame:
-    """Add, for each measure, its sum over the earlier rows of the same key."""
-    before = Window.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0)
-    local = sliced.select(
-        "*", *[F.coalesce(F.sum(m).over(before), zero).alias(name) for name, m in measures.items()]
-    )
-    parts = {n: f"_part_{n}" for n in measures}
-    totals = (
-        _continued(sliced, keys)
-        .groupBy(*keys, SLICE)
-        .agg(*[F.sum(m).alias(parts[n]) for n, m in measures.items()])
-    )
-    earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(
-        *keys,
-        SLICE,
-        F.count(F.lit(1)).over(earlier).alias("_slices"),
-        *[F.sum(part).over(earlier).alias(part) for part in parts.values()],
-    )
-    joined = _carry_over(local, carry.filter("_slices > 0").drop("_slices"), keys)
-    return joined.withColumns(
-        {n: F.col(n) + F.coalesce(F.col(part), zero) for n, part in parts.items()}
-    ).drop(*parts.values())
-
-
-def add_next(
-    sliced: DataFrame, ahead: DataFrame, keys: list[str], order: list[str], values: dict[str, str], found: str
+def sweep(
+    sliced: DataFrame,
+    keys: list[str],
+    order: list[Column],
+    running: dict[str, Column],
+    following: dict[str, str] | None = None,
+    found: str = "has_next",
 ) -> DataFrame:
-    """Add to ``ahead`` the values of the next row of the same key, and whether there is one.
+    """Add running sums and values of the next row, per key and in order.
 
-    ``ahead`` holds the rows of ``sliced``, maybe with more columns. ``values``
-    maps new column names to columns; the order is ascending.
+    ``running`` maps new columns to measures, summed over the earlier rows of
+    the same key. ``following`` maps new columns to columns of the key's next
+    row, and ``found`` tells whether there is one; the order is ascending then.
     """
-    inside = Window.partitionBy(*keys, SLICE).orderBy(*order)
-    row = F.struct(*[F.col(c).alias(n) for n, c in values.items()])
-    local = ahead.withColumn("_in", F.lead(row).over(inside))
-    heads = (
-        _continued(sliced, keys)
-        .groupBy(*keys, SLICE)
-        .agg(F.min(F.struct(*[F.col(c) for c in order], row.alias("_row"))).alias("_head"))
-    )
+    in_order = Window.partitionBy(*keys, SLICE).orderBy(*order)
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     across = Window.partitionBy(*keys).orderBy(SLICE)
-    carry = heads.select(
-        *keys, SLICE, F.lead(F.col("_head._row")).over(across).alias("_out")
-    ).filter(F.col("_out").isNotNull())
-    joined = _carry_over(local, carry, keys).withColumn("_next", F.coalesce("_in", "_out"))
-    return joined.withColumns(
-        {n: F.col(f"_next.{n}") for n in values} | {found: F.col("_next").isNotNull()}
-    ).drop("_in", "_out", "_next")
+    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
+    parts = {name: f"_part_{name}" for name in running}
+    zero = F.lit(0)
+
+    local = sliced.select("*", *[F.sum(m).over(before).alias(name) for name, m in running.items()])
+    sums = [F.sum(m).alias(parts[name]) for name, m in running.items()]
+    carried = [F.sum(part).over(earlier).alias(part) for part in parts.values()]
+    if following:
+        row = F.struct(*[F.col(c).alias(n) for n, c in following.items()])
+        local = local.withColumn("_in", F.lead(row).over(in_order))
+        key = [c.alias(f"o{i}") for i, c in enumerate(order)]
+        sums.append(F.min(F.struct(*key, row.alias("row"))).alias("_head"))
+        carried.append(F.lead(F.col("_head.row")).over(across).alias("_out"))
+
+    groups = _continued(sliced, keys).groupBy(*keys, SLICE).agg(*sums)
+    swept = _carry_over(local, groups.select(*keys, SLICE, *carried), keys)
+    added = {n: F.coalesce(F.col(n), zero) + F.coalesce(F.col(part), zero) for n, part in parts.items()}
+    if following:
+        next_row = F.coalesce("_in", "_out")
+        added |= {n: next_row[n] for n in following} | {found: next_row.isNotNull()}
+    return swept.withColumns(added).drop("_in", "_out", *parts.values())
 
 
 def add_position(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
     """Add the 0-based position of each row within its key."""
     sliced = slice_rows(df, keys, order)
-    return add_running(sliced, keys, order, {name: F.lit(1).cast("long")}).drop(SLICE)
+    return sweep(sliced, keys, order, {name: F.lit(1).cast("long")}).drop(SLICE)
 
 
 def exact_quantiles(
@@ -120,7 +109,7 @@ def exact_quantiles(
     order = [F.col(value).asc()]
     sliced = slice_rows(counts, keys, order)
     totals = sliced.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    ranked = join_checked(add_running(sliced, keys, order, {"_before": F.col("_n")}), totals, keys)
+    ranked = join_checked(sweep(sliced, keys, order, {"_before": F.col("_n")}), totals, keys)
 
     def at(rank: Column) -> Column:
         here = (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_n"))

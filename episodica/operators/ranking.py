@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from episodica.operators.ordering import add_position, add_running, slice_rows
+from episodica.operators.ordering import add_position, slice_rows, sweep
 from episodica.session import join_checked
 
 ALL = "_all"
@@ -36,7 +36,7 @@ def score_table(df: DataFrame, by: list[str], score: str = "score", label: str =
     order = [F.col("score").desc()]
     sliced = slice_rows(counts, keys, order)
     totals = sliced.groupBy(*keys).agg(F.sum("n").alias("total_n"), F.sum("pos").alias("total_pos"))
-    ranked = add_running(sliced, keys, order, {"above_n": F.col("n"), "above_pos": F.col("pos")})
+    ranked = sweep(sliced, keys, order, {"above_n": F.col("n"), "above_pos": F.col("pos")})
     table = join_checked(ranked, totals, keys)
     return table.select(
         *by, "score", "n", "pos", "above_n", "above_pos", "total_n", "total_pos"

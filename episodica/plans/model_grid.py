@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from episodica.config import Study, TimeSplit
 from episodica.operators import evaluation, models
-from episodica.operators.encoding import EPISODE, FeatureEncoder
+from episodica.operators.encoding import EPISODE, FeatureEncoder, count_block_long
+from episodica.operators.episodes import keep_episodes_of
 from episodica.operators.ranking import score_table
 from episodica.operators.splits import temporal_split
 from episodica.session import cut_lineage, scratch_path
@@ -46,12 +47,15 @@ class EncodedSplit:
 
 def encode_split(cohort: DataFrame, source: DataFrame | None, split: TimeSplit, spec: FeatureSpec) -> EncodedSplit:
     """Split by time, fit the encoder on the training side, encode both sides once."""
-    sides = temporal_split(cohort, spec.time_column, [split])
-    train, test = (sides.filter(F.col("side") == s) for s in ("train", "test"))
-    encoder = spec.encoder().fit(train, test, source)
-    columns = [*EPISODE, F.col("label").cast("double").alias("label"), "features"]
-    ready = (cut_lineage(encoder.transform(side, source).select(*columns)) for side in (train, test))
-    return EncodedSplit(split, *ready, encoder.names)
+    rows = cut_lineage(temporal_split(cohort, spec.time_column, [split]))
+    counts = None
+    if spec.counted:
+        counts = cut_lineage(count_block_long(keep_episodes_of(source, rows), spec.counted))
+    encoder = spec.encoder().fit(rows, counts)
+    columns = ["side", *EPISODE, F.col("label").cast("double").alias("label"), "features"]
+    ready = cut_lineage(encoder.transform(rows, counts).select(*columns))
+    train, test = (ready.filter(F.col("side") == s).drop("side") for s in ("train", "test"))
+    return EncodedSplit(split, train, test, encoder.names)
 
 
 def score_grid(
