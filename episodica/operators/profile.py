@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import combinations, product
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,28 +45,30 @@ def describe(df: DataFrame, variables: list[str], by: list[str] = ()) -> DataFra
 def correlation_long(df: DataFrame, variables: list[str]) -> DataFrame:
     """Pearson correlation of every ordered pair, over rows where both are known.
 
-    All pairs come from one aggregation; a constant column gives null.
+    Each row contributes once per unordered pair to partial sums before the
+    shuffle. A constant column gives null.
     """
+    pairs = [*combinations(variables, 2), *((v, v) for v in variables)]
 
     def known(a: str, b: str) -> Column:
         return F.when(F.col(b).isNotNull(), F.col(a).cast("double"))
 
-    pairs = list(combinations(variables, 2)) + [(v, v) for v in variables]
-    cells, aggregates = {}, []
-    for i, (a, b) in enumerate(pairs):
-        x, y = known(a, b), known(b, a)
-        aggregates += [
-            F.covar_samp(x, y).alias(f"c{i}"),
-            F.stddev_samp(x).alias(f"x{i}"),
-            F.stddev_samp(y).alias(f"y{i}"),
-        ]
-        r = ratio(F.col(f"c{i}"), F.col(f"x{i}") * F.col(f"y{i}"))
-        cells[a, b] = cells[b, a] = r
     items = [
-        F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), cells[a, b].alias("r"))
-        for a, b in product(variables, variables)
+        F.struct(
+            F.lit(i).alias("pair"), known(a, b).alias("a"), known(b, a).alias("b")
+        )
+        for i, (a, b) in enumerate(pairs)
     ]
-    return df.agg(*aggregates).select(F.inline(F.array(*items)))
+    moments = df.select(F.inline(F.array(*items))).groupBy("pair").agg(
+        F.covar_samp("a", "b").alias("c"), F.stddev_samp("a").alias("sa"), F.stddev_samp("b").alias("sb")
+    )
+    names = F.array(*[F.array(F.lit(a), F.lit(b)) for a, b in pairs])
+    x, y = names[F.col("pair")][0], names[F.col("pair")][1]
+    r = ratio(F.col("c"), F.col("sa") * F.col("sb"))
+    both = F.array_distinct(
+        F.array(F.struct(x.alias("x"), y.alias("y")), F.struct(y.alias("x"), x.alias("y")))
+    )
+    return moments.select(F.inline(both), r.alias("r"))
 
 
 def correlation_wide(df: DataFrame, variables: list[str]) -> DataFrame:
