@@ -29,9 +29,9 @@ def dummy_sql(column: str, values) -> str:
     return ", ".join(f"CASE WHEN {column} = '{v}' THEN 1 ELSE 0 END AS \"{column}_{v}\"" for v in values)
 
 
-def split_features(spark, sf_dir):
+def split_features(spark, sf_dir, chosen=STUDY.splits):
     """Cohort rows per split side and their long features."""
-    rows = cut_lineage(splits.temporal_split(cohort(spark, sf_dir), "release_date", STUDY.splits))
+    rows = cut_lineage(splits.temporal_split(cohort(spark, sf_dir), "release_date", chosen))
     features = encoding.features_long(rows, CATEGORICAL, NUMERIC, D.component(spark, sf_dir), COUNTED)
     return rows, cut_lineage(features)
 

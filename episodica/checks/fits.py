@@ -94,11 +94,9 @@ ORDER BY round(-gain, 9), feature, threshold LIMIT 1"""
     + ")",
 )
 def stump_split(spark, sf_dir):
-    rows, features = split_features(spark, sf_dir)
-    chosen = (F.col("side") == "train") & (F.col("split_id") == SPLIT.split_id)
-    labels = rows.filter(chosen).select("person_id", "episode_id", "label")
-    labelled = features.filter(chosen).join(labels, ["person_id", "episode_id"])
-    best = stump.best_split(stump.split_candidates(labelled, labels))
+    rows, features = split_features(spark, sf_dir, [SPLIT])
+    train = F.col("side") == "train"
+    best = stump.best_split(stump.split_candidates(features.filter(train), rows.filter(train)))
     return rounded(best, "gain")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from episodica.functions.columns import flag_equal
-from episodica.operators.episodes import keep_persons_of
+from episodica.operators.episodes import keep_episodes_of, keep_persons_of
 from episodica.operators.ordering import exact_quantiles
 from episodica.operators.profile import long_values
 from episodica.session import join_checked
@@ -159,12 +159,12 @@ def features_long(
     source: DataFrame | None = None,
     counted: Sequence[str] = (),
 ) -> DataFrame:
-    """Non-zero features as (person, episode, split_id, side, feature, value).
+    """Non-zero features as (person, episode, split_id, side, label, feature, value).
 
     Dummies and numeric columns come from the row itself without a shuffle;
     code counts are joined from the source.
     """
-    keys = [*EPISODE, *[c for c in ("split_id", "side") if c in rows.columns]]
+    keys = [*EPISODE, *[c for c in ("split_id", "side", "label") if c in rows.columns]]
     items = [
         F.struct(
             F.concat(F.lit(f"{c}_"), F.col(c).cast("string")).alias("feature"),
@@ -179,7 +179,7 @@ def features_long(
     )
     if source is None or not counted:
         return own
-    block = count_block_long(keep_persons_of(source, rows), counted)
+    block = count_block_long(keep_episodes_of(source, rows), counted)
     from_source = rows.select(*keys).join(block, EPISODE).select(
         *keys,
         F.concat_ws("_", "column", "code").alias("feature"),

@@ -8,6 +8,7 @@ from collections.abc import Mapping
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from episodica.functions.columns import ratio
 from episodica.operators.profile import attribute_rows
@@ -103,7 +104,7 @@ def disparities(metrics: DataFrame, references: Mapping[str, str] | None = None)
     ).drop(*[f"ref_{m}" for m in names])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def two_sided_p(z: pd.Series) -> pd.Series:
     """Two-sided p-value of a standard normal statistic."""
     return z.map(lambda v: None if pd.isna(v) else math.erfc(abs(v) / math.sqrt(2.0)))
