@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from itertools import product
 
@@ -141,11 +140,3 @@ def importance_rows(model, names: list[str], spark) -> DataFrame:
     values = model.featureImportances.toArray()
     rows = [(n, float(v)) for n, v in zip(names, values)]
     return spark.createDataFrame(rows, "feature string, importance double")
-
-
-def score_all(
-    cells: Iterable[Cell], train: DataFrame, test: DataFrame, save: Callable[[Cell, DataFrame], None], seed: int = 0
-) -> None:
-    """Fit every cell on the same rows and hand its scores to ``save``."""
-    for cell in cells:
-        save(cell, fit_and_score(cell, train, test, seed))

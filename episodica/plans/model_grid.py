@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from episodica.config import Study, TimeSplit
@@ -19,6 +19,7 @@ from episodica.operators.splits import temporal_split
 from episodica.session import cut_lineage, scratch_path
 
 MODEL_KEYS = ["split_id", "model_type", "parameter"]
+LEDGER = "split_id int, model_type string, parameter string"
 
 
 @dataclass(frozen=True)
@@ -69,34 +70,42 @@ def score_grid(
 ) -> tuple[str, DataFrame]:
     """Fit all cells on all splits and write their scores, one folder per cell.
 
-    Scores are keyed by split, model and parameters. A run that finds a
-    complete folder below ``path`` skips that fit, so it can resume.
+    Scores are keyed by split, model and parameters. A cell enters the ledger
+    next to ``path`` once its scores are written; a later run on the same path
+    skips the cells found there.
     """
     spark = cohort.sparkSession
-    path = path or scratch_path(spark, "scores")
+    path = (path or scratch_path(spark, "scores")).rstrip("/")
+    ledger = f"{path}-done"
+    done = finished_cells(spark, ledger)
     cells = list(cells)
     cohort = cut_lineage(cohort)
     for split in study.splits:
         encoded = None
         for cell in cells:
-            tag = hashlib.sha1(cell.params.encode()).hexdigest()[:12]
-            folder = f"{path}/split_id={split.split_id}/model_type={cell.family}/cell={tag}"
-            if _complete(spark, folder):
+            entry = (split.split_id, cell.family, cell.params)
+            if entry in done:
                 continue
             encoded = encoded or encode_split(cohort, source, split, spec)
             scores = models.fit_and_score(cell, encoded.train, encoded.test, seed)
+            tag = hashlib.sha1(cell.params.encode()).hexdigest()[:12]
+            folder = f"{path}/split_id={split.split_id}/model_type={cell.family}/cell={tag}"
             scores.withColumn("parameter", F.lit(cell.params)).write.mode("overwrite").parquet(folder)
+            spark.createDataFrame([entry], LEDGER).write.mode("append").parquet(ledger)
     return path, read_scores(spark, path)
 
 
-def _complete(spark, folder: str) -> bool:
+def finished_cells(spark: SparkSession, ledger: str) -> set[tuple]:
+    """Cells recorded as written; one row per split and cell of the grid."""
     try:
-        return bool(spark.read.format("binaryFile").load(f"{folder}/_SUCCESS*").limit(1).count())
-    except AnalysisException:
-        return False
+        return {tuple(row) for row in spark.read.schema(LEDGER).parquet(ledger).collect()}
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return set()
+        raise
 
 
-def read_scores(spark, path: str) -> DataFrame:
+def read_scores(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(path).drop("cell")
 
 
