@@ -243,19 +243,6 @@ def elapsed_years(spark, sf_dir):
     return rounded(rows.select("person_id", "episode_id", years.alias("years_in_stay")), "years_in_stay")
 
 
-@query(
-    "select_by_prefix",
-    """SELECT person_id, episode_id, count(*) FILTER (offense_code = 'PROMO') AS offense_code_PROMO,
-         count(*) FILTER (offense_code = 'SMALL') AS offense_code_SMALL
-       FROM component GROUP BY person_id, episode_id""",
-)
-def select_by_prefix(spark, sf_dir):
-    block = encoding.count_block_wide(
-        D.component(spark, sf_dir), {"offense_code": ["PROMO", "SMALL"], "county_code": ["1", "2"]}
-    )
-    return S.select_by_prefix(block, "offense_code_", keep=encoding.EPISODE)
-
-
 @query(
     "filter_window",
     """SELECT person_id, episode_id, component_no, begin_date, release_date FROM merged
@@ -369,6 +356,16 @@ COUNT_SQL = ", ".join(f"count(*) FILTER (offense_code = '{o}') AS offense_code_{
 ZERO_SQL = ", ".join(f"COALESCE(b.offense_code_{o}, 0) AS offense_code_{o}" for o in OFFENSES)
 
 
+@query(
+    "select_by_prefix",
+    f"SELECT person_id, episode_id, {COUNT_SQL} FROM component GROUP BY person_id, episode_id",
+)
+def select_by_prefix(spark, sf_dir):
+    source, columns = D.component(spark, sf_dir), ["offense_code", "county_code"]
+    codes = encoding.code_lists(encoding.observed_codes(source, columns), columns)
+    return S.select_by_prefix(encoding.count_block_wide(source, codes), "offense_code_", keep=encoding.EPISODE)
+
+
 @query(
     "join_count_blocks",
     f"""SELECT e.person_id, e.episode_id, {ZERO_SQL} FROM study_episode e LEFT JOIN

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from episodica.functions.columns import ratio
 from episodica.operators.profile import attribute_rows
+from episodica.session import cut_lineage
 
 KEYS = ["attribute", "value"]
 
@@ -40,7 +41,10 @@ COMPOSITES = {
 
 
 def crosstab(df: DataFrame, attributes: list[str], predicted: str = "predicted", label: str = "label") -> DataFrame:
-    """Confusion counts per attribute value, for all attributes in one pass."""
+    """Confusion counts per attribute value, for all attributes in one pass.
+
+    The counts are materialised: every later table of the audit starts from them.
+    """
     rows = attribute_rows(df, attributes, predicted, label)
     p, y = F.col(predicted) == 1, F.col(label) == 1
     counts = rows.groupBy(*KEYS).agg(
@@ -54,6 +58,7 @@ def crosstab(df: DataFrame, attributes: list[str], predicted: str = "predicted",
         F.count_if(~y).alias("label_neg"),
         F.count("*").alias("group_size"),
     )
+    counts = cut_lineage(counts)
     totals = counts.groupBy("attribute").agg(
         F.sum("pp").alias("total_pp"), F.sum("group_size").alias("total_entities")
     )

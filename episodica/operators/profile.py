@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from episodica.functions.columns import any_of, ratio
 from episodica.operators.ordering import exact_quantiles
+from episodica.session import cut_lineage
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 WHISKER = 1.5
@@ -161,13 +162,13 @@ def pair_density(df: DataFrame, variables: list[str], bins: int = 10) -> DataFra
 
 def share(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows per group and their share; groups with a null are left out of the
-    table but stay in the denominator."""
-    counts = df.groupBy(*columns).agg(F.count("*").alias("count"))
+    table but stay in the denominator.
+
+    The group counts are materialised, so that the rows are read once.
+    """
+    counts = cut_lineage(df.groupBy(*columns).agg(F.count("*").alias("count")))
     total = counts.agg(F.sum("count")).scalar()
-    return (
-        counts.withColumn("percent", F.col("count") / total)
-        .dropna(subset=columns)
-    )
+    return counts.withColumn("percent", F.col("count") / total).dropna(subset=columns)
 
 
 def attribute_rows(df: DataFrame, attributes: list[str], *others: str) -> DataFrame:

@@ -29,7 +29,7 @@ def audit_scores(
     groups = cohort.select(*EPISODE, *names)
     keyed = cut_lineage(scores.select(*EPISODE, "label", "score").join(groups, EPISODE))
     flagged = ranking.flag_top_share(keyed, [], top_percent)
-    metrics = cut_lineage(fairness.group_metrics(fairness.crosstab(flagged, names)))
+    metrics = fairness.group_metrics(fairness.crosstab(flagged, names))
     chosen = fairness.disparities(metrics, references)
     parity = fairness.parity(chosen, tau)
     return {

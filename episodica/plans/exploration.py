@@ -21,8 +21,10 @@ GROUPINGS = (("race",), ("gender",), ("race", "ethnic"), ("citizenship",))
 
 def return_rate_by(cohort: DataFrame, groups: Sequence[str]) -> DataFrame:
     """Episodes, returns, return rate and share of all episodes per group."""
-    counts = cohort.groupBy(*groups).agg(
-        F.count("*").alias("episodes"), F.sum("label").alias("returns"), F.avg("label").alias("return_rate")
+    counts = cut_lineage(
+        cohort.groupBy(*groups).agg(
+            F.count("*").alias("episodes"), F.sum("label").alias("returns"), F.avg("label").alias("return_rate")
+        )
     )
     total = counts.agg(F.sum("episodes")).scalar()
     return counts.withColumn("share", F.col("episodes") / total)

@@ -82,13 +82,30 @@ def stay_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One stay row per (person, episode, component), with the release date."""
-    unique = (
-        stay_rows(spark, sf_dir)
-        .groupBy("person_id", "episode_id", "component_no")
-        .agg(F.max("actual_end").alias("actual_end"), F.max("projected_end").alias("projected_end"))
+    """One stay row per (person, episode, component), with the release date.
+
+    Line items are reduced per (order, line) before they meet their order, so
+    an order with very many lines adds few rows to the join.
+    """
+    days = F.col("l_quantity").cast("int")
+    lines = (
+        load(spark, sf_dir, "lineitem")
+        .groupBy("l_orderkey", "l_linenumber")
+        .agg(
+            F.max(F.when(F.col("l_linestatus") == "F", days)).alias("actual_days"),
+            F.max(F.when(F.col("l_discount") >= 0.02, days * 2)).alias("projected_days"),
+        )
+    )
+    orders = load(spark, sf_dir, "orders")
+    begin = F.col("o_orderdate").cast("date")
+    ended = lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
+        F.col("o_custkey").alias("person_id"),
+        F.col("l_orderkey").alias("episode_id"),
+        F.col("l_linenumber").alias("component_no"),
+        F.date_add(begin, F.col("actual_days")).alias("actual_end"),
+        F.date_add(begin, F.col("projected_days")).alias("projected_end"),
     )
-    return add_release_date(unique)
+    return add_release_date(ended)
 
 
 def person(spark: SparkSession, sf_dir: str) -> DataFrame:
