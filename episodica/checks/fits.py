@@ -6,11 +6,10 @@ from pyspark.sql import functions as F
 
 from episodica.checks.features import CATEGORICAL, COUNTED, IMPUTED, NUMERIC, split_features
 from episodica.checks.registry import query, rounded
-from episodica.checks.tables import STUDY, cohort
+from episodica.checks.tables import STUDY, cohort, kept_cohort
 from episodica.operators import models, neighbours, stump
 from episodica.operators.models import Cell
 from episodica.plans import model_grid
-from episodica.session import cut_lineage
 from episodica.sources import driver_tables as D
 
 SPEC = model_grid.FeatureSpec(CATEGORICAL, NUMERIC, IMPUTED, COUNTED)
@@ -32,7 +31,9 @@ SMALL_CELLS = {
 def register_family(name: str, cell: Cell) -> None:
     @query(name)
     def run(spark, sf_dir):
-        encoded = model_grid.encode_split(cohort(spark, sf_dir), D.component(spark, sf_dir), SPLIT, SPEC)
+        rows = kept_cohort(spark, sf_dir)
+        counts = model_grid.code_counts(rows, D.component(spark, sf_dir), SPEC)
+        encoded = model_grid.encode_split(rows, counts, SPLIT, SPEC)
         return models.fit_and_score(cell, encoded.train, encoded.test)
 
 
@@ -110,7 +111,7 @@ GRID_CELLS = [
 
 @query("model_grid")
 def grid(spark, sf_dir):
-    rows = cut_lineage(cohort(spark, sf_dir))
+    rows = kept_cohort(spark, sf_dir)
     _, scores = model_grid.score_grid(rows, D.component(spark, sf_dir), STUDY, SPEC, GRID_CELLS)
     return model_grid.evaluate_grid(scores, rows, STUDY)
 

@@ -46,12 +46,18 @@ class EncodedSplit:
     names: list[str]
 
 
-def encode_split(cohort: DataFrame, source: DataFrame | None, split: TimeSplit, spec: FeatureSpec) -> EncodedSplit:
+def code_counts(cohort: DataFrame, source: DataFrame | None, spec: FeatureSpec) -> DataFrame | None:
+    """Code counts of the cohort's episodes, materialised: the source is read once for all splits."""
+    if not spec.counted:
+        return None
+    return cut_lineage(count_block_long(keep_episodes_of(source, cohort), spec.counted))
+
+
+def encode_split(cohort: DataFrame, counts: DataFrame | None, split: TimeSplit, spec: FeatureSpec) -> EncodedSplit:
     """Split by time, fit the encoder on the training side, encode both sides once."""
     rows = cut_lineage(temporal_split(cohort, spec.time_column, [split]))
-    counts = None
-    if spec.counted:
-        counts = cut_lineage(count_block_long(keep_episodes_of(source, rows), spec.counted))
+    if counts is not None:
+        counts = keep_episodes_of(counts, rows)
     encoder = spec.encoder().fit(rows, counts)
     columns = ["side", *EPISODE, F.col("label").cast("double").alias("label"), "features"]
     ready = cut_lineage(encoder.transform(rows, counts).select(*columns))
@@ -79,19 +85,22 @@ def score_grid(
     ledger = f"{path}-done"
     done = finished_cells(spark, ledger)
     cells = list(cells)
+    todo = {
+        split: [c for c in cells if (split.split_id, c.family, c.params) not in done] for split in study.splits
+    }
+    if not any(todo.values()):
+        return path, read_scores(spark, path)
     cohort = cut_lineage(cohort)
-    for split in study.splits:
-        encoded = None
-        for cell in cells:
-            entry = (split.split_id, cell.family, cell.params)
-            if entry in done:
-                continue
-            encoded = encoded or encode_split(cohort, source, split, spec)
+    counts = code_counts(cohort, source, spec)
+    for split, missing in todo.items():
+        encoded = encode_split(cohort, counts, split, spec) if missing else None
+        for cell in missing:
             scores = models.fit_and_score(cell, encoded.train, encoded.test, seed)
             tag = hashlib.sha1(cell.params.encode()).hexdigest()[:12]
             folder = f"{path}/split_id={split.split_id}/model_type={cell.family}/cell={tag}"
             scores.withColumn("parameter", F.lit(cell.params)).write.mode("overwrite").parquet(folder)
-            spark.createDataFrame([entry], LEDGER).write.mode("append").parquet(ledger)
+            entry = [(split.split_id, cell.family, cell.params)]
+            spark.createDataFrame(entry, LEDGER).write.mode("append").parquet(ledger)
     return path, read_scores(spark, path)
 
 
@@ -142,7 +151,8 @@ def best_model(
     cohort: DataFrame, source: DataFrame | None, split: TimeSplit, spec: FeatureSpec, cell: models.Cell, seed: int = 0
 ) -> tuple[DataFrame, DataFrame]:
     """Test scores and feature importances of one tree ensemble on one split."""
-    encoded = encode_split(cohort, source, split, spec)
+    cohort = cut_lineage(cohort)
+    encoded = encode_split(cohort, code_counts(cohort, source, spec), split, spec)
     model = models.estimator(cell, encoded.train.count(), seed).fit(encoded.train)
     scores = model.transform(encoded.test).select(
         *EPISODE, "label", models.vector_to_array("probability")[1].alias("score")
