@@ -9,7 +9,6 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from __spark_entry__ import queries  # noqa: F401
 from episodica.checks import fits, tables
 from episodica.operators import evaluation, models, neighbours, ranking, stump
 from episodica.operators.models import Cell

@@ -4,6 +4,8 @@ import datetime
 import glob
 import math
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -53,3 +55,8 @@ def test_entry_has_rows(spark):
     df = entry(spark)
     assert df.columns == ["race", "gender", "episodes", "returns", "return_rate", "share"]
     assert sum(r["share"] for r in df.collect()) == pytest.approx(1.0)
+
+
+def test_entry_module_needs_no_session():
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; assert e.queries()"], cwd=root, check=True)
