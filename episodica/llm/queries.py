@@ -8,8 +8,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from episodica.llm import bpe, packing
-from episodica.llm.common import table
+from episodica.llm import bpe, language, packing, quality, urls
+from episodica.llm.common import crc_mod, table
+
+URL_RULES = [
+    urls.Rule("org", "/", "allow"),
+    urls.Rule("example.org", "/es/", "block"),
+    urls.Rule("example.org", "/en/1", "block"),
+    urls.Rule("com", "/fr/", "allow"),
+    urls.Rule("com", "/de/", "block"),
+]
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc_mod("doc_id", 4) == 2
+    model = language.fit(*language.training_rows(docs, ~held_out))
+    out = language.predict(docs, model, ["doc_id"])
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,13 +41,28 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+
+
+def op9_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_mod("doc_id", 3) == 1
+    model = quality.fit(*quality.training_rows(docs, table(spark, sf_dir, "labels"), ~held_out))
+    out = quality.score(docs, model, ["doc_id"])
+    return out.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
     "op4_byte_bpe": op4_byte_bpe,
+    "op7_url_filter": op7_url_filter,
+    "op9_quality_gam": op9_quality_gam,
     "op10_packing": op10_packing,
 }
 ORACLE: dict[str, str] = {}
