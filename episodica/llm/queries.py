@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from episodica.llm import bpe, language, packing, quality, urls
+from episodica.llm import bpe, cross_polytope, epsilon_join, jaccard, language, line_dedup, packing, quality, urls
 from episodica.llm.common import crc_mod, table
 
 URL_RULES = [
@@ -20,6 +20,11 @@ URL_RULES = [
 ]
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup(docs).select("doc_id", F.size("removed").alias("removed_chunks"), "removed_lines", "text")
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = crc_mod("doc_id", 4) == 2
@@ -28,6 +33,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -41,10 +50,18 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_polytope.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
 
 
+def op8_epsilon_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return epsilon_join.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = crc_mod("doc_id", 3) == 1
@@ -59,10 +76,39 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_language_id": op2_language_id,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_cross_polytope": op6_cross_polytope,
     "op7_url_filter": op7_url_filter,
+    "op8_epsilon_grid": op8_epsilon_grid,
     "op9_quality_gam": op9_quality_gam,
     "op10_packing": op10_packing,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    # The same boundaries from the same rolling hash, in SQL.
+    "op1_line_dedup": """
+        WITH lines AS (
+            SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                   unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i, len(string_split(text, chr(10))) AS n
+            FROM documents WHERE text <> ''),
+        hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM lines),
+        rolled AS (SELECT *, h + 31 * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0) AS r FROM hashed),
+        cut AS (SELECT *, CASE WHEN i > 1 AND i <= n - 2
+                                AND r < lag(r) OVER w AND r <= lead(r) OVER w THEN 1 ELSE 0 END AS ends
+                FROM rolled WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+        numbered AS (SELECT *, coalesce(sum(ends) OVER (PARTITION BY doc_id ORDER BY i
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk_no FROM cut),
+        chunks AS (SELECT doc_id, chunk_no, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS k
+                   FROM numbered GROUP BY doc_id, chunk_no),
+        marked AS (SELECT *, k > 1 AND regexp_matches(chunk, '[^\\s]')
+                             AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, chunk_no) > 1 AS gone FROM chunks),
+        kept AS (SELECT doc_id, CAST(count(*) FILTER (gone) AS INTEGER) AS removed_chunks,
+                        CAST(coalesce(sum(k) FILTER (gone), 0) AS INTEGER) AS removed_lines,
+                        coalesce(string_agg(chunk, chr(10) ORDER BY chunk_no) FILTER (NOT gone), '') AS text
+                 FROM marked GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(k.removed_chunks, 0) AS removed_chunks, coalesce(k.removed_lines, 0) AS removed_lines,
+               coalesce(k.text, d.text) AS text
+        FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id""",
+}
