@@ -1,13 +1,61 @@
-"""The corpus pipeline: documents to packed training sequences."""
+"""The corpus pipeline: documents to packed training sequences.
+
+Every stage but the last returns the columns of its input; rows that repeat
+pass or go together, empty tables pass as empty ones.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from episodica.llm import jaccard, language, line_dedup, packing, quality
+from episodica.llm.common import crc_mod, table, written
+
+# A language is taken if its score is at least this; below it the machines contradict one another.
+LEAST_LANGUAGE_SCORE = 0.5
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality model accepts; it learns from two thirds of the labels."""
+    learn = crc_mod("doc_id", 3) != 1
+    model = quality.fit(*quality.training_rows(docs, table(spark, sf_dir, "labels"), learn))
+    names = docs.columns
+    scored = quality.score(docs, model, names)
+    # By position: ``docs`` may have columns named as the results.
+    scored = scored.toDF(*[f"_{i}" for i in range(len(names))], "score", "predicted").where("predicted = 1")
+    return scored.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(names)])
+
+
+def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; the model learns from the given ``lang``."""
+    model = language.fit(*language.training_rows(docs, crc_mod("doc_id", 4) != 2))
+    names = docs.columns
+    told = language.predict(docs, model, names).toDF(*[f"_{i}" for i in range(len(names))], "lang_pred", "score")
+    told = told.where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    return told.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(names)])
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the chunks of lines that an earlier one holds; those that are left empty go.
+
+    ``n_chars`` follows the text.
+    """
+    names = docs.columns
+    out = line_dedup.dedup(docs)
+    out = out.where(~((F.size("removed") > 0) & (F.col("text") == "")))
+    if "n_chars" in names:
+        kind = docs.schema["n_chars"].dataType
+        same = F.size("removed") == 0
+        out = out.withColumn("n_chars", F.when(same, F.col("n_chars")).otherwise(F.length("text").cast(kind)))
+    return out.select(*names)
 
-import public_tokenizers
 
-from episodica.llm import packing
-from episodica.llm.common import table, written
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest doc_id, of each group linked by similar n-grams."""
+    gone = written(jaccard.join(docs).where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct(), "near_copies")
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,7 +63,13 @@ def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("packing", pack_documents)]
+STAGES = [
+    ("quality", keep_quality),
+    ("language", keep_language),
+    ("line_dedup", drop_repeated_lines),
+    ("near_duplicates", drop_near_copies),
+    ("packing", pack_documents),
+]
 
 # Trained classifiers and MinHash have no SQL; the tests hold every stage against a brute-force version.
 ORACLE_SQL = None

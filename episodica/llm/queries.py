@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from episodica.llm import bpe, cross_polytope, epsilon_join, jaccard, language, line_dedup, packing, quality, urls
+from episodica.llm import bpe, cross_polytope, epsilon_join, jaccard, language, line_dedup, packing, pseudo_likelihood, quality, urls
 from episodica.llm.common import crc_mod, table
 
 URL_RULES = [
@@ -50,6 +50,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudo_likelihood.score(docs, *pseudo_likelihood.fit(docs))
+
+
 def op6_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_polytope.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_pseudo_likelihood": op5_pseudo_likelihood,
     "op6_cross_polytope": op6_cross_polytope,
     "op7_url_filter": op7_url_filter,
     "op8_epsilon_grid": op8_epsilon_grid,
