@@ -72,7 +72,8 @@ def principal(df: DataFrame, rows: int = SAMPLE) -> dict[int, np.ndarray]:
     out = {}
     for length, vectors in by_length.items():
         x = np.stack(vectors)
-        out[length] = np.linalg.eigh(np.cov(x.T).reshape(length, length) + 1e-12 * np.eye(length))[1][:, ::-1][:, :LEADING]
+        x -= x.mean(axis=0)
+        out[length] = np.linalg.eigh(x.T @ x)[1][:, ::-1][:, :LEADING]
     return out
 
 
