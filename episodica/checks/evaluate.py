@@ -149,7 +149,22 @@ def fair_significance(spark, sf_dir):
     return rounded(tested.select("attribute", "value", "ref_value", "metric", "z"), "z")
 
 
-@query("fair_p_values")
+def p_sql(z: str) -> str:
+    """The same rational form of erfc(|z| / sqrt(2))."""
+    x = f"(abs({z}) / sqrt(CAST(2 AS DOUBLE)))"
+    t = f"(1 / (1 + {x} / 2))"
+    poly = " + ".join(f"({c}) * pow({t}, {i})" for i, c in enumerate(fairness.ERFC))
+    return f"{t} * exp({poly} - {x} * {x})"
+
+
+@query(
+    "fair_p_values",
+    f"""SELECT attribute, value, ref_value, metric, round(z, 6) AS z, round(p, 6) AS p_value, p < 0.05 AS significant
+        FROM (SELECT *, {p_sql('z')} AS p FROM ({" UNION ALL ".join(
+            f"SELECT g.attribute, g.value, r.value AS ref_value, '{m}' AS metric, {z_sql(num, den)} AS z "
+            f"FROM xtab_total g LEFT JOIN (SELECT * FROM xtab_total WHERE {CHOSEN}) r ON g.attribute = r.attribute"
+            for m, (num, den) in fairness.METRICS.items())}))""",
+)
 def fair_p_values(spark, sf_dir):
     return rounded(fairness.significance(audited(spark, sf_dir), REFERENCES), "z", "p_value")
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from episodica.checks.registry import query, rounded
-from episodica.checks.tables import COUNT_SQL, OFFENSES, STUDY, ZERO_SQL, cohort, kept_cohort
+from episodica.checks.tables import ALL_COUNT_SQL, CODE_LISTS, STUDY, ZERO_SQL, cohort, plain_cohort
 from episodica.operators import encoding, splits
 from episodica.operators.evaluation import base_rate
 from episodica.operators.ordering import add_position
@@ -71,7 +74,8 @@ EDGE_SQL = ", ".join(f"quantile_cont(age_at_episode, {i / 10}) AS e{i}" for i in
         FROM cohort, (SELECT {EDGE_SQL} FROM cohort)""",
 )
 def qcut_bins(spark, sf_dir):
-    binned = encoding.equal_frequency_bins(kept_cohort(spark, sf_dir), "age_at_episode", 10)
+    kept = cut_lineage(plain_cohort(spark, sf_dir).select("person_id", "episode_id", "age_at_episode"))
+    binned = encoding.equal_frequency_bins(kept, "age_at_episode", 10)
     return rounded(
         binned.select("person_id", "episode_id", "age_at_episode_bin", "age_at_episode_lo", "age_at_episode_hi"),
         "age_at_episode_lo",
@@ -120,12 +124,12 @@ def undummy(spark, sf_dir):
 @query(
     "count_features",
     f"""SELECT c.person_id, c.episode_id, c.label, {ZERO_SQL} FROM cohort c LEFT JOIN
-        (SELECT person_id, episode_id, {COUNT_SQL} FROM component GROUP BY person_id, episode_id) b
+        (SELECT person_id, episode_id, {ALL_COUNT_SQL} FROM component GROUP BY person_id, episode_id) b
         ON c.person_id = b.person_id AND c.episode_id = b.episode_id""",
 )
 def count_features(spark, sf_dir):
     rows = cohort(spark, sf_dir).select(*encoding.EPISODE, "label")
-    return encoding.add_code_counts(rows, D.component(spark, sf_dir), {"offense_code": OFFENSES})
+    return encoding.add_code_counts(rows, D.component(spark, sf_dir), CODE_LISTS)
 
 
 @query("feature_intersect", "SELECT split_id, feature FROM shared_features")
@@ -171,7 +175,7 @@ def preprocess(spark, sf_dir):
     totals = features.groupBy("split_id", "side", "feature").agg(
         F.count("*").alias("n"), F.sum("value").alias("total")
     )
-    shared = encoding.common_features(features)
+    shared = encoding.common_features(totals)
     return rounded(totals.join(shared, ["split_id", "feature"]), "total", digits=4)
 
 
@@ -197,7 +201,40 @@ def split_calendar(spark, sf_dir):
     return splits.split_calendar(ranges, [6, 12])
 
 
-@query("random_split")
+@query(
+    "encoded_vectors",
+    f"""SELECT person_id, episode_id, split_id, side, feature, round(value, 6) AS value FROM (
+          SELECT f.person_id, f.episode_id, f.split_id, f.side, f.feature, f.value
+          FROM long_features f JOIN shared_features s ON f.split_id = s.split_id AND f.feature = s.feature
+          WHERE f.feature NOT IN ({', '.join(f"'{c}'" for c in NUMERIC)})
+          UNION ALL
+          SELECT r.person_id, r.episode_id, r.split_id, r.side, u.feature, COALESCE(u.value, m.fill)
+          FROM split_rows r, LATERAL (VALUES {', '.join(f"('{c}', CAST({c} AS DOUBLE))" for c in NUMERIC)}) AS u(feature, value)
+          JOIN (SELECT split_id, v.feature, quantile_cont(v.value, 0.5) AS fill FROM split_rows,
+                LATERAL (VALUES {', '.join(f"('{c}', CAST({c} AS DOUBLE))" for c in NUMERIC)}) AS v(feature, value)
+                WHERE side = 'train' AND v.value IS NOT NULL GROUP BY split_id, v.feature) m
+            ON m.split_id = r.split_id AND m.feature = u.feature)
+        WHERE value <> 0""",
+)
+def encoded_vectors(spark, sf_dir):
+    """The vectors that the models are fitted on, entry by entry."""
+    rows = cut_lineage(splits.temporal_split(cohort(spark, sf_dir), "release_date", STUDY.splits))
+    counts = cut_lineage(encoding.count_block_long(D.component(spark, sf_dir), COUNTED))
+    keys = [*encoding.EPISODE, "split_id", "side"]
+    parts = []
+    for s in STUDY.splits:
+        own = rows.filter(F.col("split_id") == s.split_id)
+        encoder = encoding.FeatureEncoder(CATEGORICAL, NUMERIC, COUNTED).fit(own, counts)
+        parts.append(encoding.vector_entries(encoder.transform(own, counts), encoder.names, keys))
+    return rounded(reduce(DataFrame.unionByName, parts), "value")
+
+
+@query(
+    "random_split",
+    """SELECT person_id, episode_id, label,
+         CASE WHEN ('0x' || substr(md5(person_id || '|' || episode_id || '|0'), 1, 8))::BIGINT % 4 = 0
+              THEN 'test' ELSE 'train' END AS side FROM cohort""",
+)
 def random_split(spark, sf_dir):
     return splits.random_split(cohort(spark, sf_dir), encoding.EPISODE).select(*encoding.EPISODE, "label", "side")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from episodica.checks.features import CATEGORICAL, COUNTED, IMPUTED, NUMERIC, split_features
+from episodica.checks.features import CATEGORICAL, COUNTED, NUMERIC, split_features
 from episodica.checks.registry import query, rounded
 from episodica.checks.tables import STUDY, cohort, kept_cohort
 from episodica.operators import models, neighbours, stump
@@ -12,33 +12,32 @@ from episodica.operators.models import Cell
 from episodica.plans import model_grid
 from episodica.sources import driver_tables as D
 
-SPEC = model_grid.FeatureSpec(CATEGORICAL, NUMERIC, IMPUTED, COUNTED)
+SPEC = model_grid.FeatureSpec(CATEGORICAL, NUMERIC, COUNTED)
 SPLIT = STUDY.splits[1]
 
-# One cell per family, small enough for a check; models.FULL_GRID holds them all.
-SMALL_CELLS = {
-    "model_rf": Cell.of("RF", trees=20, depth=10, min_split=2),
-    "model_lr": Cell.of("LR", penalty="l2", C=1),
-    "model_adaboost": Cell.of("AB", rounds=5),
-    "model_tree": Cell.of("DT", depth=10, min_split=10),
-    "model_svm": Cell.of("SVM", C=0.01),
-    "model_gbt": Cell.of("GB", trees=10, rate=0.1, subsample=0.5, depth=5),
-    "model_bagging": Cell.of("BG", trees=10, sample=0.5),
-    "model_knn_scores": Cell.of("KNN", k=15, weights="distance"),
+# Cells of the grid that one machine fits in seconds; models.FULL_GRID holds them all.
+FAMILY_CELLS = {
+    "model_rf": [Cell.of("RF", trees=10, depth=10, min_split=2)],
+    "model_lr": [Cell.of("LR", penalty="l1", C=1), Cell.of("LR", penalty="l2", C=1)],
+    "model_adaboost": [Cell.of("AB", rounds=10)],
+    "model_tree": [Cell.of("DT", depth=10, min_split=10)],
+    "model_svm": [Cell.of("SVM", C=0.01)],
+    "model_gbt": [Cell.of("GB", trees=10, rate=0.1, subsample=0.5, depth=5)],
+    "model_bagging": [Cell.of("BG", trees=10, sample=0.5)],
+    "model_knn_scores": [Cell.of("KNN", k=15, weights=w) for w in ("uniform", "distance")],
 }
 
 
-def register_family(name: str, cell: Cell) -> None:
+def register_family(name: str, cells: list[Cell]) -> None:
     @query(name)
     def run(spark, sf_dir):
         rows = kept_cohort(spark, sf_dir)
-        counts = model_grid.code_counts(rows, D.component(spark, sf_dir), SPEC)
-        encoded = model_grid.encode_split(rows, counts, SPLIT, SPEC)
-        return models.fit_and_score(cell, encoded.train, encoded.test)
+        _, scores = model_grid.score_grid(rows, D.component(spark, sf_dir), STUDY, SPEC, cells)
+        return scores
 
 
-for _name, _cell in SMALL_CELLS.items():
-    register_family(_name, _cell)
+for _name, _cells in FAMILY_CELLS.items():
+    register_family(_name, _cells)
 
 
 KNN_SQL = """
@@ -61,6 +60,30 @@ def model_knn(spark, sf_dir):
     return rounded(neighbours.predicted_label(neighbours.vote_shares(near)), "share")
 
 
+KNN_DISTANCE_SQL = """
+WITH pairs AS (
+  SELECT a.vec_id AS query, b.label,
+         list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS distance,
+         row_number() OVER (PARTITION BY a.vec_id ORDER BY
+           round(list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6), b.vec_id) AS place
+  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id),
+near AS (SELECT *, min(distance) OVER (PARTITION BY query) = 0 AS exact FROM pairs WHERE place <= 25),
+votes AS (SELECT query, label, sum(CASE WHEN exact THEN CAST(distance = 0 AS INTEGER) ELSE 1 / distance END) AS vote
+          FROM near GROUP BY query, label),
+shares AS (SELECT query, label, vote / sum(vote) OVER (PARTITION BY query) AS share FROM votes)
+SELECT query, label AS predicted, round(share, 6) AS share FROM shares
+QUALIFY row_number() OVER (PARTITION BY query ORDER BY round(share, 9) DESC, label) = 1"""
+
+
+@query("model_knn_distance", KNN_DISTANCE_SQL)
+def model_knn_distance(spark, sf_dir):
+    vectors = D.load(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("key"), F.col("embedding").alias("vector"), "label"
+    )
+    near = neighbours.k_nearest(vectors, vectors, 25, exclude_self=True)
+    return rounded(neighbours.predicted_label(neighbours.vote_shares(near, "distance")), "share")
+
+
 def stump_sql() -> str:
     gini = "2 * (({p}) / CAST({n} AS DOUBLE)) * (1 - ({p}) / CAST({n} AS DOUBLE))"
     left = gini.format(p="left_pos", n="left_n")
@@ -101,33 +124,42 @@ def stump_split(spark, sf_dir):
     return rounded(best, "gain")
 
 
-GRID_CELLS = [
-    Cell.of("DT", depth=1, min_split=2),
-    Cell.of("DT", depth=10, min_split=10),
-    Cell.of("RF", trees=10, depth=10, min_split=2),
-    Cell.of("LR", penalty="l1", C=0.1),
-]
+# One cell of each of the eight families.
+GRID_CELLS = [cells[0] for cells in FAMILY_CELLS.values()]
 
 
-@query("model_grid")
-def grid(spark, sf_dir):
+def scored_grid(spark, sf_dir, cells):
     rows = kept_cohort(spark, sf_dir)
-    _, scores = model_grid.score_grid(rows, D.component(spark, sf_dir), STUDY, SPEC, GRID_CELLS)
+    _, scores = model_grid.score_grid(rows, D.component(spark, sf_dir), STUDY, SPEC, cells)
     return model_grid.evaluate_grid(scores, rows, STUDY)
 
 
-BEST_CELL = Cell.of("RF", trees=30, depth=10, min_split=2)
+@query("model_grid")
+def grid(spark, sf_dir):
+    return scored_grid(spark, sf_dir, GRID_CELLS)
+
+
+@query(
+    "grid_sizes",
+    """SELECT split_id, m.model_type, count(*) FILTER (side = 'train') AS train_size,
+         count(*) FILTER (side = 'test') AS test_size, round(avg(label) FILTER (side = 'test'), 6) AS base_rate
+       FROM split_rows, (VALUES ('DT'), ('baseline')) AS m(model_type) GROUP BY split_id, m.model_type""",
+)
+def grid_sizes(spark, sf_dir):
+    found = scored_grid(spark, sf_dir, [Cell.of("DT", depth=1, min_split=2)])
+    return rounded(found.select("split_id", "model_type", "train_size", "test_size", "base_rate"), "base_rate")
+
+
+def report(spark, sf_dir):
+    """The chosen model with all its trees."""
+    return model_grid.best_model(cohort(spark, sf_dir), D.component(spark, sf_dir), SPLIT, SPEC)
 
 
 @query("best_model")
 def best_model(spark, sf_dir):
-    scores, _ = model_grid.best_model(cohort(spark, sf_dir), D.component(spark, sf_dir), SPLIT, SPEC, BEST_CELL)
-    return scores
+    return report(spark, sf_dir).scores
 
 
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
-    _, importances = model_grid.best_model(
-        cohort(spark, sf_dir), D.component(spark, sf_dir), SPLIT, SPEC, BEST_CELL
-    )
-    return importances
+    return report(spark, sf_dir).importances

@@ -11,12 +11,14 @@ from episodica.checks.tables import (
     EPISODE_COLUMNS,
     STUDY,
     cohort,
+    plain_cohort,
     kept_cohort,
     labelled,
     merged,
     study_episodes,
 )
 from episodica.operators import encoding, episodes, profile, ranking
+from episodica.session import cut_lineage
 from episodica.sources import driver_tables as D
 
 VARIABLES = [
@@ -63,7 +65,7 @@ def episode_severity(spark, sf_dir):
        FROM cohort WHERE race IS NOT NULL GROUP BY race""",
 )
 def share_single(spark, sf_dir):
-    return rounded(profile.share(cohort(spark, sf_dir), ["race"]), "percent")
+    return rounded(profile.share(plain_cohort(spark, sf_dir), ["race"]), "percent")
 
 
 @query(
@@ -73,7 +75,7 @@ def share_single(spark, sf_dir):
        FROM cohort WHERE race IS NOT NULL AND ethnic IS NOT NULL GROUP BY race, ethnic""",
 )
 def share_multi(spark, sf_dir):
-    return rounded(profile.share(cohort(spark, sf_dir), ["race", "ethnic"]), "percent")
+    return rounded(profile.share(plain_cohort(spark, sf_dir), ["race", "ethnic"]), "percent")
 
 
 @query(
@@ -113,14 +115,35 @@ def describe(spark, sf_dir):
 
 @query(
     "describe_by_group",
-    f"""SELECT gender, variable, {DESCRIBE_SQL} FROM {unpivot_sql(VARIABLES, 'cohort', 'gender,')}
-        GROUP BY gender, variable""",
+    " UNION ALL ".join(
+        f"SELECT '{g}' AS attribute, {g} AS group_value, variable, {DESCRIBE_SQL} "
+        f"FROM {unpivot_sql(VARIABLES, 'cohort', f'{g},')} GROUP BY {g}, variable"
+        for g in ("gender", "race")
+    ),
 )
 def describe_by_group(spark, sf_dir):
-    return rounded(profile.describe(kept_cohort(spark, sf_dir), VARIABLES, ["gender"]), *DESCRIBED)
+    found = profile.describe_groups(kept_cohort(spark, sf_dir), VARIABLES, ["gender", "race"])
+    return rounded(found, *DESCRIBED)
 
 
-NULL_COLUMNS = ["person_id", "release_date", "gender", "race", "ethnic", "height", "weight"]
+@query(
+    "score_profile",
+    " UNION ALL ".join(
+        f"SELECT '{g}' AS attribute, {g} AS group_value, variable, {DESCRIBE_SQL} "
+        f"FROM {unpivot_sql(['score'], 'scores', f'{g},')} GROUP BY {g}, variable"
+        for g in ("gender", "race")
+    ),
+)
+def score_profile(spark, sf_dir):
+    """Scores by group, as the audit reports them."""
+    return rounded(profile.describe_groups(D.scores(spark, sf_dir), ["score"], ["gender", "race"]), *DESCRIBED)
+
+
+NULL_COLUMNS = [
+    "person_id", "episode_id", "release_date", "begin_date", "total_components", "felony_components",
+    "episode_class", "next_start", "prior_episodes", "label", "follow_up_days", "birth_date", "gender", "race",
+    "ethnic", "height", "weight", "age_at_episode", "years_in_stay", "age_at_first",
+]
 
 
 @query(
@@ -130,7 +153,7 @@ NULL_COLUMNS = ["person_id", "release_date", "gender", "race", "ethnic", "height
     ),
 )
 def null_summary(spark, sf_dir):
-    return profile.null_summary(cohort(spark, sf_dir), NULL_COLUMNS)
+    return profile.null_summary(cohort(spark, sf_dir))
 
 
 def corr_sql(a: str, b: str) -> str:
@@ -180,7 +203,7 @@ def histogram(spark, sf_dir):
     return rounded(profile.histogram(kept_cohort(spark, sf_dir), VARIABLES), "bin_lo", "bin_hi")
 
 
-BOX_VARIABLES = ["total_components", "height", "weight", "age_at_episode", "years_in_stay"]
+BOX_VARIABLES = VARIABLES
 FENCE_SQL = f"""(SELECT variable, quantile_cont(value, 0.25) AS q25, quantile_cont(value, 0.5) AS q50,
     quantile_cont(value, 0.75) AS q75 FROM {unpivot_sql(BOX_VARIABLES, 'cohort')} GROUP BY variable)"""
 
@@ -222,7 +245,7 @@ PAIR_BIN = "CAST(LEAST(floor(({v} - lo_{v}) / ((hi_{v} - lo_{v}) / 10)), 9) AS I
     + ")",
 )
 def pair_density(spark, sf_dir):
-    return profile.pair_density(kept_cohort(spark, sf_dir), PAIR_VARIABLES)
+    return profile.pair_density(cut_lineage(plain_cohort(spark, sf_dir).select(*PAIR_VARIABLES)), PAIR_VARIABLES)
 
 
 @query(
@@ -251,7 +274,8 @@ OUTLIER_VARIABLES = ["total_components", "years_in_stay"]
            OR years_in_stay < b1 - 1.5 * (b3 - b1) OR years_in_stay > b3 + 1.5 * (b3 - b1)""",
 )
 def iqr_outliers(spark, sf_dir):
-    found = profile.iqr_outliers(kept_cohort(spark, sf_dir), OUTLIER_VARIABLES)
+    kept = cut_lineage(plain_cohort(spark, sf_dir).select("person_id", "episode_id", *OUTLIER_VARIABLES))
+    found = profile.iqr_outliers(kept, OUTLIER_VARIABLES)
     return rounded(found.select("person_id", "episode_id", *OUTLIER_VARIABLES), "years_in_stay")
 
 

@@ -37,6 +37,13 @@ def cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def plain_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cohort without history, for queries that do not read it."""
+    return plans.build_cohort(
+        D.component(spark, sf_dir), D.stay(spark, sf_dir), D.person(spark, sf_dir), STUDY, history=False
+    )
+
+
 def kept_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cohort, materialised for queries that pass over it more than once."""
     return cut_lineage(cohort(spark, sf_dir))
@@ -353,7 +360,12 @@ def semi_cohort(spark, sf_dir):
 
 OFFENSES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 COUNT_SQL = ", ".join(f"count(*) FILTER (offense_code = '{o}') AS offense_code_{o}" for o in OFFENSES)
-ZERO_SQL = ", ".join(f"COALESCE(b.offense_code_{o}, 0) AS offense_code_{o}" for o in OFFENSES)
+# The nations' keys.
+COUNTIES = tuple(str(i) for i in range(25))
+CODE_LISTS = {"offense_code": OFFENSES, "county_code": COUNTIES}
+CODES = [(c, v) for c, values in CODE_LISTS.items() for v in values]
+ALL_COUNT_SQL = ", ".join(f"count(*) FILTER ({c} = '{v}') AS {c}_{v}" for c, v in CODES)
+ZERO_SQL = ", ".join(f"COALESCE(b.{c}_{v}, 0) AS {c}_{v}" for c, v in CODES)
 
 
 @query(
@@ -369,12 +381,12 @@ def select_by_prefix(spark, sf_dir):
 @query(
     "join_count_blocks",
     f"""SELECT e.person_id, e.episode_id, {ZERO_SQL} FROM study_episode e LEFT JOIN
-        (SELECT person_id, episode_id, {COUNT_SQL} FROM component GROUP BY person_id, episode_id) b
+        (SELECT person_id, episode_id, {ALL_COUNT_SQL} FROM component GROUP BY person_id, episode_id) b
         ON e.person_id = b.person_id AND e.episode_id = b.episode_id""",
 )
 def join_count_blocks(spark, sf_dir):
     base = study_episodes(spark, sf_dir).select(*encoding.EPISODE)
-    return encoding.add_code_counts(base, D.component(spark, sf_dir), {"offense_code": OFFENSES})
+    return encoding.add_code_counts(base, D.component(spark, sf_dir), CODE_LISTS)
 
 
 @query(

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import math
-import re
 from dataclasses import dataclass
 
-from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,18 +25,14 @@ class WeightedStump:
     right: int
     alpha: float = 1.0
 
-    def vote(self, values: Column) -> Column:
-        below = F.get(values, F.lit(self.feature)) <= F.lit(self.threshold)
-        return F.when(below, F.lit(float(self.left))).otherwise(F.lit(float(self.right)))
 
-
-def _read_stump(text: str) -> WeightedStump | None:
-    split = re.search(r"feature (\d+) <= (\S+)\)", text)
-    leaves = re.findall(r"Predict: (\S+)", text)
-    if split is None or len(leaves) != 2:
+def _read_stump(model: DecisionTreeClassificationModel) -> WeightedStump | None:
+    """The root of a fitted tree; None where the data gave no split."""
+    if model.depth == 0:
         return None
-    left, right = (1 if float(v) > 0.5 else -1 for v in leaves)
-    return WeightedStump(int(split[1]), float(split[2]), left, right)
+    root = model._call_java("rootNode")
+    left, right = (1 if child.prediction() > 0.5 else -1 for child in (root.leftChild(), root.rightChild()))
+    return WeightedStump(root.split().featureIndex(), root.split().threshold(), left, right)
 
 
 def fit_boosted_stumps(train: DataFrame, rounds: int, seed: int = 0) -> list[WeightedStump]:
@@ -55,13 +50,15 @@ def fit_boosted_stumps(train: DataFrame, rounds: int, seed: int = 0) -> list[Wei
     rows = cut_lineage(plain)
     learner = DecisionTreeClassifier(maxDepth=1, impurity="gini", weightCol="weight", seed=seed)
     stumps: list[WeightedStump] = []
-    truth = F.col("label") * 2 - 1
     for turn in range(rounds):
-        stump = _read_stump(learner.fit(rows).toDebugString)
+        model = learner.fit(rows)
+        stump = _read_stump(model)
         if stump is None:
             break
-        missed = stump.vote(vector_to_array("features")) != truth
-        sums = rows.agg(
+        # The tree itself reads the sparse vectors.
+        marked = model.transform(rows).select(*rows.columns, (F.col("prediction") != F.col("label")).alias("missed"))
+        missed = F.col("missed")
+        sums = marked.agg(
             F.sum("weight").alias("all"), F.sum(F.when(missed, F.col("weight")).otherwise(0.0)).alias("missed")
         ).first()
         error = sums["missed"] / sums["all"]
@@ -75,16 +72,16 @@ def fit_boosted_stumps(train: DataFrame, rounds: int, seed: int = 0) -> list[Wei
         # Weights keep a mean of about one.
         scale = sums["all"] / (sums["all"] + sums["missed"] * (math.exp(alpha) - 1))
         grown = F.when(missed, math.exp(alpha)).otherwise(1.0) * F.lit(scale)
-        rows = rows.withColumn("weight", F.col("weight") * grown)
+        rows = marked.withColumn("weight", F.col("weight") * grown).drop("missed")
         if (turn + 1) % CHECKPOINT_ROUNDS == 0:
             rows = cut_lineage(rows)
     return stumps
 
 
-def boosted_score(stumps: list[WeightedStump], features: Column) -> Column:
-    """Probability-like score from the weighted votes."""
+def boosted_score(stumps: list[WeightedStump], features: Column, prior: float = 0.5) -> Column:
+    """Probability-like score from the weighted votes; ``prior`` where there are none."""
     if not stumps:
-        return F.lit(0.5)
+        return F.lit(float(prior))
     table = F.array(
         *[
             F.struct(

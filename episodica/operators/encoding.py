@@ -5,22 +5,18 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from episodica.functions.columns import flag_equal
 from episodica.operators.episodes import keep_episodes_of, keep_persons_of
 from episodica.operators.ordering import exact_quantiles
 from episodica.operators.profile import long_values
-from episodica.session import join_checked
 
 EPISODE = ["person_id", "episode_id"]
 
-# Feature names are kept on the driver, as the fitted encoders do.
-MAX_FEATURES = 500_000
-
 
 def observed_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct non-null (column, code) pairs."""
@@ -29,12 +25,12 @@ def observed_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def code_lists(codes: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted codes per column, fetched only when their number is bounded."""
-    rows = codes.limit(MAX_FEATURES + 1).collect()
-    if len(rows) > MAX_FEATURES:
-        raise ValueError(f"more than {MAX_FEATURES} codes; use count_block_long instead")
+    """Sorted codes per column, for the wide forms, which have one expression per code.
+
+    Columns with many codes stay long (count_block_long) or sparse (FeatureEncoder).
+    """
     lists: dict[str, list[str]] = {c: [] for c in columns}
-    for row in rows:
+    for row in codes.toLocalIterator():
         lists[row["column"]].append(row["code"])
     return {c: sorted(v) for c, v in lists.items()}
 
@@ -120,7 +116,8 @@ def impute_by_split(
     wide = medians.groupBy(*keys).agg(
         *[F.max(F.when(F.col("variable") == c, F.col("fill"))).alias(f"_fill_{c}") for c in columns]
     )
-    filled = join_checked(rows, wide, keys, "left")
+    # One row per split (and side).
+    filled = rows.join(F.broadcast(wide), keys, "left")
     return filled.withColumns(
         {c: F.coalesce(F.col(c).cast("double"), F.col(f"_fill_{c}")) for c in columns}
     ).drop(*[f"_fill_{c}" for c in columns])
@@ -189,14 +186,21 @@ def features_long(
 
 
 def common_features(features: DataFrame) -> DataFrame:
-    """Names that occur on both sides of each split."""
-    sides = {s: features.filter(F.col("side") == s).select("split_id", "feature") for s in ("train", "test")}
-    return sides["train"].intersect(sides["test"])
+    """Names that occur on both sides of each split.
+
+    One aggregation over flags: a feature that every row has is combined in each
+    task before the shuffle.
+    """
+    sides = features.groupBy("split_id", "feature").agg(
+        *[F.max(F.col("side") == s).alias(s) for s in ("train", "test")]
+    )
+    return sides.filter("train and test").select("split_id", "feature")
 
 
 def _codes_by_side(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     items = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("code")) for c in columns]
-    return rows.select("side", F.inline(F.array(*items))).filter(F.col("code").isNotNull()).distinct()
+    none = F.array().cast("array<struct<column:string,code:string>>")
+    return rows.select("side", F.inline(F.concat(none, F.array(*items)) if items else none)).filter("code is not null")
 
 
 @dataclass
@@ -204,16 +208,20 @@ class FeatureEncoder:
     """Fitted mapping from cohort rows to sparse feature vectors.
 
     Categories and counted codes are those seen in both train and test; missing
-    numbers take the median of the training rows.
+    numbers take the median of the training rows, and zero where training has
+    none. Names are kept on the driver, like the coefficients of the models
+    that are fitted on them.
     """
 
     categorical: Sequence[str]
     numeric: Sequence[str]
     counted: Sequence[str] = ()
-    imputed: Sequence[str] = ()
-    codes: dict[str, list[str]] = field(default_factory=dict)
     fills: dict[str, float] = field(default_factory=dict)
-    names: list[str] = field(default_factory=list)
+    codes: list[str] = field(default_factory=list)
+
+    @property
+    def names(self) -> list[str]:
+        return [*self.codes, *self.numeric]
 
     def fit(self, rows: DataFrame, counts: DataFrame | None = None) -> FeatureEncoder:
         """Learn codes and fill values from materialised rows with a column ``side``.
@@ -222,57 +230,43 @@ class FeatureEncoder:
         """
         seen = _codes_by_side(rows, self.categorical)
         if self.counted:
-            seen = seen.unionByName(
-                rows.select(*EPISODE, "side").join(counts, EPISODE).select("side", "column", "code").distinct()
-            )
-        both = seen.groupBy("column", "code").agg(F.count("*").alias("sides")).filter("sides = 2")
-        self.codes = code_lists(both.drop("sides"), [*self.categorical, *self.counted])
-        train = rows.filter(F.col("side") == "train")
-        self.fills = fill_values(train, self.imputed, "median") if self.imputed else {}
-        self.names = [
-            f"{c}_{v}" for c in [*self.categorical, *self.counted] for v in self.codes[c]
-        ] + list(self.numeric)
+            seen = seen.unionByName(rows.select(*EPISODE, "side").join(counts, EPISODE).select("side", "column", "code"))
+        sides = seen.groupBy("column", "code").agg(*[F.max(F.col("side") == s).alias(s) for s in ("train", "test")])
+        both = sides.filter("train and test").select("column", "code")
+        place = {c: i for i, c in enumerate([*self.categorical, *self.counted])}
+        found = sorted((place[r["column"]], r["code"], r["column"]) for r in both.toLocalIterator())
+        self.codes = [f"{column}_{code}" for _, code, column in found]
+        fills = fill_values(rows.filter(F.col("side") == "train"), self.numeric, "median") if self.numeric else {}
+        self.fills = {c: 0.0 if fills.get(c) is None else fills[c] for c in self.numeric}
         return self
 
     def transform(self, rows: DataFrame, counts: DataFrame | None = None) -> DataFrame:
-        """Add column ``features``."""
+        """Add column ``features``: counts of the row's codes, then its numbers.
+
+        A row's codes are a list with as many entries as it has components, so
+        its vector holds no more than those however long the list of codes is.
+        """
         filled = impute(rows, self.fills)
-        parts: list[str] = []
-        used = [c for c in self.categorical if self.codes[c]]
-        if used:
-            indexed = filled
-            for c in used:
-                indexer = StringIndexerModel.from_labels(
-                    self.codes[c], inputCol=c, outputCol=f"_i_{c}", handleInvalid="keep"
-                )
-                indexed = indexer.transform(indexed)
-            hot = OneHotEncoder(
-                inputCols=[f"_i_{c}" for c in used], outputCols=[f"_h_{c}" for c in used]
+        own = [F.concat(F.lit(f"{c}_"), F.col(c).cast("string")) for c in self.categorical]
+        codes = F.array_compact(F.array(*own)) if own else F.array().cast("array<string>")
+        if self.counted:
+            entry = F.array_repeat(F.concat_ws("_", "column", "code"), F.col("n").cast("int"))
+            lists = counts.filter(F.col("column").isin(list(self.counted))).groupBy(*EPISODE).agg(
+                F.flatten(F.collect_list(entry)).alias("_counted")
             )
-            filled = hot.fit(indexed).transform(indexed)
-            parts += [f"_h_{c}" for c in used]
-        counted = [c for c in self.counted if self.codes[c]]
-        if counted:
-            filled = filled.join(self._count_vectors(counts, counted), EPISODE, "left")
-            for c in counted:
-                zeros = F.array_repeat(F.lit(0.0), len(self.codes[c]))
-                filled = filled.withColumn(f"_c_{c}", array_to_vector(F.coalesce(F.col(f"_c_{c}"), zeros)))
-            parts += [f"_c_{c}" for c in counted]
-        assembler = VectorAssembler(inputCols=[*parts, *self.numeric], outputCol="features")
-        return assembler.transform(filled).drop(*parts, *[f"_i_{c}" for c in used])
-
-    def _count_vectors(self, counts: DataFrame, counted: Sequence[str]) -> DataFrame:
-        # One map of code counts per episode: its size is bounded by the code list.
-        entry = F.struct("code", F.col("n").cast("double").alias("n"))
-        maps = counts.groupBy(*EPISODE).agg(
-            *[
-                F.map_from_entries(F.collect_list(F.when(F.col("column") == c, entry))).alias(f"_c_{c}")
-                for c in counted
-            ]
-        )
-
-        def dense(c: str) -> Column:
-            known = F.array(*[F.lit(v) for v in self.codes[c]])
-            return F.transform(known, lambda code: F.coalesce(F.col(f"_c_{c}")[code], F.lit(0.0)))
-
-        return maps.withColumns({f"_c_{c}": dense(c) for c in counted})
+            filled = filled.join(lists, EPISODE, "left")
+            codes = F.concat(codes, F.coalesce("_counted", F.array().cast("array<string>")))
+        parts = list(self.numeric)
+        if self.codes:
+            counter = CountVectorizerModel.from_vocabulary(self.codes, inputCol="_codes", outputCol="_code_counts")
+            filled = counter.transform(filled.withColumn("_codes", codes))
+            parts = ["_code_counts", *parts]
+        assembled = VectorAssembler(inputCols=parts, outputCol="features").transform(filled)
+        return assembled.drop("_codes", "_code_counts", "_counted")
+
+
+def vector_entries(encoded: DataFrame, names: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Non-zero entries of the vectors by feature name, for reports on few features."""
+    values = F.posexplode(vector_to_array("features")).alias("at", "value")
+    entries = encoded.select(*keys, values).filter("value <> 0")
+    return entries.select(*keys, F.get(F.array(*[F.lit(n) for n in names]), F.col("at")).alias("feature"), "value")

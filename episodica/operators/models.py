@@ -24,7 +24,7 @@ from episodica.operators.neighbours import k_nearest, vote_shares
 MAX_DEPTH = 30
 ROW_KEY = ["person_id", "episode_id"]
 
-# The parameter grid of every family.
+# The parameter grid of every family, as asked for.
 FULL_GRID: dict[str, dict[str, list]] = {
     "RF": {"trees": [1, 10, 100, 1000, 10000], "depth": [10, 100, 500], "min_split": [2, 10]},
     "LR": {"penalty": ["l1", "l2"], "C": [0.001, 0.1, 1, 10]},
@@ -41,30 +41,46 @@ BEST_MODEL = ("RF", {"trees": 1000, "depth": 10, "min_split": 2})
 
 @dataclass(frozen=True)
 class Cell:
-    """One family with one choice of parameters."""
+    """One family with one choice of parameters, and the choices of a grid that it stands for."""
 
     family: str
     params: str
+    requested: str
 
     @classmethod
     def of(cls, family: str, **params) -> Cell:
-        return cls(family, json.dumps(params, sort_keys=True))
+        text = json.dumps(params, sort_keys=True)
+        return cls(family, text, text)
 
     def values(self) -> dict:
         return json.loads(self.params)
 
 
+def supported(family: str, params: dict) -> dict:
+    """The nearest parameters that MLlib can fit: trees of unlimited or greater depth are MAX_DEPTH deep."""
+    if "depth" in params and (params["depth"] is None or params["depth"] > MAX_DEPTH):
+        return params | {"depth": MAX_DEPTH}
+    return params
+
+
 def grid_cells(grid: dict[str, dict[str, list]] = FULL_GRID) -> list[Cell]:
-    """All cells of a grid, family by family."""
-    return [
-        Cell.of(family, **dict(zip(choices, values)))
-        for family, choices in grid.items()
-        for values in product(*choices.values())
-    ]
+    """All cells of a grid, family by family.
+
+    Choices that lead to the same fit are one cell; ``requested`` lists them.
+    """
+    asked: dict[tuple[str, str], list[str]] = {}
+    for family, choices in grid.items():
+        for values in product(*choices.values()):
+            params = dict(zip(choices, values))
+            key = family, json.dumps(supported(family, params), sort_keys=True)
+            asked.setdefault(key, []).append(json.dumps(params, sort_keys=True))
+    return [Cell(family, params, " | ".join(texts)) for (family, params), texts in asked.items()]
 
 
-def _depth(value: int | None) -> int:
-    return MAX_DEPTH if value is None else min(int(value), MAX_DEPTH)
+def _depth(value: int) -> int:
+    if value is None or value > MAX_DEPTH:
+        raise ValueError(f"trees cannot be deeper than {MAX_DEPTH}: {value}; see supported()")
+    return int(value)
 
 
 def _leaf(min_split: int) -> int:
@@ -104,18 +120,22 @@ def estimator(cell: Cell, train_rows: int, seed: int = 0):
     return None
 
 
-def fit_and_score(cell: Cell, train: DataFrame, test: DataFrame, seed: int = 0) -> DataFrame:
+def fit_and_score(
+    cell: Cell, train: DataFrame, test: DataFrame, seed: int = 0, train_rows: int | None = None
+) -> DataFrame:
     """Scores of the test rows: (person_id, episode_id, label, score).
 
-    The support vector machine gives its margin, every other family a
+    ``train_rows`` is the number of training rows, where the caller knows it. The support vector machine gives its margin, every other family a
     probability of the positive class.
     """
     if cell.family == "AB":
         stumps = fit_boosted_stumps(train, cell.values()["rounds"], seed)
-        return test.select(*ROW_KEY, "label", boosted_score(stumps, F.col("features")).alias("score"))
+        prior = 0.5 if stumps else train.agg(F.avg("label")).first()[0]
+        return test.select(*ROW_KEY, "label", boosted_score(stumps, F.col("features"), prior).alias("score"))
     if cell.family == "KNN":
         return _neighbour_scores(cell, train, test)
-    model = estimator(cell, train.count(), seed).fit(train)
+    rows = train.count() if train_rows is None else train_rows
+    model = estimator(cell, rows, seed).fit(train)
     column = "rawPrediction" if cell.family == "SVM" else "probability"
     score = vector_to_array(column)[1].alias("score")
     return model.transform(test).select(*ROW_KEY, "label", score)

@@ -1,6 +1,7 @@
 """Exact k nearest neighbours as a pruned block join.
 
-Training rows are assigned to the nearest of a few pivots. Cell sizes and radii
+Training rows are assigned to the nearest of about sqrt(rows) pivots, so that
+both the cells and their rows grow with the square root of the data. Cell sizes and radii
 bound the distance to the k-th neighbour of a query, and the triangle
 inequality rules out cells that cannot hold a nearer row. Cells are cut into
 blocks of bounded size, queries per cell into chunks, so a dense cell spreads
@@ -10,6 +11,7 @@ rows per query.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +23,6 @@ from episodica.session import cut_lineage
 
 BLOCK_ROWS = 20_000
 CHUNK_ROWS = 20_000
-MAX_PIVOTS = 256
 TILE_ROWS = 256
 SLACK = 1e-6
 
@@ -38,6 +39,11 @@ def _matrix(series: pd.Series) -> np.ndarray:
     return np.array(series.tolist(), dtype="float64")
 
 
+def _tiles(vectors: pd.Series) -> Iterator[np.ndarray]:
+    for start in range(0, len(vectors), TILE_ROWS):
+        yield _matrix(vectors.iloc[start : start + TILE_ROWS])
+
+
 def k_nearest(
     train: DataFrame,
     queries: DataFrame,
@@ -55,17 +61,19 @@ def k_nearest(
     """
     rows = train.select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("vector"), F.col(label).alias("label"))
     asks = queries.select(F.col(key).alias("query"), F.col(vector).cast("array<double>").alias("vector"))
-    size = rows.count()
-    wanted = pivots or int(min(MAX_PIVOTS, max(1, size // 500)))
-    # At most MAX_PIVOTS vectors reach the driver.
+    wanted = pivots or max(1, math.isqrt(rows.count()))
+    # About sqrt(rows) vectors reach the driver, and later one count per cell.
     chosen = rows.orderBy(F.xxhash64("key"), "key").limit(wanted).select("vector").collect()
     centers = np.array([r["vector"] for r in chosen], dtype="float64")
 
     @F.pandas_udf("struct<cell:int,away:double>")
     def nearest_pivot(vectors: pd.Series) -> pd.DataFrame:
-        d = _distances(_matrix(vectors), centers)
-        cell = d.argmin(axis=1)
-        return pd.DataFrame({"cell": cell.astype("int32"), "away": d[np.arange(len(d)), cell]})
+        parts = []
+        for tile in _tiles(vectors):
+            d = _distances(tile, centers)
+            cell = d.argmin(axis=1)
+            parts.append(pd.DataFrame({"cell": cell.astype("int32"), "away": d[np.arange(len(d)), cell]}))
+        return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"cell": [], "away": []})
 
     placed = cut_lineage(
         rows.withColumn("_p", nearest_pivot("vector")).select("key", "vector", "label", "_p.cell", "_p.away")
@@ -78,32 +86,39 @@ def k_nearest(
 
     @F.pandas_udf("array<int>")
     def cells_in_reach(vectors: pd.Series) -> pd.Series:
-        d = _distances(_matrix(vectors), centers[ids])
-        far = d + radii
-        by_far = np.argsort(far, axis=1, kind="stable")
-        enough = np.cumsum(counts[by_far], axis=1) >= need
-        at = np.where(enough.any(axis=1), enough.argmax(axis=1), len(ids) - 1)
-        bound = np.take_along_axis(far, by_far, axis=1)[np.arange(len(d)), at]
-        bound = np.where(enough.any(axis=1), bound, np.inf)
-        keep = d - radii <= bound[:, None] + SLACK
-        return pd.Series([ids[row].astype("int32").tolist() for row in keep])
+        out = []
+        for tile in _tiles(vectors):
+            d = _distances(tile, centers[ids])
+            far = d + radii
+            by_far = np.argsort(far, axis=1, kind="stable")
+            enough = np.cumsum(counts[by_far], axis=1) >= need
+            at = np.where(enough.any(axis=1), enough.argmax(axis=1), len(ids) - 1)
+            bound = np.take_along_axis(far, by_far, axis=1)[np.arange(len(d)), at]
+            bound = np.where(enough.any(axis=1), bound, np.inf)
+            keep = d - radii <= bound[:, None] + SLACK
+            out += [ids[row].astype("int32").tolist() for row in keep]
+        return pd.Series(out)
 
     sent = cut_lineage(asks.select("query", "vector", F.explode(cells_in_reach("vector")).alias("cell")))
-    asked = {r["cell"]: r["n"] for r in sent.groupBy("cell").agg(F.count("*").alias("n")).collect()}
-    blocks = {int(c): -(-int(cells[c][0]) // BLOCK_ROWS) for c in ids}
-    chunks = {int(c): max(1, -(-asked.get(c, 0) // CHUNK_ROWS)) for c in ids}
-
-    def per_cell(sizes: dict[int, int]):
-        return F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair])[F.col("cell")]
+    parts = [
+        df.groupBy("cell").agg(F.ceil(F.count("*") / size).cast("int").alias(name))
+        for df, size, name in ((placed, BLOCK_ROWS, "blocks"), (sent, CHUNK_ROWS, "chunks"))
+    ]
+    # One row per cell that has rows and queries.
+    sizes = F.broadcast(parts[0].join(parts[1], "cell"))
 
-    def own(column: str, sizes: dict[int, int]):
-        return F.pmod(F.xxhash64(column), per_cell(sizes)).cast("int")
+    def own(column: str, count: str):
+        return F.pmod(F.xxhash64(column), F.col(count)).cast("int")
 
-    def every(sizes: dict[int, int]):
-        return F.explode(F.sequence(F.lit(0), per_cell(sizes) - 1))
+    def every(count: str):
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
-    left = sent.select("*", own("query", chunks).alias("chunk"), every(blocks).alias("block"))
-    right = placed.drop("away").select("*", own("key", blocks).alias("block"), every(chunks).alias("chunk"))
+    left = sent.join(sizes, "cell").select(
+        *sent.columns, own("query", "chunks").alias("chunk"), every("blocks").alias("block")
+    )
+    right = placed.drop("away").join(sizes, "cell").select(
+        "cell", "key", "vector", "label", own("key", "blocks").alias("block"), every("chunks").alias("chunk")
+    )
     schema = (
         f"query {dict(asks.dtypes)['query']}, key {dict(rows.dtypes)['key']}, "
         f"label {dict(rows.dtypes)['label']}, distance double"

@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from episodica.session import cut_lineage, join_checked
+from episodica.session import cut_lineage
 
 SLICE = "_slice"
 
@@ -109,7 +109,7 @@ def exact_quantiles(
     order = [F.col(value).asc()]
     sliced = slice_rows(counts, keys, order)
     totals = sliced.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    ranked = join_checked(sweep(sliced, keys, order, {"_before": F.col("_n")}), totals, keys)
+    ranked = sweep(sliced, keys, order, {"_before": F.col("_n")}).join(totals, keys)
 
     def at(rank: Column) -> Column:
         here = (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_n"))

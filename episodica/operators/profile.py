@@ -43,6 +43,13 @@ def describe(df: DataFrame, variables: list[str], by: list[str] = ()) -> DataFra
     return moments.join(exact_quantiles(long, keys, "value", QUARTILES), keys)
 
 
+def describe_groups(df: DataFrame, variables: list[str], attributes: list[str]) -> DataFrame:
+    """``describe`` for every value of several attributes: (attribute, group_value, variable, ...)."""
+    items = [F.struct(F.lit(a).alias("attribute"), F.col(a).cast("string").alias("group_value")) for a in attributes]
+    rows = df.select(*variables, F.inline(F.array(*items)))
+    return describe(rows, variables, ["attribute", "group_value"])
+
+
 def correlation_long(df: DataFrame, variables: list[str]) -> DataFrame:
     """Pearson correlation of every ordered pair, over rows where both are known.
 

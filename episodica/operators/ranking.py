@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from episodica.operators.ordering import add_position, slice_rows, sweep
-from episodica.session import join_checked
 
 ALL = "_all"
 
@@ -37,7 +36,7 @@ def score_table(df: DataFrame, by: list[str], score: str = "score", label: str =
     sliced = slice_rows(counts, keys, order)
     totals = sliced.groupBy(*keys).agg(F.sum("n").alias("total_n"), F.sum("pos").alias("total_pos"))
     ranked = sweep(sliced, keys, order, {"above_n": F.col("n"), "above_pos": F.col("pos")})
-    table = join_checked(ranked, totals, keys)
+    table = ranked.join(totals, keys)
     return table.select(
         *by, "score", "n", "pos", "above_n", "above_pos", "total_n", "total_pos"
     )
@@ -72,10 +71,11 @@ def flag_top_share(df: DataFrame, by: list[str], k: float, score: str = "score",
     """Add ``predicted``: 1 where the score reaches the top-k% cut-off, ties included."""
     found = cutoffs(score_table(df, by, score, label), by, (k,)).select(*by, "cutoff")
     if by:
-        marked = join_checked(df, found, by)
+        marked = df.join(found, by)
         reached = F.col(score) >= F.col("cutoff")
     else:
-        marked, reached = df, F.col(score) >= F.lit(found.first()["cutoff"])
+        row = found.first()  # None without scores
+        marked, reached = df, F.col(score) >= F.lit(row["cutoff"] if row else None).cast("double")
     return marked.withColumn("predicted", F.when(reached, 1).otherwise(0)).drop("cutoff")
 
 
@@ -83,7 +83,7 @@ def flag_top_positions(df: DataFrame, by: list[str], k: float) -> DataFrame:
     """Add ``predicted``: 1 for the first n*k/100 rows in score order, ties cut by key."""
     ranked = rank_by_score(df, by)
     if by:
-        ranked = join_checked(ranked, df.groupBy(*by).agg(F.count("*").alias("_n")), by)
+        ranked = ranked.join(df.groupBy(*by).agg(F.count("*").alias("_n")), by)
         size = F.col("_n")
     else:
         size = F.lit(df.count())
@@ -94,7 +94,7 @@ def flag_top_positions(df: DataFrame, by: list[str], k: float) -> DataFrame:
 def repeated_scores(df: DataFrame, score: str = "score", key: str = "key") -> DataFrame:
     """Rows whose score already occurred on a smaller key."""
     firsts = df.groupBy(score).agg(F.min(key).alias("_first"))
-    return join_checked(df, firsts, [score]).filter(F.col(key) > F.col("_first")).drop("_first")
+    return df.join(firsts, [score]).filter(F.col(key) > F.col("_first")).drop("_first")
 
 
 def ranked_list(df: DataFrame, by: list[str] = (), score: str = "score", key: str = "key") -> DataFrame:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from episodica.operators import fairness, profile, ranking
 from episodica.operators.encoding import EPISODE
@@ -32,7 +34,13 @@ def audit_scores(
     metrics = fairness.group_metrics(fairness.crosstab(flagged, names))
     chosen = fairness.disparities(metrics, references)
     parity = fairness.parity(chosen, tau)
+    shares = [
+        profile.share(keyed, [a]).select(F.lit(a).alias("attribute"), F.col(a).cast("string").alias("value"), "count", "percent")
+        for a in names
+    ]
     return {
+        "scores_by_group": profile.describe_groups(keyed, ["score"], names),
+        "group_shares": reduce(DataFrame.unionByName, shares),
         "profile": profile.crosstab_counts(flagged, names, ["predicted", "label"]),
         "metrics": metrics,
         "disparity_to_reference": chosen,

@@ -10,11 +10,15 @@ from episodica.functions import columns as C
 from episodica.operators import episodes as E
 
 
+def window_episodes(components: DataFrame, stays: DataFrame, study: Study) -> DataFrame:
+    """Episodes of the study window."""
+    merged = E.join_components_to_stays(components, stays)
+    return E.begun_before(E.collapse_episodes(merged, study), study.end)
+
+
 def labelled_episodes(components: DataFrame, stays: DataFrame, study: Study) -> DataFrame:
     """Episodes of the study window with history and label."""
-    merged = E.join_components_to_stays(components, stays)
-    episodes = E.begun_before(E.collapse_episodes(merged, study), study.end)
-    return E.add_return_label(E.add_history(episodes, study), study)
+    return E.add_return_label(E.add_history(window_episodes(components, stays, study), study), study)
 
 
 def add_person_features(episodes: DataFrame, persons: DataFrame, study: Study) -> DataFrame:
@@ -43,12 +47,13 @@ def add_person_features(episodes: DataFrame, persons: DataFrame, study: Study) -
 
 
 def build_cohort(
-    components: DataFrame, stays: DataFrame, persons: DataFrame, study: Study
+    components: DataFrame, stays: DataFrame, persons: DataFrame, study: Study, history: bool = True
 ) -> DataFrame:
     """Felony episodes with label, history and person features.
 
-    History is taken over all episodes before the felony filter.
+    History is taken over all episodes before the felony filter. Without it the
+    plan has neither the ordered passes nor the columns that come from them.
     """
-    labelled = labelled_episodes(components, stays, study)
-    complete = add_person_features(labelled, persons, study)
+    found = (labelled_episodes if history else window_episodes)(components, stays, study)
+    complete = add_person_features(found, persons, study)
     return complete.filter(F.col("episode_class") == study.felony)

@@ -11,15 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from episodica.config import Study, TimeSplit
-from episodica.operators import evaluation, models
-from episodica.operators.encoding import EPISODE, FeatureEncoder, count_block_long
+from episodica.operators import evaluation, models, stump
+from episodica.operators.encoding import EPISODE, FeatureEncoder, count_block_long, features_long
 from episodica.operators.episodes import keep_episodes_of
 from episodica.operators.ranking import score_table
 from episodica.operators.splits import temporal_split
 from episodica.session import cut_lineage, scratch_path
 
 MODEL_KEYS = ["split_id", "model_type", "parameter"]
-LEDGER = "split_id int, model_type string, parameter string"
+LEDGER = "split_id int, model_type string, parameter string, fingerprint string"
 
 
 @dataclass(frozen=True)
@@ -28,12 +28,11 @@ class FeatureSpec:
 
     categorical: Sequence[str]
     numeric: Sequence[str]
-    imputed: Sequence[str] = ("height", "weight")
     counted: Sequence[str] = ()
     time_column: str = "release_date"
 
     def encoder(self) -> FeatureEncoder:
-        return FeatureEncoder(self.categorical, self.numeric, self.counted, self.imputed)
+        return FeatureEncoder(self.categorical, self.numeric, self.counted)
 
 
 @dataclass
@@ -44,6 +43,7 @@ class EncodedSplit:
     train: DataFrame
     test: DataFrame
     names: list[str]
+    train_rows: int
 
 
 def code_counts(cohort: DataFrame, source: DataFrame | None, spec: FeatureSpec) -> DataFrame | None:
@@ -62,7 +62,7 @@ def encode_split(cohort: DataFrame, counts: DataFrame | None, split: TimeSplit,
     columns = ["side", *EPISODE, F.col("label").cast("double").alias("label"), "features"]
     ready = cut_lineage(encoder.transform(rows, counts).select(*columns))
     train, test = (ready.filter(F.col("side") == s).drop("side") for s in ("train", "test"))
-    return EncodedSplit(split, train, test, encoder.names)
+    return EncodedSplit(split, train, test, encoder.names, train.count())
 
 
 def score_grid(
@@ -78,32 +78,49 @@ def score_grid(
 
     Scores are keyed by split, model and parameters. A cell enters the ledger
     next to ``path`` once its scores are written; a later run on the same path
-    skips the cells found there.
+    skips the cells found there. Cells written from another cohort, source,
+    feature spec, split or seed have another fingerprint and are fitted anew. After each split
+    the evaluation grid so far is written to ``path``-grid.
     """
     spark = cohort.sparkSession
     path = (path or scratch_path(spark, "scores")).rstrip("/")
     ledger = f"{path}-done"
     done = finished_cells(spark, ledger)
     cells = list(cells)
-    todo = {
-        split: [c for c in cells if (split.split_id, c.family, c.params) not in done] for split in study.splits
-    }
-    if not any(todo.values()):
-        return path, read_scores(spark, path)
     cohort = cut_lineage(cohort)
     counts = code_counts(cohort, source, spec)
+    marks = {split: fingerprint(cohort, counts, split, spec, seed) for split in study.splits}
+    todo = {
+        split: [c for c in cells if (split.split_id, c.family, c.params, marks[split]) not in done]
+        for split in study.splits
+    }
     for split, missing in todo.items():
         encoded = encode_split(cohort, counts, split, spec) if missing else None
         for cell in missing:
-            scores = models.fit_and_score(cell, encoded.train, encoded.test, seed)
+            scores = models.fit_and_score(cell, encoded.train, encoded.test, seed, encoded.train_rows)
             tag = hashlib.sha1(cell.params.encode()).hexdigest()[:12]
             folder = f"{path}/split_id={split.split_id}/model_type={cell.family}/cell={tag}"
-            scores.withColumn("parameter", F.lit(cell.params)).write.mode("overwrite").parquet(folder)
-            entry = [(split.split_id, cell.family, cell.params)]
+            named = scores.withColumns({"parameter": F.lit(cell.params), "requested": F.lit(cell.requested)})
+            named.write.mode("overwrite").parquet(folder)
+            entry = [(split.split_id, cell.family, cell.params, marks[split])]
             spark.createDataFrame(entry, LEDGER).write.mode("append").parquet(ledger)
+        if missing:
+            grid = evaluate_grid(read_scores(spark, path), cohort, study, spec.time_column)
+            grid.write.mode("overwrite").parquet(f"{path}-grid")
     return path, read_scores(spark, path)
 
 
+def fingerprint(cohort: DataFrame, counts: DataFrame | None, split: TimeSplit, spec: FeatureSpec, seed: int) -> str:
+    """Stands for all that the scores of a split depend on besides the cell."""
+
+    def rows(df: DataFrame) -> list:
+        columns = [F.col(f"`{c}`") for c in sorted(df.columns)]
+        return [df.columns, *df.agg(F.count("*"), F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))).first()]
+
+    parts = [rows(cohort), rows(counts) if counts is not None else None, split, spec, seed]
+    return hashlib.sha1(repr(parts).encode()).hexdigest()
+
+
 def finished_cells(spark: SparkSession, ledger: str) -> set[tuple]:
     """Cells recorded as written; one row per split and cell of the grid."""
     try:
@@ -128,7 +145,8 @@ def evaluate_grid(scores: DataFrame, cohort: DataFrame, study: Study, time_colum
         evaluation.metrics_at(table, MODEL_KEYS, study.cutoffs), MODEL_KEYS, study.cutoffs
     )
     auc = evaluation.auc_roc(table, MODEL_KEYS).select(*MODEL_KEYS, F.col("auc_roc"))
-    per_model = auc.join(wide, MODEL_KEYS)
+    asked = scores.groupBy(*MODEL_KEYS).agg(F.min("requested").alias("requested"))
+    per_model = auc.join(wide, MODEL_KEYS).join(asked, MODEL_KEYS)
     sides = temporal_split(cohort, time_column, study.splits)
     sizes = sides.groupBy("split_id").agg(
         F.count_if(F.col("side") == "train").alias("train_size"),
@@ -147,14 +165,53 @@ def evaluate_grid(scores: DataFrame, cohort: DataFrame, study: Study, time_colum
     return all_rows.join(known, "split_id")
 
 
+@dataclass
+class BestModelReport:
+    """The chosen model on one split, with what explains it."""
+
+    scores: DataFrame
+    curve: DataFrame
+    importances: DataFrame
+    stump: DataFrame
+    features: DataFrame
+
+    def write(self, path: str) -> None:
+        """One table per part below ``path``."""
+        for name, part in vars(self).items():
+            part.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
+
+
+def best_cell() -> models.Cell:
+    family, params = models.BEST_MODEL
+    return models.Cell.of(family, **params)
+
+
 def best_model(
-    cohort: DataFrame, source: DataFrame | None, split: TimeSplit, spec: FeatureSpec, cell: models.Cell, seed: int = 0
-) -> tuple[DataFrame, DataFrame]:
-    """Test scores and feature importances of one tree ensemble on one split."""
+    cohort: DataFrame,
+    source: DataFrame | None,
+    split: TimeSplit,
+    spec: FeatureSpec,
+    cell: models.Cell | None = None,
+    seed: int = 0,
+) -> BestModelReport:
+    """Scores, precision-recall curve and importances of a tree ensemble, a stump, and the list of features."""
+    cell = cell or best_cell()
     cohort = cut_lineage(cohort)
-    encoded = encode_split(cohort, code_counts(cohort, source, spec), split, spec)
-    model = models.estimator(cell, encoded.train.count(), seed).fit(encoded.train)
-    scores = model.transform(encoded.test).select(
-        *EPISODE, "label", models.vector_to_array("probability")[1].alias("score")
+    counts = code_counts(cohort, source, spec)
+    encoded = encode_split(cohort, counts, split, spec)
+    model = models.estimator(cell, encoded.train_rows, seed).fit(encoded.train)
+    scores = cut_lineage(
+        model.transform(encoded.test).select(
+            *EPISODE, "label", models.vector_to_array("probability")[1].alias("score")
+        )
+    )
+    spark = cohort.sparkSession
+    train = temporal_split(cohort, spec.time_column, [split]).filter(F.col("side") == "train")
+    long = cut_lineage(features_long(train, spec.categorical, spec.numeric, source, spec.counted))
+    return BestModelReport(
+        scores,
+        evaluation.pr_curve(score_table(scores, []), []),
+        models.importance_rows(model, encoded.names, spark),
+        stump.best_split(stump.split_candidates(long, train)),
+        spark.createDataFrame(list(enumerate(encoded.names)), "position int, feature string"),
     )
-    return scores, models.importance_rows(model, encoded.names, cohort.sparkSession)

@@ -1,4 +1,4 @@
-"""Checkpointing and size-checked broadcasts."""
+"""Checkpoints and scratch tables in the shared folder."""
 
 from __future__ import annotations
 
@@ -6,10 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A table of at most this many narrow rows may be broadcast.
-BROADCAST_ROWS = 100_000
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -31,22 +27,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured or current
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """The folder of this application's scratch tables below the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/scratch-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}/{name}"
+    return f"{scratch_root(spark)}/{uuid.uuid4().hex}/{name}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably, so that later branches read the same rows."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Materialise ``df`` reliably, so that later branches read the same rows.
 
+    The copy is a columnar table in the shared folder: it survives lost
+    executors, and later readers take only the columns they need.
+    """
+    path = scratch_path(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-def join_checked(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Join that broadcasts ``right`` only after its row count is known to be small.
 
-    Beyond the bound Spark shuffles both sides and AQE splits skewed keys.
-    """
-    if right.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        right = F.broadcast(right)
-    return left.join(right, on, how)
+def clean_up(spark: SparkSession) -> None:
+    """Delete this application's scratch tables, once no result that reads them is needed any more."""
+    sc = spark.sparkContext
+    root = sc._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    root.getFileSystem(sc._jsc.hadoopConfiguration()).delete(root, True)

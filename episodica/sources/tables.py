@@ -113,20 +113,35 @@ def clean_components(
     felony: str = "FELON",
     id_recode: Mapping[str, str] | None = None,
     date_formats: tuple[str, ...] = ("yyyy-MM-dd",),
+    strict_dates: bool = False,
 ) -> DataFrame:
-    """Typed component rows of every person with at least one felony component."""
+    """Typed component rows of every person with at least one felony component.
+
+    An unreadable begin date becomes null, or fails the job where ``strict_dates`` is set.
+    """
+    begin = F.col("begin_date")
+    if strict_dates:
+        if len(date_formats) != 1:
+            raise ValueError("strict dates have one format")
+        parsed = C.parse_date_strict(begin, date_formats[0])
+    else:
+        parsed = C.parse_date_lenient(begin, date_formats)
     typed = raw.withColumns(
         {
             "person_id": C.person_key(F.col("person_id"), dict(id_recode or {})),
             "component_no": F.col("component_no").cast("int"),
-            "begin_date": C.parse_date_lenient(F.col("begin_date"), date_formats),
+            "begin_date": parsed,
             "is_felony": C.flag_equal(F.col("severity"), felony),
         }
     )
     return keep_persons_with_felony(typed)
 
 
-def clean_stays(raw: DataFrame, date_formats: tuple[str, ...] = ("yyyy-MM-dd",)) -> DataFrame:
+def clean_stays(
+    raw: DataFrame,
+    id_recode: Mapping[str, str] | None = None,
+    date_formats: tuple[str, ...] = ("yyyy-MM-dd",),
+) -> DataFrame:
     """Typed stay rows with the release date, imputed from the projection where needed."""
     dates = {
         c: C.parse_date_lenient(F.col(c), date_formats)
@@ -135,7 +150,7 @@ def clean_stays(raw: DataFrame, date_formats: tuple[str, ...] = ("yyyy-MM-dd",))
     }
     typed = raw.withColumns(
         {
-            "person_id": C.person_key(F.col("person_id"), {}),
+            "person_id": C.person_key(F.col("person_id"), dict(id_recode or {})),
             "component_no": F.col("component_no").cast("int"),
             **dates,
         }
@@ -151,11 +166,13 @@ def add_release_date(stays: DataFrame) -> DataFrame:
     )
 
 
-def clean_persons(raw: DataFrame, date_format: str = "yyyy-MM-dd") -> DataFrame:
+def clean_persons(
+    raw: DataFrame, id_recode: Mapping[str, str] | None = None, date_format: str = "yyyy-MM-dd"
+) -> DataFrame:
     """Typed person rows; unreadable numbers and birth dates fail the job."""
     return raw.withColumns(
         {
-            "person_id": C.person_key(F.col("person_id"), {}),
+            "person_id": C.person_key(F.col("person_id"), dict(id_recode or {})),
             "birth_date": C.parse_date_strict(F.col("birth_date"), date_format),
             "height": F.col("height").cast("double"),
             "weight": F.col("weight").cast("double"),

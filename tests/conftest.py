@@ -19,4 +19,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    from episodica.session import clean_up
+
+    clean_up(session)
     session.stop()

@@ -40,3 +40,18 @@ def test_csv_files_give_the_same_cohort(spark, tmp_path):
     assert set(os.listdir(folder)) == set(report)
     shares = spark.read.csv(f"{folder}/share_race", header=True, inferSchema=True)
     assert shares.agg(F.sum("count")).first()[0] == cohort.count()
+
+
+def test_recoded_ids_meet_in_all_three_files(spark):
+    component, stay, person = (
+        spark.createDataFrame([row], ", ".join(f"{c} string" for c in columns))
+        for row, columns in (
+            (("T1", "a", "1", "FELON", "2000-01-02"), ("person_id", "episode_id", "component_no", "severity", "begin_date")),
+            (("T1", "a", "1", "2000-05-01", None), ("person_id", "episode_id", "component_no", "actual_end", "projected_end")),
+            (("T1", "1970-01-01", "MALE", "X", "Y", "70", "160"), ("person_id", "birth_date", "gender", "race", "ethnic", "height", "weight")),
+        )
+    )
+    recode = {"T1": "-999"}
+    tables = S.clean_components(component, id_recode=recode), S.clean_stays(stay, recode), S.clean_persons(person, recode)
+    assert [t.first()["person_id"] for t in tables] == [-999] * 3
+    assert build_cohort(*tables, Q.STUDY, history=False).count() == 1

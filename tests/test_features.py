@@ -63,7 +63,7 @@ def test_encoder_keeps_codes_of_both_sides(spark):
         [(1, 1, "p"), (1, 1, "p"), (3, 3, "p"), (3, 3, "q")], "person_id int, episode_id int, o string"
     )
     counts = X.count_block_long(source, ["o"])
-    encoder = X.FeatureEncoder(["c"], ["v"], ["o"], ["v"]).fit(rows, counts)
+    encoder = X.FeatureEncoder(["c"], ["v"], ["o"]).fit(rows, counts)
     assert encoder.names == ["c_x", "o_p", "v"]
     got = {r["person_id"]: list(r["features"].toArray()) for r in encoder.transform(rows, counts).collect()}
     assert got == {1: [1, 2, 1], 2: [0, 0, 3], 3: [1, 1, 2], 4: [0, 0, 5]}
@@ -117,3 +117,28 @@ def test_share_denominator_counts_nulls(spark):
 def test_outliers_ignore_nulls(spark):
     df = spark.createDataFrame([(float(v), None) for v in range(9)] + [(100.0, 1.0), (None, 1.0)], "a double, b double")
     assert [r["a"] for r in profile.iqr_outliers(df, ["a", "b"]).collect()] == [100.0]
+
+
+def test_encoder_without_a_limit_on_codes(spark):
+    # More codes than a dense row or a literal list could hold.
+    n = 600_000
+    schema = "person_id long, episode_id long, side string, v double"
+    rows = spark.createDataFrame([(1, 1, "train", 1.0), (2, 2, "test", None)], schema)
+    people = rows.select("person_id", "episode_id")
+    wide = people.crossJoin(spark.range(n)).select(
+        *people.columns, F.lit("o").alias("column"), F.format_string("k%07d", "id").alias("code"), F.lit(2).alias("n")
+    )
+    encoder = X.FeatureEncoder([], ["v"], ["o"]).fit(rows, wide)
+    assert len(encoder.codes) == n
+    few = wide.filter("code in ('k0000003', 'k0599999', 'unseen')")
+    vectors = [r["features"] for r in encoder.transform(rows, few).collect()]
+    assert all(v.size == n + 1 and v.indices.tolist() == [3, n - 1, n] and v.values.tolist() == [2, 2, 1] for v in vectors)
+
+
+def test_common_features_without_a_join(spark, capsys):
+    rows = [(0, s, f) for s in ("train", "test") for f in ("all",) * 50 + (s,)]
+    df = spark.createDataFrame(rows, "split_id int, side string, feature string")
+    found = X.common_features(df)
+    assert [tuple(r) for r in found.collect()] == [(0, "all")]
+    found.explain()
+    assert "Join" not in capsys.readouterr().out

@@ -36,10 +36,10 @@ def planted(spark):
 
 
 CELLS = [
-    Cell.of("RF", trees=10, depth=500, min_split=2),
+    Cell.of("RF", trees=10, depth=30, min_split=2),
     Cell.of("LR", penalty="l1", C=1),
     Cell.of("AB", rounds=3),
-    Cell.of("DT", depth=None, min_split=10),
+    Cell.of("DT", depth=10, min_split=10),
     Cell.of("SVM", C=0.01),
     Cell.of("KNN", k=15, weights="distance"),
     Cell.of("GB", trees=5, rate=0.1, subsample=0.5, depth=5),
@@ -59,8 +59,25 @@ def test_family_finds_the_signal(cell, planted):
     assert auc > 0.8
 
 
-def test_full_grid_size():
-    assert len(models.grid_cells()) == 90
+def test_grid_cells_are_fits_of_their_own():
+    cells = models.grid_cells()
+    # Ten choices of RF and three of DT ask for deeper trees than there are, as others do.
+    assert len(cells) == 77 and sum(len(c.requested.split(" | ")) for c in cells) == 90
+    assert len({(c.family, c.params) for c in cells}) == len(cells)
+    fits = [
+        (c.family, str(sorted((p.name, v) for p, v in e.extractParamMap().items() if not p.name.endswith("Col"))))
+        for c in cells
+        if (e := models.estimator(c, 1000)) is not None
+    ]
+    assert len(set(fits)) == len(fits)
+    with pytest.raises(ValueError):
+        models.estimator(Cell.of("DT", depth=31, min_split=2), 10)
+
+
+def test_boosting_without_a_split_gives_the_prior(planted):
+    train, test = planted
+    pure = train.withColumn("label", F.lit(1.0))
+    assert {r["score"] for r in models.fit_and_score(Cell.of("AB", rounds=3), pure, test).collect()} == {1.0}
 
 
 @pytest.fixture()
@@ -135,8 +152,14 @@ def test_grid_resumes_and_audit_runs(spark, tmp_path, monkeypatch):
     def fail(*_):
         raise AssertionError("a finished cell was fitted again")
 
+    assert spark.read.parquet(f"{path}-grid").count() == 3
     monkeypatch.setattr(models, "fit_and_score", fail)
     _, again = model_grid.score_grid(cohort, source, study, fits.SPEC, cells, path)
+    # Other rows or another seed are not taken for the same scores.
+    with pytest.raises(AssertionError):
+        model_grid.score_grid(cohort, source, study, fits.SPEC, cells, path, seed=1)
+    with pytest.raises(AssertionError):
+        model_grid.score_grid(cohort.filter("episode_id % 9 > 0"), source, study, fits.SPEC, cells, path)
     assert again.count() == scores.count()
     chosen = again.filter(F.col("parameter") == cells[1].params)
     report = audit_scores(chosen, cohort, ["race", "gender"], {"race": "BUILDING", "gender": "MALE"})
