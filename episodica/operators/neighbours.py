@@ -16,6 +16,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.feature import BucketedRandomProjectionLSH
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -136,6 +138,27 @@ def k_nearest(
     return found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
 
 
+def near_by_projection(
+    train: DataFrame, queries: DataFrame, k: int, radius: float, bucket_length: float, tables: int = 8, seed: int = 0
+) -> DataFrame:
+    """Approximate neighbours within ``radius``, by bucketed random projections; columns as in k_nearest.
+
+    Reads (key, vector, label) and (query, vector). A neighbour that shares no
+    bucket with the query is missed; more tables and longer buckets miss fewer.
+    """
+    rows = train.select("key", "label", array_to_vector(F.col("vector").cast("array<double>")).alias("features"))
+    asks = queries.select("query", array_to_vector(F.col("vector").cast("array<double>")).alias("features"))
+    lsh = BucketedRandomProjectionLSH(
+        inputCol="features", outputCol="hashes", bucketLength=bucket_length, numHashTables=tables, seed=seed
+    ).fit(rows)
+    near = lsh.approxSimilarityJoin(rows, asks, radius, "distance").select(
+        F.col("datasetB.query").alias("query"), F.col("datasetA.key").alias("key"),
+        F.col("datasetA.label").alias("label"), "distance",
+    )
+    order = Window.partitionBy("query").orderBy(F.round("distance", 6), "key")
+    return near.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
+
+
 def _block_neighbours(
     asking: pd.DataFrame, block: pd.DataFrame, k: int, exclude_self: bool
 ) -> Iterator[pd.DataFrame]:

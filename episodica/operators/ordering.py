@@ -97,6 +97,12 @@ def add_position(df: DataFrame, keys: list[str], order: list[Column], name: str)
     return sweep(sliced, keys, order, {name: F.lit(1).cast("long")}).drop(SLICE)
 
 
+def approximate_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
+    """Observed values near the quantiles, from one sketch per key; no order, no second pass."""
+    found = {n: F.percentile_approx(F.col(value).cast("double"), p, 10_000) for n, p in probs.items()}
+    return df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(*[q.alias(n) for n, q in found.items()])
+
+
 def exact_quantiles(
     df: DataFrame, keys: list[str], value: str, probs: dict[str, float]
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from episodica.functions.columns import any_of, ratio
-from episodica.operators.ordering import exact_quantiles
+from episodica.operators.ordering import approximate_quantiles, exact_quantiles
 from episodica.session import cut_lineage
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
@@ -29,8 +29,11 @@ def null_summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return counts.select(F.inline(F.array(*items)))
 
 
-def describe(df: DataFrame, variables: list[str], by: list[str] = ()) -> DataFrame:
-    """Count, mean, deviation, range and exact quartiles per variable, also per group."""
+def describe(df: DataFrame, variables: list[str], by: list[str] = (), approx: bool = False) -> DataFrame:
+    """Count, mean, deviation, range and quartiles per variable, also per group.
+
+    Quartiles are exact, or with ``approx`` observed values within 1/10,000 of the rank.
+    """
     long = long_values(df, variables, by)
     keys = [*by, "variable"]
     moments = long.groupBy(*keys).agg(
@@ -40,7 +43,8 @@ def describe(df: DataFrame, variables: list[str], by: list[str] = ()) -> DataFra
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    return moments.join(exact_quantiles(long, keys, "value", QUARTILES), keys)
+    quantiles = approximate_quantiles if approx else exact_quantiles
+    return moments.join(quantiles(long, keys, "value", QUARTILES), keys)
 
 
 def describe_groups(df: DataFrame, variables: list[str], attributes: list[str]) -> DataFrame:

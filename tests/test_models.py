@@ -103,6 +103,16 @@ def test_neighbours_match_brute_force(spark, small_blocks, exclude):
         assert [k for _, k in sorted(got[q])] == expected
 
 
+def test_projection_finds_most_neighbours(spark):
+    rng = np.random.default_rng(3)
+    points = rng.normal(0, 1, (200, 4))
+    df = spark.createDataFrame([(i, p.tolist(), i % 3) for i, p in enumerate(points)], "key int, vector array<double>, label int")
+    asks = df.select(F.col("key").alias("query"), "vector")
+    exact = {(r["query"], r["key"]) for r in neighbours.k_nearest(df, df, 3).collect()}
+    found = {(r["query"], r["key"]) for r in neighbours.near_by_projection(df, asks, 3, 4.0, 2.0).collect()}
+    assert len(found & exact) > 0.9 * len(exact)
+
+
 def test_zero_distance_outvotes(spark):
     rows = [(1, 10, 0, 0.0, 1), (1, 11, 1, 0.1, 2), (1, 12, 1, 0.2, 3)]
     near = spark.createDataFrame(rows, "query int, key int, label int, distance double, place int")
