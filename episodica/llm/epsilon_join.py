@@ -95,7 +95,7 @@ def placed(df: DataFrame, axes: dict[int, np.ndarray], cell: float) -> DataFrame
             columns = list(zip(*rows, strict=True)) or [()] * 7
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(columns[0], pa.int64()), batch.column(1).take(pa.array([], pa.int64())) if not rows else pa.array(columns[1], batch.column(1).type),
+                    pa.array(columns[0], pa.int64()), pa.array(columns[1], batch.column(1).type),
                     pa.array(columns[2], pa.binary()), pa.array(columns[3], pa.int32()),
                     pa.array(columns[4], pa.list_(pa.float64())), pa.array(columns[5], pa.list_(pa.int32())),
                     pa.array(columns[6], pa.list_(pa.float64())),

@@ -117,4 +117,36 @@ ORACLE: dict[str, str] = {
         SELECT d.doc_id, coalesce(k.removed_chunks, 0) AS removed_chunks, coalesce(k.removed_lines, 0) AS removed_lines,
                coalesce(k.text, d.text) AS text
         FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id""",
+    # All pairs; the forest's recall is not 1, but no pair of these tables is missed.
+    "op3_ngram_jaccard": """
+        WITH RECURSIVE words AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '\\s+'), lambda x: x <> '') AS w FROM documents),
+        numbered AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0),
+        shingles AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s FROM numbered),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s
+                   WHERE x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
+        links AS (SELECT a, b, c = m.n AND c = k.n AS same FROM common JOIN sizes m ON a = m.doc_id JOIN sizes k ON b = k.doc_id
+                  WHERE c / CAST(m.n + k.n - c AS DOUBLE) >= 0.8),
+        reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+        counted AS (SELECT a, count(*) AS n, min(b) FILTER (same) AS twin FROM links GROUP BY a),
+        least_reached AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+        SELECT d.doc_id, least(d.doc_id, coalesce(c.twin, d.doc_id)) AS class_id, coalesce(c.n, 0) AS n_links,
+               least(d.doc_id, coalesce(r.b, d.doc_id)) AS component_id, d.doc_id <= coalesce(r.b, d.doc_id) AS kept
+        FROM documents d LEFT JOIN counted c ON d.doc_id = c.a LEFT JOIN least_reached r ON d.doc_id = r.a""",
+    "op8_epsilon_grid": """
+        WITH RECURSIVE vectors AS (
+            SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0),
+        usable AS (SELECT *, list_dot_product(e, e) AS square FROM vectors
+                   WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y
+                    ON x.label = y.label AND len(x.e) = len(y.e) AND x.vec_id <> y.vec_id
+                  WHERE x.square > 0 AND y.square > 0
+                    AND list_dot_product(x.e, y.e) / (sqrt(x.square) * sqrt(y.square)) >= 0.98),
+        reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+        counted AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+        least_reached AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+        SELECT v.vec_id, coalesce(c.n, 0) AS n_links, least(v.vec_id, coalesce(r.b, v.vec_id)) AS component_id,
+               v.vec_id <= coalesce(r.b, v.vec_id) AS kept
+        FROM embeddings v LEFT JOIN counted c ON v.vec_id = c.a LEFT JOIN least_reached r ON v.vec_id = r.a""",
 }
