@@ -34,9 +34,11 @@ REACH, GROUPS, HIDDEN = 2, 32, 16
 # Ids: 0 is the padding, the frequent words follow, the rest are hash classes.
 IDS = GROUPS * GROUPS
 FREQUENT = IDS - 1 - 255
-ROUNDS, BATCH, RATE = 1, 4096, 0.05
+ROUNDS, BATCH, RATE = 1, 8192, 0.05
 # Distinct words that a task counts before it hands them on.
 COUNTED = 200_000
+# Words whose ids a worker remembers; the others are hashed again.
+KNOWN = 300_000
 # Tokens that are trained on or scored at once, about.
 STRETCH = 16_384
 
@@ -45,22 +47,26 @@ class Vocabulary(dict):
     """Word to id; words that are not frequent get the id of their hash class."""
 
     def __missing__(self, word: str) -> int:
-        return 1 + FREQUENT + zlib.crc32(word.encode(errors="replace")) % (IDS - 1 - FREQUENT)
+        out = 1 + FREQUENT + zlib.crc32(word.encode(errors="replace")) % (IDS - 1 - FREQUENT)
+        if len(self) < KNOWN:
+            self[word] = out
+        return out
 
     def ids(self, text: str | None) -> np.ndarray:
-        return np.array(list(map(self.__getitem__, (text or "").split())), dtype=np.int32)
+        words = (text or "").split()
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
 def windows(texts: Iterable[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Targets and their windows (tokens x places) for texts as ids, padded at their ends."""
-    gap = np.zeros(REACH, np.int32)
+    """Targets and their windows (places x tokens) for texts as ids, padded at their ends."""
+    gap = np.zeros(REACH, np.int64)
     parts = [gap]
     for t in texts:
         parts += [t, gap]
     line = np.concatenate(parts)
     at = np.flatnonzero(line)
     places = [k for k in range(-REACH, REACH + 1) if k]
-    return line[at], np.stack([line[at + k] for k in places], axis=1)
+    return line[at], np.stack([line[at + k] for k in places])
 
 
 @dataclass
@@ -100,15 +106,36 @@ class WindowNetwork:
         return WindowNetwork(*out)
 
     def hidden(self, window: np.ndarray) -> np.ndarray:
-        z = self.bias + self.tables[0][window[:, 0]]
-        for p in range(1, window.shape[1]):
-            z += self.tables[p][window[:, p]]
-        return np.tanh(z)
+        z = self.tables[0].take(window[0], axis=0)
+        for p in range(1, len(window)):
+            z += self.tables[p].take(window[p], axis=0)
+        z += self.bias
+        return np.tanh(z, out=z)
+
+    # Logits have a column for each token: reductions over the short axis then run along memory.
 
     @staticmethod
-    def softmax(logits: np.ndarray) -> np.ndarray:
-        e = np.exp(logits - logits.max(axis=1, keepdims=True))
-        return e / e.sum(axis=1, keepdims=True)
+    def logits(h: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+        z = weights.T @ h.T
+        z += bias[:, None]
+        z -= z.max(axis=0)
+        return z
+
+    @classmethod
+    def error(cls, h: np.ndarray, weights: np.ndarray, bias: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The softmax less one at each token's own place: the loss's slope in the logits."""
+        z = cls.logits(h, weights, bias)
+        np.exp(z, out=z)
+        z /= z.sum(axis=0)
+        z[at, np.arange(len(at))] -= 1
+        return z
+
+    @classmethod
+    def log_share(cls, h: np.ndarray, weights: np.ndarray, bias: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Logarithm of the softmax at each token's own place."""
+        z = cls.logits(h, weights, bias)
+        own = z[at, np.arange(len(at))].astype(float)
+        return own - np.log(np.exp(z, out=z).sum(axis=0))
 
     def by_group(self, target: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         order = np.argsort(target // GROUPS, kind="stable")
@@ -120,32 +147,30 @@ class WindowNetwork:
     def log_prob(self, target: np.ndarray, window: np.ndarray) -> np.ndarray:
         """Log-probability of each target given its window."""
         h = self.hidden(window)
-        p = self.softmax(h @ self.group + self.group_bias)
-        out = np.log(p[np.arange(len(target)), target // GROUPS].astype(float) + 1e-30)
+        out = self.log_share(h, self.group, self.group_bias, target // GROUPS)
         for g, at in self.by_group(target):
-            q = self.softmax(h[at] @ self.within[g] + self.within_bias[g])
-            out[at] += np.log(q[np.arange(len(at)), target[at] % GROUPS].astype(float) + 1e-30)
+            out[at] += self.log_share(h.take(at, axis=0), self.within[g], self.within_bias[g], target[at] % GROUPS)
         return out
 
     def train(self, target: np.ndarray, window: np.ndarray, square: list[np.ndarray]) -> None:
         """One step of adaptive gradient descent; ``square`` holds the sums of squared gradients."""
         n = len(target)
         h = self.hidden(window)
-        p = self.softmax(h @ self.group + self.group_bias)
-        p[np.arange(n), target // GROUPS] -= 1
-        dh = p @ self.group.T
+        p = self.error(h, self.group, self.group_bias, target // GROUPS)
+        dh = p.T @ self.group.T
         within, within_bias = np.zeros_like(self.within), np.zeros_like(self.within_bias)
         for g, at in self.by_group(target):
-            q = self.softmax(h[at] @ self.within[g] + self.within_bias[g])
-            q[np.arange(len(at)), target[at] % GROUPS] -= 1
-            within[g], within_bias[g] = h[at].T @ q, q.sum(axis=0)
-            dh[at] += q @ self.within[g].T
+            own = h.take(at, axis=0)
+            q = self.error(own, self.within[g], self.within_bias[g], target[at] % GROUPS)
+            within[g], within_bias[g] = own.T @ q.T, q.sum(axis=1)
+            dh[at] += q.T @ self.within[g].T
         dh *= 1 - h * h
-        places = np.arange(HIDDEN)
-        tables = np.stack([
-            np.bincount((w[:, None] * HIDDEN + places).ravel(), dh.ravel(), IDS * HIDDEN).reshape(IDS, HIDDEN) for w in window.T
-        ]).astype(np.float32)
-        slopes = [tables, dh.sum(axis=0), h.T @ p, p.sum(axis=0), within, within_bias]
+        units = np.ascontiguousarray(dh.T, dtype=float)
+        tables = np.empty_like(self.tables)
+        for place, ids in enumerate(window):
+            for k, unit in enumerate(units):
+                tables[place, :, k] = np.bincount(ids, unit, IDS)
+        slopes = [tables, dh.sum(axis=0), h.T @ p.T, p.sum(axis=1), within, within_bias]
         for value, slope, sums in zip(self.parts(), slopes, square, strict=True):
             slope /= n
             sums += slope * slope
@@ -214,7 +239,7 @@ def _round(docs: DataFrame, words: Vocabulary, network: WindowNetwork) -> Window
             order = np.random.default_rng(len(target)).permutation(len(target))
             for first in range(0, len(target), BATCH):
                 at = order[first : first + BATCH]
-                own.train(target[at], window[at], square)
+                own.train(target[at], window[:, at], square)
             n += len(target)
         if n:
             yield pa.RecordBatch.from_arrays(
@@ -244,7 +269,7 @@ def score(docs: DataFrame, words: Vocabulary, network: WindowNetwork) -> DataFra
                 target, window = windows(texts)
                 each = np.concatenate(
                     [np.zeros(0)]
-                    + [network.log_prob(target[i : i + STRETCH], window[i : i + STRETCH]) for i in range(0, len(target), STRETCH)]
+                    + [network.log_prob(target[i : i + STRETCH], window[:, i : i + STRETCH]) for i in range(0, len(target), STRETCH)]
                 )
                 owner = np.repeat(np.arange(len(texts)), lengths)
                 sums += np.bincount(owner, each, minlength=len(texts)).tolist()
