@@ -21,20 +21,14 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents that the quality model accepts; it learns from two thirds of the labels."""
     learn = crc_mod("doc_id", 3) != 1
     model = quality.fit(*quality.training_rows(docs, table(spark, sf_dir, "labels"), learn))
-    names = docs.columns
-    scored = quality.score(docs, model, names)
-    # By position: ``docs`` may have columns named as the results.
-    scored = scored.toDF(*[f"_{i}" for i in range(len(names))], "score", "predicted").where("predicted = 1")
-    return scored.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(names)])
+    return docs.where(quality.probability(model) >= quality.ACCEPT_AT)
 
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; the model learns from the given ``lang``."""
     model = language.fit(*language.training_rows(docs, crc_mod("doc_id", 4) != 2))
-    names = docs.columns
-    told = language.predict(docs, model, names).toDF(*[f"_{i}" for i in range(len(names))], "lang_pred", "score")
-    told = told.where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
-    return told.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(names)])
+    # Texts without a letter have the score 0.
+    return docs.where(language.identified(model)["score"] >= LEAST_LANGUAGE_SCORE)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

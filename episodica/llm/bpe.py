@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from episodica.llm.common import in_small_batches
 from episodica.llm.pretokens import WordIds, bytes_to_chars
 
 # Fields of the public protobuf schema of sentencepiece models.
@@ -123,7 +124,7 @@ def _mapped(df: DataFrame, source: str, target: str, convert) -> DataFrame:
             made = pa.array([one(x.as_py()) for x in batch.column(at)], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*rest, target])
 
-    return df.select(*[F.col(f"`{c}`") for c in rest]).mapInArrow(run, schema)
+    return in_small_batches(df).select(*[F.col(f"`{c}`") for c in rest]).mapInArrow(run, schema)
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:

@@ -12,6 +12,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Rows with texts that a Python worker gets at once.
+BATCH_ROWS = 1000
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session whose Arrow batches hold at most BATCH_ROWS rows.
+
+    Spark's default of 10,000 rows suits numbers; of texts, a task and its
+    worker would hold tens of megabytes several times over. A smaller setting
+    stays as it is.
+    """
+    key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, BATCH_ROWS)
+    return df
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

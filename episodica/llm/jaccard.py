@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from episodica.llm.blocks import Forest, add_links
-from episodica.llm.common import written
+from episodica.llm.common import in_small_batches, written
 from episodica.llm.graph import components
 
 WORDS, SIMILARITY = 5, 0.8
@@ -102,7 +102,7 @@ def signatures(docs: DataFrame, depth: int, words: int = WORDS, trees: int = TRE
                 names=["doc_id", "digest", "nodes"],
             )
 
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
+    narrow = in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     return narrow.mapInArrow(run, "doc_id long, digest binary, nodes array<long>")
 
 

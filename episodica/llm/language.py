@@ -19,10 +19,13 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from episodica.llm.common import in_small_batches
+
 UNDETERMINED = "und"
 WIDTH = 4096
 # Labelled texts that a model is fitted on, about, shared out evenly between the languages.
@@ -109,7 +112,8 @@ class LanguageModel:
                 sums[:, j] -= m[:, k]
             win = (votes + 0.5 * np.tanh(sums / (1 + len(langs)))).argmax(axis=1)
             for r, w, row in zip(at, win, m, strict=True):
-                own = [abs(row[k]) if (row[k] > 0) == (i == w) else -abs(row[k]) for k, (i, j) in enumerate(pairs) if w in (i, j)]
+                # Margins of the winner in its own pairs; a lost one is negative.
+                own = [row[k] if i == w else -row[k] for k, (i, j) in enumerate(pairs) if w in (i, j)]
                 z = 3 * min([lead[r], *(2 * v for v in own)])
                 out[r] = langs[w], float(1 / (1 + np.exp(-min(z, 50.0))))
         return out
@@ -138,7 +142,7 @@ def fit(x: np.ndarray, langs: list[str]) -> LanguageModel:
 
 def training_rows(docs: DataFrame, learn: Column, rows: int = TRAIN_ROWS) -> tuple[np.ndarray, list[str]]:
     """Vectors and labels of about ``rows`` labelled texts, chosen by their hashes, as many of each language."""
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & learn)
+    known = in_small_batches(docs).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & learn)
     counts = dict(known.groupBy("lang").count().collect())  # one row per label
     if not counts:
         return np.zeros((0, WIDTH), np.float32), []
@@ -148,8 +152,10 @@ def training_rows(docs: DataFrame, learn: Column, rows: int = TRAIN_ROWS) -> tup
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [(k, vector(t).astype(np.float16).tobytes()) for k, t in zip(*(c.to_pylist() for c in batch.columns), strict=True) if has_letter(t)]
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in got], pa.string()), pa.array([v for _, v in got], pa.binary())], names=["lang", "x"])
+            rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
+            got = [(k, vector(t).astype(np.float16).tobytes()) for k, t in rows if has_letter(t)]
+            columns = [pa.array([k for k, _ in got], pa.string()), pa.array([v for _, v in got], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "x"])
 
     got = taken.select("lang", "text").mapInArrow(run, "lang string, x binary").toArrow()
     pairs = sorted(zip(got.column("lang").to_pylist(), got.column("x").to_pylist(), strict=True))
@@ -157,24 +163,27 @@ def training_rows(docs: DataFrame, learn: Column, rows: int = TRAIN_ROWS) -> tup
     return x, [k for k, _ in pairs]
 
 
+def identified(model: LanguageModel, text: str = "text") -> Column:
+    """Struct of ``lang_pred`` and ``score`` for the whole text of a column.
+
+    Only texts go to the workers, only these two come back.
+    """
+
+    @F.pandas_udf("lang_pred string, score double")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        out: list[tuple[str, float]] = [(UNDETERMINED, 0.0)] * len(texts)
+        values = texts.tolist()
+        at = [i for i, t in enumerate(values) if has_letter(t)]
+        for first in range(0, len(at), 512):
+            rows = at[first : first + 512]
+            for i, made in zip(rows, model.predict(np.stack([vector(values[i]) for i in rows])), strict=True):
+                out[i] = made
+        return pd.DataFrame(out, columns=["lang_pred", "score"])
+
+    return run(F.col(text))
+
+
 def predict(docs: DataFrame, model: LanguageModel, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of ``docs`` with ``lang_pred`` and ``score`` of the whole text."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
-            out: list[tuple[str, float]] = [(UNDETERMINED, 0.0)] * len(texts)
-            at = [i for i, t in enumerate(texts) if has_letter(t)]
-            for first in range(0, len(at), 512):
-                rows = at[first : first + 512]
-                for i, made in zip(rows, model.predict(np.stack([vector(texts[i]) for i in rows])), strict=True):
-                    out[i] = made
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array([k for k, _ in out], pa.string()), pa.array([s for _, s in out], pa.float64())],
-                names=[*batch.schema.names[1:], "lang_pred", "score"],
-            )
-
-    kept = [F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(keep)]
-    types = [f"_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)]
-    out = docs.select(F.col("text").alias("text"), *kept).mapInArrow(run, ", ".join([*types, "lang_pred string, score double"]))
-    return out.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)], "lang_pred", "score")
+    told = in_small_batches(docs).select(*[F.col(f"`{c}`") for c in keep], identified(model).alias("_told"))
+    return told.select(*[F.col(f"`{c}`") for c in keep], "_told.lang_pred", "_told.score")

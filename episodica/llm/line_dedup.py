@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from episodica.llm.common import written
+from episodica.llm.common import in_small_batches, written
 
 WINDOW, FACTOR, LEAST_LINES = 2, 31, 2
 
@@ -97,6 +97,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
 
 def dedup(docs: DataFrame) -> DataFrame:
     """``docs`` with ``text`` without repeated chunks, ``removed`` (numbers of its chunks) and ``removed_lines``."""
+    docs = in_small_batches(docs)
     keep = [c for c in docs.columns if c not in ("removed", "removed_lines")]
     lists = written(
         repeated_chunks(docs).groupBy("doc_id", "version").agg(F.sort_array(F.collect_set("chunk_no")).alias("gone")),

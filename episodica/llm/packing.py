@@ -29,10 +29,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from episodica.llm.common import in_small_batches
 from episodica.llm.pretokens import WordIds, bytes_to_chars
 
 END_ID = 0
 SEQUENCE_BITS = 36
+# Fewer than usual: workers of a pipeline stay beside those of earlier stages.
+CACHED_WORDS = 200_000
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
     "offset long, loss_tokens long"
@@ -65,7 +68,7 @@ def _words(path: str) -> WordIds:
     special = {t["content"] for t in content["added_tokens"]}
     ranks = {bytes(byte_of[c] for c in t): i for t, i in content["model"]["vocab"].items() if t not in special}
     coder = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return WordIds(coder.encode_ordinary)
+    return WordIds(coder.encode_ordinary, CACHED_WORDS)
 
 
 @dataclass
@@ -209,5 +212,5 @@ def pack(
         packer.close()
         yield packer.taken()
 
-    narrow = docs.select(F.col("doc_id").cast("long"), F.col("text"), prompt.alias("prompt"))
+    narrow = in_small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text"), prompt.alias("prompt"))
     return narrow.mapInArrow(packed, PIECES)

@@ -11,7 +11,7 @@ import re
 import struct
 from collections.abc import Callable
 
-# Words kept per Python worker; beyond that the cache starts anew (results do not depend on it).
+# Words kept per Python worker unless told otherwise; beyond that the cache starts anew (results do not depend on it).
 CACHED_WORDS = 400_000
 LONGEST_CACHED = 64
 
@@ -21,9 +21,9 @@ _adjacent_space = re.compile(r"\s\s")
 class WordIds(dict):
     """Word, as cut by ``ids``, to its ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, encode: Callable[[str], list[int]]):
+    def __init__(self, encode: Callable[[str], list[int]], kept: int = CACHED_WORDS):
         super().__init__()
-        self.encode = encode
+        self.encode, self.kept = encode, kept
 
     def plain(self, text: str) -> bytes:
         ids = self.encode(text)
@@ -32,7 +32,7 @@ class WordIds(dict):
     def __missing__(self, word: str) -> bytes:
         out = self.plain(word if word.startswith("\n") else " " + word)
         if len(word) <= LONGEST_CACHED:
-            if len(self) >= CACHED_WORDS:
+            if len(self) >= self.kept:
                 self.clear()
             self[word] = out
         return out

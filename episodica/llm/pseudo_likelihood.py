@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from episodica.llm.common import in_small_batches
+
 REACH, GROUPS, HIDDEN = 2, 32, 16
 # Ids: 0 is the padding, the frequent words follow, the rest are hash classes.
 IDS = GROUPS * GROUPS
@@ -210,7 +212,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                     counts = Counter()
         yield rows(counts)
 
-    return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return in_small_batches(docs).select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def fit(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Vocabulary, WindowNetwork]:
@@ -280,5 +282,5 @@ def score(docs: DataFrame, words: Vocabulary, network: WindowNetwork) -> DataFra
                 names=["doc_id", "n_tokens", "log_prob", "mean_log_prob"],
             )
 
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    narrow = in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return narrow.mapInArrow(run, "doc_id long, n_tokens long, log_prob double, mean_log_prob double")

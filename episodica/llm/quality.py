@@ -20,10 +20,13 @@ from itertools import combinations
 from operator import eq
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from episodica.llm.common import in_small_batches
+
 # Labelled documents that a model is fitted on, at most.
 TRAIN_ROWS = 20_000
 BINS, PAIR_BINS, PAIRS = 64, 12, 6
@@ -213,7 +216,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, learn: Column, rows: int =
             yield pa.RecordBatch.from_arrays([batch.column("label"), made], names=["label", "x"])
 
     # Bounded by ``rows`` pairs of numbers.
-    joined = docs.select("doc_id", "text").join(F.broadcast(known.select("doc_id", "label")), "doc_id")
+    joined = in_small_batches(docs).select("doc_id", "text").join(F.broadcast(known.select("doc_id", "label")), "doc_id")
     got = joined.select("label", "text").mapInArrow(run, "label double, x array<double>").toArrow()
     x = np.array(got.column("x").to_pylist(), dtype=float).reshape(-1, len(FEATURES))
     y = got.column("label").to_numpy()
@@ -222,21 +225,17 @@ def training_rows(docs: DataFrame, labels: DataFrame, learn: Column, rows: int =
     return x[order], y[order]
 
 
+def probability(model: AdditiveModel, text: str = "text") -> Column:
+    """Score of the whole text of a column; only texts go to the workers, only numbers come back."""
+
+    @F.pandas_udf("double")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series(model.score(np.array([features(t) for t in texts]).reshape(-1, len(FEATURES))))
+
+    return run(F.col(text))
+
+
 def score(docs: DataFrame, model: AdditiveModel, keep: list[str], accept_at: float = ACCEPT_AT) -> DataFrame:
     """The columns ``keep`` of ``docs`` with ``score`` and ``predicted`` of the whole text."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            p = model.score(_rows(batch))
-            made = [pa.array(p, pa.float64()), pa.array((p >= accept_at).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], *made], names=[*batch.schema.names[1:], "score", "predicted"]
-            )
-
-    kept = docs.select(*[F.col(f"`{c}`") for c in keep])
-    # The text to read comes first, under a name of its own position, so that ``keep`` may hold it again.
-    both = docs.select(F.col("text").alias("text"), *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(keep)])
-    out = both.mapInArrow(run, ", ".join(
-        [f"_{i} {f.dataType.simpleString()}" for i, f in enumerate(kept.schema)] + ["score double", "predicted int"]
-    ))
-    return out.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)], "score", "predicted")
+    scored = in_small_batches(docs).select(*[F.col(f"`{c}`") for c in keep], probability(model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= accept_at).cast("int"))
