@@ -4,14 +4,20 @@ Every token is predicted from the ``REACH`` tokens on either side of it, itself
 masked. A token is a word: the most frequent words of all documents have ids of
 their own, all others share ids by hash. Inputs are summed from one table per
 place in the window, one hidden layer follows, and the output is a softmax over
-groups of ids times a softmax within the group. A document's score is the sum
-of its tokens' conditional log-probabilities.
+groups of ids times a softmax within the group. The ids grow with the root of
+the number of distinct words. With the table of all word counts, a word that
+shares its id adds the logarithm of its share in its class, so that every word
+of the corpus has a probability of its own. A class keeps as many tokens for
+unseen words as it has words seen once, shared by as many unseen words as it
+has known ones; so an unseen word is never likelier than one seen once. A
+document's score is the sum of its tokens' conditional log-probabilities.
 
 All documents are learned from: word counts are summed over the corpus, then in
 every round each partition trains its own copy of the network on all of its
 tokens, and the copies are averaged, weighted by tokens, in one aggregation
-over parameters. Only the frequent words and the averaged parameters, both of
-fixed size, come to the driver.
+over parameters. The frequent words, the totals of the classes and the averaged
+parameters come to the driver, as many as there are ids; the word counts stay a
+table and are joined to the documents' words.
 
 Null and empty texts have no tokens, the sum 0 and no mean. Repeated rows are
 learned from and scored each. An empty table gives an empty table. Extra
@@ -20,23 +26,27 @@ columns are dropped.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from episodica.llm.common import in_small_batches
+from episodica.llm.common import in_small_batches, written
 
 REACH, GROUPS, HIDDEN = 2, 32, 16
-# Ids: 0 is the padding, the frequent words follow, the rest are hash classes.
+# Ids: 0 is the padding, the frequent words follow, the last quarter are hash classes. So many at least.
 IDS = GROUPS * GROUPS
-FREQUENT = IDS - 1 - 255
-ROUNDS, BATCH, RATE = 1, 8192, 0.05
+# Ids for each root of the number of distinct words.
+IDS_PER_ROOT = 2
+ROUNDS, BATCH, RATE = 2, 8192, 0.05
 # Distinct words that a task counts before it hands them on.
 COUNTED = 200_000
 # Words whose ids a worker remembers; the others are hashed again.
@@ -45,11 +55,21 @@ KNOWN = 300_000
 STRETCH = 16_384
 
 
+def ids_for(distinct: int) -> int:
+    """Number of ids for so many distinct words: whole groups, IDS at least."""
+    return max(IDS, GROUPS * math.ceil(IDS_PER_ROOT * math.sqrt(distinct) / GROUPS))
+
+
 class Vocabulary(dict):
     """Word to id; words that are not frequent get the id of their hash class."""
 
+    def __init__(self, known: Mapping[str, int] = {}, size: int = IDS):
+        super().__init__(known)
+        self.size, self.frequent = size, size - size // 4
+        self.classes = size - 1 - self.frequent
+
     def __missing__(self, word: str) -> int:
-        out = 1 + FREQUENT + zlib.crc32(word.encode(errors="replace")) % (IDS - 1 - FREQUENT)
+        out = 1 + self.frequent + zlib.crc32(word.encode(errors="replace")) % self.classes
         if len(self) < KNOWN:
             self[word] = out
         return out
@@ -87,11 +107,11 @@ class WindowNetwork:
         """Small random weights, and output biases at the ids' share of all tokens."""
         rng = np.random.default_rng(seed)
         small = lambda *shape: rng.normal(0, 0.1, shape).astype(np.float32)
-        share = np.log(counts + 1.0).reshape(GROUPS, GROUPS)
+        share, groups = np.log(counts + 1.0).reshape(-1, GROUPS), len(counts) // GROUPS
         group = np.log(np.exp(share).sum(axis=1))
         return WindowNetwork(
-            small(2 * REACH, IDS, HIDDEN), np.zeros(HIDDEN, np.float32), small(HIDDEN, GROUPS), group.astype(np.float32),
-            small(GROUPS, HIDDEN, GROUPS), (share - group[:, None]).astype(np.float32),
+            small(2 * REACH, len(counts), HIDDEN), np.zeros(HIDDEN, np.float32), small(HIDDEN, groups), group.astype(np.float32),
+            small(groups, HIDDEN, GROUPS), (share - group[:, None]).astype(np.float32),
         )
 
     def parts(self) -> list[np.ndarray]:
@@ -141,8 +161,9 @@ class WindowNetwork:
 
     def by_group(self, target: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         order = np.argsort(target // GROUPS, kind="stable")
-        ends = np.searchsorted(target[order] // GROUPS, np.arange(GROUPS + 1))
-        for g in range(GROUPS):
+        groups = len(self.group_bias)
+        ends = np.searchsorted(target[order] // GROUPS, np.arange(groups + 1))
+        for g in range(groups):
             if ends[g] < ends[g + 1]:
                 yield g, order[ends[g] : ends[g + 1]]
 
@@ -171,7 +192,7 @@ class WindowNetwork:
         tables = np.empty_like(self.tables)
         for place, ids in enumerate(window):
             for k, unit in enumerate(units):
-                tables[place, :, k] = np.bincount(ids, unit, IDS)
+                tables[place, :, k] = np.bincount(ids, unit, tables.shape[1])
         slopes = [tables, dh.sum(axis=0), h.T @ p.T, p.sum(axis=1), within, within_bias]
         for value, slope, sums in zip(self.parts(), slopes, square, strict=True):
             slope /= n
@@ -194,6 +215,19 @@ def _texts(batches: Iterator[pa.RecordBatch], words: Vocabulary, stretch: int) -
         yield held
 
 
+def _stretches(texts: Iterable[list[str]], stretch: int) -> Iterator[list[list[str]]]:
+    """Texts as words, gathered to stretches of about so many tokens."""
+    held, n = [], 0
+    for words in texts:
+        held.append(words)
+        n += len(words)
+        if n >= stretch:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """word and n over all documents."""
 
@@ -215,26 +249,34 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return in_small_batches(docs).select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def fit(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Vocabulary, WindowNetwork]:
-    """The frequent words and the network, learned from all of ``docs``."""
-    top = word_counts(docs).orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
-    words = Vocabulary({r["word"]: 1 + i for i, r in enumerate(top)})
-    counts = np.zeros(IDS)
-    counts[1 : 1 + len(top)] = [r["n"] for r in top]
+def counted(docs: DataFrame) -> DataFrame:
+    """word and n over all documents, written: one row for each distinct word."""
+    return written(word_counts(docs), "word_counts")
+
+
+def fit(docs: DataFrame, rounds: int = ROUNDS, counts: DataFrame | None = None) -> tuple[Vocabulary, WindowNetwork]:
+    """The frequent words and the network, learned from all of ``docs``; ``counts`` is ``counted(docs)``."""
+    table = counted(docs) if counts is None else counts
+    size = ids_for(table.count())
+    words = Vocabulary(size=size)
+    top = table.orderBy(F.desc("n"), "word").limit(words.frequent).collect()
+    words.update((r["word"], 1 + i) for i, r in enumerate(top))
+    start = np.zeros(size)
+    start[1 : 1 + len(top)] = [r["n"] for r in top]
     # The hash classes start at the count of the rarest frequent word.
-    counts[1 + FREQUENT :] = top[-1]["n"] if top else 1
-    network = WindowNetwork.start(counts)
+    start[1 + words.frequent :] = top[-1]["n"] if top else 1
+    network = WindowNetwork.start(start)
     for _ in range(rounds):
         network = _round(docs, words, network)
     return words, network
 
 
 def _round(docs: DataFrame, words: Vocabulary, network: WindowNetwork) -> WindowNetwork:
-    known, begin = dict(words), network.flat()
+    known, ids, begin = dict(words), words.size, network.flat()
     size = len(begin)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, vocabulary, n = network.shaped(begin.copy()), Vocabulary(known), 0
+        own, vocabulary, n = network.shaped(begin.copy()), Vocabulary(known, ids), 0
         square = [np.zeros_like(p) for p in own.parts()]
         for texts in _texts(batches, vocabulary, STRETCH):
             target, window = windows(texts)
@@ -257,30 +299,88 @@ def _round(docs: DataFrame, words: Vocabulary, network: WindowNetwork) -> Window
     return network.shaped(total[:-1] / total[-1])
 
 
-def score(docs: DataFrame, words: Vocabulary, network: WindowNetwork) -> DataFrame:
-    """doc_id, n_tokens, log_prob (sum over tokens) and mean_log_prob of every whole text."""
-    known = dict(words)
+def _classes(words: Vocabulary, counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Logarithms for every class: of all its tokens, unseen ones included, and of the count that stands for an unseen word."""
+    rare = F.broadcast(counts.sparkSession.createDataFrame([(w,) for w, i in words.items() if i <= words.frequent], "word string"))
+    # One row for each class.
+    rows = (
+        counts.join(rare, "word", "left_anti")
+        .groupBy((F.crc32("word") % words.classes).cast("int").alias("class"))
+        .agg(F.sum("n"), F.count("*"), F.count_if(F.col("n") == 1))
+        .collect()
+    )
+    n, distinct, once = np.zeros((3, words.classes))
+    for c, *values in rows:
+        n[c], distinct[c], once[c] = values
+    return np.log(n + once + 1), np.log((once + 1) / (distinct + 1))
+
+
+SCORED = "row long, doc_id long, n_tokens long, log_prob double"
+
+
+def score(docs: DataFrame, words: Vocabulary, network: WindowNetwork, counts: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_tokens, log_prob (sum over tokens) and mean_log_prob of every whole text.
+
+    With ``counts`` (see ``counted``) the probability is that of the word;
+    without, that of its id, where words of one class are not told apart.
+    """
+    known, ids = dict(words), words.size
+    total, unseen = (None, None) if counts is None else _classes(words, counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(known)
+        vocabulary = Vocabulary(known, ids)
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
+            texts = [(text or "").split() for text in batch.column("text").to_pylist()]
             sums: list[float] = []
             sizes: list[int] = []
-            for texts in _texts(iter([batch.select(["text"])]), vocabulary, STRETCH):
-                lengths = np.array([len(t) for t in texts])
-                target, window = windows(texts)
+            rare: list[list[str]] = []
+            times: list[list[int]] = []
+            for held in _stretches(texts, STRETCH):
+                coded = [np.fromiter(map(vocabulary.__getitem__, t), np.int64, len(t)) for t in held]
+                lengths = np.array([len(t) for t in held])
+                target, window = windows(coded)
                 each = np.concatenate(
                     [np.zeros(0)]
                     + [network.log_prob(target[i : i + STRETCH], window[:, i : i + STRETCH]) for i in range(0, len(target), STRETCH)]
                 )
-                owner = np.repeat(np.arange(len(texts)), lengths)
-                sums += np.bincount(owner, each, minlength=len(texts)).tolist()
+                if total is not None:
+                    shared = np.flatnonzero(target > vocabulary.frequent)
+                    each[shared] -= total[target[shared] - 1 - vocabulary.frequent]
+                    for t, c in zip(held, coded, strict=True):
+                        found = Counter(compress(t, (c > vocabulary.frequent).tolist()))
+                        rare.append(list(found))
+                        times.append(list(found.values()))
+                owner = np.repeat(np.arange(len(held)), lengths)
+                sums += np.bincount(owner, each, minlength=len(held)).tolist()
                 sizes += lengths.tolist()
-            mean = [s / n if n else None for s, n in zip(sums, sizes, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64()), pa.array(mean, pa.float64())],
-                names=["doc_id", "n_tokens", "log_prob", "mean_log_prob"],
-            )
+            columns = [
+                pa.array(range(row, row + len(sums)), pa.int64()), batch.column("doc_id"),
+                pa.array(sizes, pa.int64()), pa.array(sums, pa.float64()),
+            ]
+            names = ["row", "doc_id", "n_tokens", "log_prob"]
+            row += len(sums)
+            if total is not None:
+                columns += [pa.array(rare, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int64()))]
+                names += ["rare", "times"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     narrow = in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return narrow.mapInArrow(run, "doc_id long, n_tokens long, log_prob double, mean_log_prob double")
+    if counts is None:
+        out = narrow.mapInArrow(run, SCORED)
+    else:
+        # Rows have numbers of their own, which the file keeps: those that repeat are scored each.
+        scored = written(narrow.mapInArrow(run, f"{SCORED}, rare array<string>, times array<long>"), "scored")
+        each = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x"))
+        each = each.select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
+        rates = F.array(*map(F.lit, unseen.tolist()))
+        of_class = F.get(rates, (F.crc32("word") % words.classes).cast("int"))
+        shares = (
+            each.join(counts, "word", "left")
+            .groupBy("row")
+            .agg(F.sum(F.col("times") * F.coalesce(F.log("n"), of_class)).alias("shares"))
+        )
+        out = scored.drop("rare", "times").join(shares, "row", "left")
+        out = out.withColumn("log_prob", F.col("log_prob") + F.coalesce("shares", F.lit(0.0)))
+    mean = F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens"))
+    return out.select("doc_id", "n_tokens", "log_prob", mean.alias("mean_log_prob"))

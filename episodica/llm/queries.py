@@ -52,7 +52,8 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pseudo_likelihood.score(docs, *pseudo_likelihood.fit(docs))
+    counts = pseudo_likelihood.counted(docs)
+    return pseudo_likelihood.score(docs, *pseudo_likelihood.fit(docs, counts=counts), counts)
 
 
 def op6_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:

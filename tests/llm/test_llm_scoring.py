@@ -51,6 +51,40 @@ def test_scoring_edge_cases(spark):
     assert lm.score(empty, *lm.fit(empty)).count() == 0
 
 
+def test_words_of_one_class_are_told_apart(spark):
+    """The probability of a word, not of its hash class, from counts of all words."""
+    frequent = " ".join(f"w{i}" for i in range(768)) + " "
+    texts = [frequent * 9, "common " * 8 + "seldom " * 2 + "once"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counts = lm.counted(docs)
+    words, network = lm.fit(docs, counts=counts)
+    assert {r.word: r.n for r in counts.where("n < 9").collect()} == {"common": 8, "seldom": 2, "once": 1}
+    more = [(5, "common"), (6, "seldom"), (7, "w3 once"), (8, "never"), (8, "never"), (9, None), (10, "w3")]
+    asked = spark.createDataFrame(more, "doc_id long, text string")
+    plain = {r.doc_id: r.log_prob for r in lm.score(asked, words, network).collect()}
+    rows = lm.score(asked, words, network, counts).collect()
+    got = {r.doc_id: r.log_prob for r in rows}
+    assert len(rows) == 7 and [r.log_prob for r in rows].count(got[8]) == 2
+    assert got[9] == 0 and got[10] == plain[10]
+    count = {"common": 8, "seldom": 2, "once": 1}
+    for doc_id, word in ((5, "common"), (6, "seldom"), (7, "once"), (8, "never")):
+        mates = [w for w in count if words[w] == words[word]]
+        once = sum(count[w] == 1 for w in mates) + 1
+        total = sum(count[w] for w in mates) + once
+        own = count.get(word, once / (len(mates) + 1))
+        assert np.isclose(got[doc_id] - plain[doc_id], np.log(own / total))
+    assert lm.score(asked.limit(0), words, network, counts).count() == 0
+
+
+def test_ids_grow_with_the_distinct_words(spark):
+    assert lm.ids_for(0) == lm.IDS and lm.ids_for(4_000_000) == 4000
+    docs = spark.createDataFrame([(k, " ".join(f"v{i}" for i in range(k * 30_000, (k + 1) * 30_000))) for k in range(12)], "doc_id long, text string")
+    words, network = lm.fit(docs, rounds=1)
+    assert words.size == lm.ids_for(360_000) > lm.IDS and network.tables.shape[1] == words.size == network.group.shape[1] * lm.GROUPS
+    got = lm.score(docs.where("doc_id = 1"), words, network).first()
+    assert abs(got.log_prob - plain_log_prob(network, words.ids(docs.where("doc_id = 1").first().text))) < 1e-3 * got.n_tokens
+
+
 def test_quality_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.01"
     out = op9_quality_gam(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").collect()
