@@ -10,7 +10,8 @@ cut. A sequence closed before it is full, because of another limit or at the
 end of the partition, is split into lengths that are powers of two, which need
 no padding.
 
-Null and empty texts are one end token. Ties go to the sequence opened first.
+The contents of the tokenizer's added tokens, such as ``<|endoftext|>``, become
+their ids where a text holds them. Null and empty texts are one end token. Ties go to the sequence opened first.
 Rows that repeat are packed once each. An empty table gives no pieces. Extra
 columns are not read.
 """
@@ -18,8 +19,9 @@ columns are not read.
 from __future__ import annotations
 
 import json
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -53,7 +55,7 @@ class Limits:
 
 @lru_cache(maxsize=2)
 def _words(path: str) -> WordIds:
-    """Ids by the vocabulary of a byte-level BPE tokenizer file.
+    """Ids of texts without added tokens, by the vocabulary of a byte-level BPE tokenizer file.
 
     Ids of such a file are the ranks of its merges, so the merges run in
     tiktoken, some four times as fast as in the file's own library and with the
@@ -71,6 +73,27 @@ def _words(path: str) -> WordIds:
     return WordIds(coder.encode_ordinary, CACHED_WORDS)
 
 
+@lru_cache(maxsize=2)
+def _coder(path: str) -> Callable[[str | None], bytes]:
+    """Whole texts to ids: added tokens have their own, wherever a text holds them, and the words lie between."""
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f)["added_tokens"]
+    if any(t[flag] for t in added for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("added tokens that depend on their surroundings are not supported")
+    words = _words(path)
+    if not added:
+        return words.ids
+    own = {t["content"]: t["id"].to_bytes(4, "little") for t in added}
+    # The longest of those that begin at one place.
+    cut = re.compile("(" + "|".join(map(re.escape, sorted(own, key=len, reverse=True))) + ")")
+
+    def ids(text: str | None) -> bytes:
+        parts = cut.split(text or "")
+        return b"".join(own[x] if i % 2 else words.ids(x) for i, x in enumerate(parts))
+
+    return ids
+
+
 @dataclass
 class Piece:
     doc_id: int | None
@@ -201,13 +224,13 @@ def pack(
     prompt = F.col(prompt_tokens).cast("long") if prompt_tokens else F.lit(0).cast("long")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _words(tokenizer)
+        coded = _coder(tokenizer)
         packer = Packer(limits, open_bins, TaskContext.get().partitionId() << SEQUENCE_BITS)
         end = np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
             ids, texts, prompts = batch.columns
             for doc_id, text, loss_from in zip(ids.to_pylist(), texts, prompts.to_pylist(), strict=True):
-                packer.add(doc_id, words.ids(text.as_py()) + end, loss_from or 0)
+                packer.add(doc_id, coded(text.as_py()) + end, loss_from or 0)
             yield packer.taken()
         packer.close()
         yield packer.taken()

@@ -98,6 +98,22 @@ def test_packing_documents(spark):
     assert check_pieces(packing.pack(df, VOCABULARY).collect(), docs) == 0
 
 
+def test_packing_maps_added_tokens_in_texts(spark):
+    plain = Tokenizer.from_file(VOCABULARY)
+    end = "<|endoftext|>"
+    texts = ["a <|endoftext|> b", end, end * 3, f" {end}\n\n{end} x  y", f"x{end}y", "<|endoftext|", f"é\n{end[:-1]}{end} 's", f"{end} " * 900]
+    docs = list(enumerate([*texts, None, "", *TRICKY]))
+    assert ids(packing._coder(VOCABULARY)(texts[0])) == [64, 220, 50256, 275]
+    for _, text in docs:
+        assert ids(packing._coder(VOCABULARY)(text)) == plain.encode(text or "", add_special_tokens=False).ids
+    out = packing.pack(spark.createDataFrame(docs, "doc_id long, text string"), VOCABULARY).collect()
+    for doc_id, text in docs:
+        want = np.array([*plain.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        pieces = sorted((r for r in out if r.doc_id == doc_id), key=lambda r: r.start)
+        assert sum(r.length for r in pieces) == len(want) == pieces[0].doc_tokens
+        assert all(r.ids_crc32 == zlib.crc32(want[r.start : r.start + r.length].tobytes()) for r in pieces)
+
+
 def test_packing_edge_cases(spark):
     docs = [(1, None), (2, ""), (3, "x" * 20_000), (4, "a b"), (5, "word " * 30_000), (6, "a b")]
     df = spark.createDataFrame([(*d, 1, 2) for d in docs], "doc_id long, text string, start int, prompt int").repartition(2)
