@@ -10,8 +10,8 @@ finds fewer than asked visits all axes of one table, that is, every vector.
 
 Vectors that are null, empty, zero or hold null or non-finite components take
 no part; those of another length are no candidates. A row is never its own
-candidate: candidates with the query's id are left out, so repeated rows of one
-id count once. Ties go to the smaller vec_id. Rows without vec_id are dropped. An
+candidate: candidates with the query's id are left out. Repeated rows of one
+id count once, by the nearest; of a repeated query the least vector asks. Ties go to the smaller vec_id. Rows without vec_id are dropped. An
 empty table gives an empty table. Extra columns are dropped.
 """
 
@@ -105,11 +105,15 @@ def _nearest(queries: pd.DataFrame, vectors: pd.DataFrame, k: int) -> pd.DataFra
         norms_x, norms_q = np.sqrt((x * x).sum(axis=1)), np.sqrt((q * q).sum(axis=1))
         close = (q @ x.T) / norms_q[:, None] / norms_x[None, :]
         close[names[:, None] == ids[None, :]] = -np.inf
+        # Rows of one id count by their nearest, so that they take one place among the k.
+        by_id = np.argsort(ids, kind="stable")
+        starts = np.flatnonzero(np.append(True, np.diff(ids[by_id]) != 0))
         for i, row in enumerate(close):
-            n = min(k, int((row > -np.inf).sum()))
+            best = row if len(starts) == len(ids) else np.maximum.reduceat(row[by_id], starts)
+            n = min(k, int((best > -np.inf).sum()))
             if not n:
                 continue
-            last = np.partition(row, len(row) - n)[len(row) - n]
+            last = np.partition(best, len(best) - n)[len(best) - n]
             at = np.flatnonzero(row >= last - MARGIN)
             # Equal vectors get equal scores: products of one pair are summed by themselves.
             exact = (x[at] * q[i]).sum(axis=1) / (norms_x[at] * norms_q[i])
@@ -127,7 +131,10 @@ def _search(vectors: DataFrame, queries: DataFrame, tables: int, probes: int, k:
     """The k nearest of every query among the vectors that it meets in some bucket."""
     kinds = [F.col("vec_id"), F.col("length"), F.col("embedding")]
     filed = written(hashed(vectors, tables, 1), "filed")
-    asked = written(hashed(queries, tables, probes).dropDuplicates(["vec_id"]), "asked")
+    # Of a repeated id's rows the least vector asks, the shorter one first.
+    least = F.min(F.struct(F.size("embedding").alias("length"), "embedding")).alias("least")
+    queries = queries.groupBy("vec_id").agg(least).select("vec_id", F.col("least.embedding").alias("embedding"))
+    asked = written(hashed(queries, tables, probes), "asked")
     filed = filed.select(*kinds, F.explode("buckets").alias("bucket"))
     asked = asked.select(*kinds, F.explode("buckets").alias("bucket"))
     # Bounded by the tables' axes.

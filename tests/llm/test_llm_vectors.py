@@ -100,6 +100,23 @@ def test_neighbours_with_ties_odd_vectors_and_parts(spark, monkeypatch):
     assert want[200] == [201, 202, 203, 204, 205]
 
 
+def test_repeated_rows_take_one_place(spark, monkeypatch):
+    # In order of nearness to 0: 1, 1, 1, 2, 2, 3, 4, 5.
+    near = [(n, [1.0, 0.01 * (j + 1)], 0) for j, n in enumerate([1, 1, 1, 2, 2, 3, 4, 5])]
+    rows = [(0, [1.0, 0.0], 0), *near]
+    got = cross_polytope.search(frame(spark, rows), F.col("vec_id") == 0, tables=1, probes=1).collect()
+    assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"])] == [1, 2, 3, 4, 5]
+    monkeypatch.setattr(cross_polytope, "BLOCK", 16)
+    rows = clustered(200) + ODD
+    asked = lambda r: {(x.query_id, x["rank"], x.vec_id) for x in cross_polytope.search(frame(spark, r), F.col("vec_id") % 50 == 0, probes=16).collect()}
+    assert asked([r for r in rows for _ in range(3)]) == asked(rows)
+    # Whichever row of a query's id comes first.
+    other = [(0, [0.0, 1.0], 0), (0, [1.0, 0.0], 0), (1, [1.0, 0.1], 0), (2, [0.1, 1.0], 0)]
+    for r in (other, other[::-1]):
+        got = cross_polytope.search(frame(spark, r), F.col("vec_id") == 0, k=1).collect()
+        assert [x.vec_id for x in got] == [2]
+
+
 def test_fewer_vectors_than_asked(spark):
     rows = [(0, [1.0, 0.0, 0.0], 0), (1, [-1.0, 0.0, 0.0], 0), (2, [0.0, 1.0, 0.0], 0), (2, [0.0, 1.0, 0.0], 0)]
     got = [(r["rank"], r.vec_id) for r in cross_polytope.search(frame(spark, rows), F.col("vec_id") == 0, probes=1).collect()]
