@@ -121,27 +121,15 @@ def scan_person(spark, sf_dir):
     return S.drop_columns(S.read_persons(spark, path), list(absent))
 
 
-@query(
-    "recoded_join",
-    """SELECT CASE WHEN c.person_id = 50 THEN -999 ELSE c.person_id END AS person_id,
-         CAST(c.episode_id AS VARCHAR) AS episode_id, c.component_no, s.release_date, p.birth_date
-       FROM component c JOIN stay s ON c.person_id = s.person_id AND c.episode_id = s.episode_id
-        AND c.component_no = s.component_no JOIN person p ON c.person_id = p.person_id
-       WHERE c.person_id % 50 = 0 AND c.person_id IN (SELECT person_id FROM component WHERE is_felony = 1)""",
-)
-def recoded_join(spark, sf_dir):
-    """An id recoded by the readers of all three files still meets itself."""
-    people = D.person(spark, sf_dir).filter("person_id % 50 = 0")
+def recoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three source files, written whole and read with one id recoded, joined."""
+    people = D.person(spark, sf_dir)
     absent = {c: F.lit(None).cast("string") for c in S.PERSON_COLUMNS.values() if c not in people.columns}
-    stays = D.stay(spark, sf_dir).filter("person_id % 50 = 0").withColumn("stay_begin", F.lit(None).cast("date"))
+    stays = D.stay(spark, sf_dir).withColumn("stay_begin", F.lit(None).cast("date"))
     code = F.expr(ID_TEXT.format(text="STRING"))
     rules = {"id_recode": {"T50": "-999"}}
     components = S.read_components(
-        spark,
-        write_source_csv(
-            spark, text_component(spark, sf_dir).filter("person_id like 'T%'"), S.COMPONENT_COLUMNS
-        ),
-        **rules,
+        spark, write_source_csv(spark, text_component(spark, sf_dir), S.COMPONENT_COLUMNS), **rules
     )
     held = S.read_stays(spark, write_source_csv(spark, stays.withColumn("person_id", code), S.STAY_COLUMNS), **rules)
     persons = S.read_persons(
@@ -154,6 +142,32 @@ def recoded_join(spark, sf_dir):
     )
 
 
+@query(
+    "recoded_join",
+    """SELECT CASE WHEN c.person_id = 50 THEN -999 ELSE c.person_id END AS person_id,
+         CAST(c.episode_id AS VARCHAR) AS episode_id, c.component_no, s.release_date, p.birth_date
+       FROM component c JOIN stay s ON c.person_id = s.person_id AND c.episode_id = s.episode_id
+        AND c.component_no = s.component_no JOIN person p ON c.person_id = p.person_id
+       WHERE c.person_id % 50 = 0 AND c.person_id IN (SELECT person_id FROM component WHERE is_felony = 1)""",
+)
+def recoded_join(spark, sf_dir):
+    """The rows of ``recoded_join_whole`` that this query's SQL asks for."""
+    return recoded(spark, sf_dir).where("person_id % 50 = 0 OR person_id = -999")
+
+
+@query(
+    "recoded_join_whole",
+    """SELECT CASE WHEN c.person_id = 50 THEN -999 ELSE c.person_id END AS person_id,
+         CAST(c.episode_id AS VARCHAR) AS episode_id, c.component_no, s.release_date, p.birth_date
+       FROM component c JOIN stay s ON c.person_id = s.person_id AND c.episode_id = s.episode_id
+        AND c.component_no = s.component_no JOIN person p ON c.person_id = p.person_id
+       WHERE c.person_id IN (SELECT person_id FROM component WHERE is_felony = 1)""",
+)
+def recoded_join_whole(spark, sf_dir):
+    """An id recoded by the readers of all three files still meets itself, and all other ids do."""
+    return recoded(spark, sf_dir)
+
+
 @query("sink_roundtrip", "SELECT key, label, score, race, gender FROM scores")
 def sink_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "scores")
