@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from episodica.llm import jaccard, language, line_dedup, packing, quality
 from episodica.llm.common import crc_mod, table, written
 
-# A language is taken if its score is at least this; below it the machines contradict one another.
-LEAST_LANGUAGE_SCORE = 0.5
+# A language is taken if its score is at least this: 99.5% of the right predictions on 2,499 held-out texts of sf0.1
+# reach it. Languages that were never learned and letter junk lead by less.
+LEAST_LANGUAGE_SCORE = 0.97
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,8 @@
 """Every stage of the pipeline against a plain version of its decision."""
 
+import base64
+import random
+
 import corpus_pipeline as pipeline
 import pytest
 from pyspark.sql import functions as F
@@ -52,6 +55,24 @@ def test_language_keeps_what_has_one(stages):
     assert ids(out) == want and len(want) > 0.97 * docs.count()
 
 
+def test_language_drops_unlearned_languages_and_junk(spark):
+    rng = random.Random(1)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    junk = [
+        "il gatto dorme sulla sedia mentre il cane guarda fuori dalla finestra e aspetta che torni il padrone " * 3,
+        "de kat slaapt op de stoel terwijl de hond naar buiten kijkt en wacht tot de baas weer thuis komt " * 3,
+        "kissa nukkuu tuolilla ja koira katsoo ulos ikkunasta odottaen että isäntä palaa kotiin " * 3,
+        "кошка спит на стуле а собака смотрит в окно и ждёт хозяина " * 3,
+        base64.b64encode(rng.randbytes(600)).decode(), letters(600), " ".join(letters(rng.randint(2, 9)) for _ in range(100)),
+    ]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    planted = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(junk)], "doc_id long, text string, lang string")
+    kept = ids(pipeline.keep_language(spark, docs.union(planted), SF))
+    assert not {i for i in kept if i < 0}
+    good = ids(spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1"))
+    assert len(good & kept) > 0.98 * len(good)
+
+
 def test_line_dedup_leaves_one_of_each_chunk(stages):
     docs, out = stages["line_dedup"]
     seen, want = set(), {}
