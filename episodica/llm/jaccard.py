@@ -2,9 +2,9 @@
 
 Every distinct shingle set gets, for each tree of the forest, a label of
 ``MAX_DEPTH`` MinHash values. Labels sorted make a prefix trie, whose nodes at
-depth d hold the sets that agree in d values. The join starts from whole labels
-and shortens the prefixes, level by level, until a pair at the threshold meets
-in some tree with the target recall. Sets that meet are gathered into candidate
+depth d hold the sets that agree in d values. The join uses one depth only, the
+longest at which a pair at the threshold meets in some tree with the target
+recall: banding of a fixed depth, which stands in for the adaptive forest. Sets that meet are gathered into candidate
 groups; within a group all pairs are verified exactly, in blocks, so that a
 group of any size is spread over tasks. Blocks give link counts and spanning
 trees, never the pairs.
