@@ -17,7 +17,7 @@ SPLIT = STUDY.splits[1]
 
 # Cells of the grid that one machine fits in seconds; models.FULL_GRID holds them all.
 FAMILY_CELLS = {
-    "model_rf": [Cell.of("RF", trees=10, depth=10, min_split=2)],
+    "model_rf": [Cell.of("RF", trees=20, depth=10, min_split=2)],
     "model_lr": [Cell.of("LR", penalty="l1", C=1), Cell.of("LR", penalty="l2", C=1)],
     "model_adaboost": [Cell.of("AB", rounds=10)],
     "model_tree": [Cell.of("DT", depth=10, min_split=10)],

@@ -174,3 +174,9 @@ def test_grid_resumes_and_audit_runs(spark, tmp_path, monkeypatch):
     chosen = again.filter(F.col("parameter") == cells[1].params)
     report = audit_scores(chosen, cohort, ["race", "gender"], {"race": "BUILDING", "gender": "MALE"})
     assert report["parity"].count() == report["metrics"].count() > 0
+
+
+def test_registered_forest_has_its_former_size():
+    from episodica.checks.fits import FAMILY_CELLS
+
+    assert FAMILY_CELLS["model_rf"] == [Cell.of("RF", trees=20, depth=10, min_split=2)]
