@@ -8,8 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from episodica.llm import bpe, cross_polytope, epsilon_join, jaccard, language, line_dedup, packing, pseudo_likelihood, quality, urls
+from episodica.llm import (
+    bpe,
+    cross_polytope,
+    epsilon_join,
+    jaccard,
+    language,
+    line_dedup,
+    merkle,
+    packing,
+    prefix_trie,
+    pseudo_likelihood,
+    quality,
+    sharding,
+    urls,
+)
 from episodica.llm.common import crc_mod, table
+from episodica.llm.oracles import MERKLE, PREFIX_TRIE
 
 URL_RULES = [
     urls.Rule("org", "/", "allow"),
@@ -81,6 +96,26 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = merkle.manifest(docs, F.crc32(F.col("doc_id").cast("long").cast("string")) % 5 == 0)
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.numbered(table(spark, sf_dir, "conversations"))
+    conv_id = F.col("conv_id")
+    heads = F.crc32(conv_id.cast("string")) % 9
+    return prefix_trie.trie(*prefix_trie.rebuilt(turns, conv_id - conv_id % 5, heads, most=8))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.assign(table(spark, sf_dir, "documents").select("doc_id", "text"), 40)
+    return out.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_language_id": op2_language_id,
@@ -92,6 +127,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_epsilon_grid": op8_epsilon_grid,
     "op9_quality_gam": op9_quality_gam,
     "op10_packing": op10_packing,
+    "op11_merkle": op11_merkle,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_sharding": op13_sharding,
 }
 ORACLE: dict[str, str] = {
     # The same boundaries from the same rolling hash, in SQL.
@@ -150,4 +188,6 @@ ORACLE: dict[str, str] = {
         SELECT v.vec_id, coalesce(c.n, 0) AS n_links, least(v.vec_id, coalesce(r.b, v.vec_id)) AS component_id,
                v.vec_id <= coalesce(r.b, v.vec_id) AS kept
         FROM embeddings v LEFT JOIN counted c ON v.vec_id = c.a LEFT JOIN least_reached r ON v.vec_id = r.a""",
+    "op11_merkle": MERKLE,
+    "op12_prefix_trie": PREFIX_TRIE,
 }
