@@ -203,8 +203,9 @@ def split_calendar(spark, sf_dir):
 
 @query(
     "encoded_vectors",
-    f"""SELECT person_id, episode_id, split_id, side, feature, round(value, 6) AS value FROM (
-          SELECT f.person_id, f.episode_id, f.split_id, f.side, f.feature, f.value
+    f"""SELECT person_id, episode_id, split_id, side, count(*) AS n_entries,
+          CAST(sum(('0x' || substr(md5(feature), 1, 6))::BIGINT * CAST(floor(value * 1000 + 0.5) AS BIGINT)) AS BIGINT) AS entries
+        FROM (SELECT f.person_id, f.episode_id, f.split_id, f.side, f.feature, f.value
           FROM long_features f JOIN shared_features s ON f.split_id = s.split_id AND f.feature = s.feature
           WHERE f.feature NOT IN ({', '.join(f"'{c}'" for c in NUMERIC)})
           UNION ALL
@@ -214,10 +215,10 @@ def split_calendar(spark, sf_dir):
                 LATERAL (VALUES {', '.join(f"('{c}', CAST({c} AS DOUBLE))" for c in NUMERIC)}) AS v(feature, value)
                 WHERE side = 'train' AND v.value IS NOT NULL GROUP BY split_id, v.feature) m
             ON m.split_id = r.split_id AND m.feature = u.feature)
-        WHERE value <> 0""",
+        WHERE value <> 0 GROUP BY person_id, episode_id, split_id, side""",
 )
 def encoded_vectors(spark, sf_dir):
-    """The vectors that the models are fitted on, entry by entry."""
+    """The vectors that the models are fitted on: each row's number of entries, and a sum over names and values of all."""
     rows = cut_lineage(splits.temporal_split(cohort(spark, sf_dir), "release_date", STUDY.splits))
     counts = cut_lineage(encoding.count_block_long(D.component(spark, sf_dir), COUNTED))
     keys = [*encoding.EPISODE, "split_id", "side"]
@@ -226,7 +227,11 @@ def encoded_vectors(spark, sf_dir):
         own = rows.filter(F.col("split_id") == s.split_id)
         encoder = encoding.FeatureEncoder(CATEGORICAL, NUMERIC, COUNTED).fit(own, counts)
         parts.append(encoding.vector_entries(encoder.transform(own, counts), encoder.names, keys))
-    return rounded(reduce(DataFrame.unionByName, parts), "value")
+    name = F.conv(F.substring(F.md5("feature"), 1, 6), 16, 10).cast("long")
+    value = F.floor(F.col("value") * 1000 + 0.5)
+    return reduce(DataFrame.unionByName, parts).groupBy(*keys).agg(
+        F.count("*").alias("n_entries"), F.sum(name * value).alias("entries")
+    )
 
 
 @query(

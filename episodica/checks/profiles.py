@@ -126,6 +126,40 @@ def describe_by_group(spark, sf_dir):
     return rounded(found, *DESCRIBED)
 
 
+@query(
+    "describe_null_groups",
+    " UNION ALL ".join(
+        f"SELECT '{g}' AS attribute, coalesce({g}, 'UNKNOWN') AS group_value, variable, {DESCRIBE_SQL} "
+        f"FROM {unpivot_sql(VARIABLES, 'cohort', f'{g},')} GROUP BY {g}, variable"
+        for g in ("ethnic", "race")
+    ),
+)
+def describe_null_groups(spark, sf_dir):
+    """A group attribute that some rows lack."""
+    found = profile.describe_groups(kept_cohort(spark, sf_dir), VARIABLES, ["ethnic", "race"])
+    return rounded(found, *DESCRIBED)
+
+
+@query(
+    "describe_by_null_key",
+    f"SELECT ethnic, variable, {DESCRIBE_SQL} FROM {unpivot_sql(VARIABLES, 'cohort', 'ethnic,')} GROUP BY ethnic, variable",
+)
+def describe_by_null_key(spark, sf_dir):
+    """Null groups keep their key where the grouping columns are given."""
+    return rounded(profile.describe(kept_cohort(spark, sf_dir), VARIABLES, ["ethnic"]), *DESCRIBED)
+
+
+@query(
+    "score_profile_unknown",
+    f"SELECT 'race' AS attribute, coalesce(g, 'UNKNOWN') AS group_value, variable, {DESCRIBE_SQL} FROM (SELECT g, 'score' AS variable, "
+    f"score AS value FROM (SELECT CASE WHEN key % 3 > 0 THEN race END AS g, score FROM scores)) GROUP BY g, variable",
+)
+def score_profile_unknown(spark, sf_dir):
+    """Scores of persons without a known group are a group of the report."""
+    scores = D.scores(spark, sf_dir).withColumn("race", F.when(F.col("key") % 3 > 0, F.col("race")))
+    return rounded(profile.describe_groups(scores, ["score"], ["race"]), *DESCRIBED)
+
+
 @query(
     "score_profile",
     " UNION ALL ".join(

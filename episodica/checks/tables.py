@@ -142,19 +142,6 @@ def recoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "recoded_join",
-    """SELECT CASE WHEN c.person_id = 50 THEN -999 ELSE c.person_id END AS person_id,
-         CAST(c.episode_id AS VARCHAR) AS episode_id, c.component_no, s.release_date, p.birth_date
-       FROM component c JOIN stay s ON c.person_id = s.person_id AND c.episode_id = s.episode_id
-        AND c.component_no = s.component_no JOIN person p ON c.person_id = p.person_id
-       WHERE c.person_id % 50 = 0 AND c.person_id IN (SELECT person_id FROM component WHERE is_felony = 1)""",
-)
-def recoded_join(spark, sf_dir):
-    """The rows of ``recoded_join_whole`` that this query's SQL asks for."""
-    return recoded(spark, sf_dir).where("person_id % 50 = 0 OR person_id = -999")
-
-
 @query(
     "recoded_join_whole",
     """SELECT CASE WHEN c.person_id = 50 THEN -999 ELSE c.person_id END AS person_id,

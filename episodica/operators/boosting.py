@@ -1,18 +1,29 @@
-"""Boosted decision stumps (SAMME, two classes) on weighted MLlib trees."""
+"""Boosted decision stumps (SAMME, two classes) on binned sparse features.
+
+Every feature is cut once into at most ``MAX_BINS`` bins: at the midpoints
+between its values where it has so few, else between quantiles of its distinct
+values. A round is one pass: tasks bring their rows' weights up to date and add
+them up by bin and class. The sums give the best stump, its error and its votes
+together. Weights are written every ``REWEIGHT`` rounds, so a pass repeats only
+the rounds since then.
+"""
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from episodica.operators.sparse import SCHEMA, Block, Passes, blocks, entries
 from episodica.session import cut_lineage
 
-CHECKPOINT_ROUNDS = 10
+MAX_BINS, REWEIGHT = 256, 100
 
 
 @dataclass(frozen=True)
@@ -26,79 +37,203 @@ class WeightedStump:
     alpha: float = 1.0
 
 
-def _read_stump(model: DecisionTreeClassificationModel) -> WeightedStump | None:
-    """The root of a fitted tree; None where the data gave no split."""
-    if model.depth == 0:
+@dataclass
+class Bins:
+    """Thresholds of all features in one array; feature f has those from ``start[f]`` on, and one bin more than thresholds."""
+
+    start: np.ndarray
+    thresholds: np.ndarray
+
+    @staticmethod
+    def of(values: Sequence[np.ndarray]) -> Bins:
+        """From the ascending values of each feature, zero included where a row has none."""
+        cuts = [(v[:-1] + v[1:]) / 2 for v in values]
+        return Bins(np.cumsum([0, *map(len, cuts)]), np.concatenate([*cuts, np.zeros(0)]))
+
+    def offsets(self) -> np.ndarray:
+        """Number of the first bin of each feature."""
+        return self.start + np.arange(len(self.start))
+
+    def code(self, feature: np.ndarray, value: np.ndarray) -> np.ndarray:
+        """Number of each entry's bin, over all features."""
+        out = np.empty(len(feature), np.int64)
+        order = np.argsort(feature, kind="stable")
+        names, first = np.unique(feature[order], return_index=True)
+        for f, at in zip(names, np.split(order, first[1:]), strict=True):
+            out[at] = np.searchsorted(self.thresholds[self.start[f] : self.start[f + 1]], value[at])
+        return out + self.offsets()[feature]
+
+    def zero(self) -> np.ndarray:
+        """The bin of value zero of each feature."""
+        every = np.arange(len(self.start) - 1)
+        return self.code(every, np.zeros(len(every)))
+
+
+def fit_bins(rows: DataFrame) -> Bins:
+    """Bins of the vectors in column ``features``; one row for each feature comes to the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, feature, value = entries(batch.column(0))
+            size = max(batch.column(0).field("size").drop_null().to_pylist(), default=0)
+            lengths = batch.column(0).field("values").value_lengths().to_pylist()
+            size = max(size, max((n or 0 for n in lengths), default=0))
+            pairs, n = np.unique(np.stack([feature, value]), axis=1, return_counts=True)
+            # The last row tells the number of rows and of features.
+            columns = [
+                pa.array([*pairs[0].astype(int), -1, -2], pa.int32()), pa.array([*pairs[1], 0.0, float(size)], pa.float64()),
+                pa.array([*n, batch.num_rows, 0], pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["feature", "value", "n"])
+
+    pairs = cut_lineage(
+        rows.select("features").mapInArrow(run, "feature int, value double, n long").groupBy("feature", "value").agg(F.sum("n").alias("n"))
+    )
+    probs = [i / (MAX_BINS - 1) for i in range(MAX_BINS)]
+    found = {
+        r["feature"]: (r["n"], sorted(set(r["values"])))
+        for r in pairs.groupBy("feature").agg(F.sum("n").alias("n"), F.percentile_approx("value", probs, 10_000).alias("values")).collect()
+    }
+    if -1 not in found:
+        return Bins.of([])
+    count, size = found[-1][0], int(max(found[-2][1]))
+    values = []
+    for f in range(size):
+        n, own = found.get(f, (0, []))
+        values.append(np.array(sorted({*own, 0.0}) if n < count else own))
+    return Bins.of(values)
+
+
+def _reweigh(block: Block, bins: Bins, zero: np.ndarray, stumps: list[tuple[WeightedStump, int, float]]) -> np.ndarray:
+    """The block's weights after ``stumps``: each with the last bin left of its threshold and its factor for all rows."""
+    weight, offsets = block.weight.copy(), bins.offsets()
+    sign = np.where(block.label > 0, 1, -1)
+    for stump, last, scale in stumps:
+        f = stump.feature
+        vote = np.full(len(weight), stump.left if zero[f] <= last else stump.right)
+        a, b, c = np.searchsorted(block.code, [offsets[f], last + 1, offsets[f + 1]])
+        vote[block.row[a:b]], vote[block.row[b:c]] = stump.left, stump.right
+        weight *= np.where(vote != sign, math.exp(stump.alpha), 1.0) * scale
+    return weight
+
+
+def _best(sums: np.ndarray, bins: Bins, zero: np.ndarray) -> tuple[WeightedStump, int, float, float] | None:
+    """The stump of the largest Gini gain, the last bin on its left, the weight it misses and the weight of all rows."""
+    whole, by_bin = sums[-2:], sums[:-2].reshape(-1, 2).copy()
+    offsets = bins.offsets()
+    total = np.add.reduceat(by_bin, offsets[:-1], axis=0) if len(zero) else by_bin
+    by_bin[zero] += whole - total
+    running = np.cumsum(by_bin, axis=0)
+    feature = np.repeat(np.arange(len(zero)), np.diff(bins.start))
+    # A feature's last bin has no threshold to its right.
+    place = np.arange(len(bins.thresholds)) + feature
+    if not len(place) or whole.sum() <= 0:
         return None
-    root = model._call_java("rootNode")
-    left, right = (1 if child.prediction() > 0.5 else -1 for child in (root.leftChild(), root.rightChild()))
-    return WeightedStump(root.split().featureIndex(), root.split().threshold(), left, right)
+    before = np.vstack([np.zeros(2), running])[offsets[feature]]
+    left = running[place] - before
+    right = whole - left
 
+    def impurity(side: np.ndarray) -> np.ndarray:
+        n = side.sum(axis=-1)
+        return 2 * side[..., 0] * side[..., 1] / np.where(n > 0, n, 1)
 
-def fit_boosted_stumps(train: DataFrame, rounds: int, seed: int = 0) -> list[WeightedStump]:
+    gain = (impurity(whole) - impurity(left) - impurity(right)) / whole.sum()
+    best = int(np.argmax(np.round(gain, 12)))
+    if gain[best] <= 1e-12:
+        return None
+    votes = [1 if side[1] > side[0] else -1 for side in (left[best], right[best])]
+    missed = float(min(left[best]) + min(right[best]))
+    return WeightedStump(int(feature[best]), float(bins.thresholds[best]), *votes), int(place[best]), missed, float(whole.sum())
+
+
+def fit_boosted_stumps(train: DataFrame, rounds: int) -> list[WeightedStump]:
     """Fit up to ``rounds`` stumps on columns ``features`` and ``label``.
 
     Each round reweights the rows the last stump got wrong. It stops early at a
-    stump without error or one no better than chance. Row weights are
-    checkpointed regularly, so the plan does not grow with the rounds.
+    stump without error or one no better than chance. Fewer rounds give the
+    first of the same stumps.
     """
-    plain = train.select(
-        F.col("features").alias("features", metadata={}),
-        F.col("label").cast("double").alias("label"),
-        F.lit(1.0).alias("weight"),
-    )
-    rows = cut_lineage(plain)
-    learner = DecisionTreeClassifier(maxDepth=1, impurity="gini", weightCol="weight", seed=seed)
+    bins = fit_bins(train)
+    zero, size = bins.zero(), len(bins.thresholds) + len(bins.start) - 1
+    passes = Passes(cut_lineage(blocks(train, lambda feature, value: (bins.code(feature, value), value))))
     stumps: list[WeightedStump] = []
-    for turn in range(rounds):
-        model = learner.fit(rows)
-        stump = _read_stump(model)
-        if stump is None:
+    recent: list[tuple[WeightedStump, int, float]] = []
+
+    def add(block: Block, total: np.ndarray) -> None:
+        weight = _reweigh(block, bins, zero, recent)
+        total[:-2] += np.bincount(2 * block.code + block.label[block.row], weight[block.row], 2 * size)
+        total[-2:] += np.bincount(block.label, weight, 2)
+
+    def reweighted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in Block.read(batches):
+            block.weight = _reweigh(block, bins, zero, recent)
+            yield block.record()
+
+    for _ in range(rounds):
+        found = _best(passes.vector_sum(2 * size + 2, add), bins, zero)
+        if found is None:
             break
-        # The tree itself reads the sparse vectors.
-        marked = model.transform(rows).select(*rows.columns, (F.col("prediction") != F.col("label")).alias("missed"))
-        missed = F.col("missed")
-        sums = marked.agg(
-            F.sum("weight").alias("all"), F.sum(F.when(missed, F.col("weight")).otherwise(0.0)).alias("missed")
-        ).first()
-        error = sums["missed"] / sums["all"]
-        if error <= 0:
+        stump, last, missed, whole = found
+        error = missed / whole
+        if error <= 1e-12:
             stumps.append(stump)
             break
         if error >= 0.5:
             break
-        alpha = math.log((1 - error) / error)
-        stumps.append(WeightedStump(stump.feature, stump.threshold, stump.left, stump.right, alpha))
-        # Weights keep a mean of about one.
-        scale = sums["all"] / (sums["all"] + sums["missed"] * (math.exp(alpha) - 1))
-        grown = F.when(missed, math.exp(alpha)).otherwise(1.0) * F.lit(scale)
-        rows = marked.withColumn("weight", F.col("weight") * grown).drop("missed")
-        if (turn + 1) % CHECKPOINT_ROUNDS == 0:
-            rows = cut_lineage(rows)
+        stump = WeightedStump(stump.feature, stump.threshold, stump.left, stump.right, math.log((1 - error) / error))
+        stumps.append(stump)
+        # Weights keep their sum.
+        recent.append((stump, last, whole / (whole + missed * (math.exp(stump.alpha) - 1))))
+        if len(recent) == REWEIGHT:
+            grown = cut_lineage(passes.table.mapInArrow(reweighted, SCHEMA))
+            passes.close()
+            passes, recent = Passes(grown), []
+    passes.close()
     return stumps
 
 
-def boosted_score(stumps: list[WeightedStump], features: Column, prior: float = 0.5) -> Column:
-    """Probability-like score from the weighted votes; ``prior`` where there are none."""
-    if not stumps:
-        return F.lit(float(prior))
-    table = F.array(
-        *[
-            F.struct(
-                F.lit(s.feature).alias("feature"),
-                F.lit(s.threshold).alias("threshold"),
-                F.lit(s.left * s.alpha).alias("left"),
-                F.lit(s.right * s.alpha).alias("right"),
-            )
-            for s in stumps
-        ]
-    )
-    values = vector_to_array(features)
-    total = F.aggregate(
-        table,
-        F.lit(0.0),
-        lambda acc, s: acc
-        + F.when(F.get(values, s["feature"]) <= s["threshold"], s["left"]).otherwise(s["right"]),
-    )
-    margin = 2 * total / F.lit(sum(s.alpha for s in stumps))
-    return 1 / (1 + F.exp(-margin))
+def _votes(stumps: Sequence[WeightedStump]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Per feature its thresholds, ascending, and the summed votes of all its stumps between them."""
+    out = {}
+    for f in sorted({s.feature for s in stumps}):
+        own = [s for s in stumps if s.feature == f]
+        cuts = np.unique([s.threshold for s in own])
+        sums = np.zeros(len(cuts) + 1)
+        for s in own:
+            at = int(np.searchsorted(cuts, s.threshold))
+            sums[: at + 1] += s.left * s.alpha
+            sums[at + 1 :] += s.right * s.alpha
+        out[f] = cuts, sums
+    return out
+
+
+def boosted_scores(rows: DataFrame, stumps: Sequence[WeightedStump], sizes: Sequence[int], prior: float = 0.5) -> DataFrame:
+    """The columns of ``rows`` but features, ``size`` and ``score``: the share-like score by the first ``size`` stumps, for each of ``sizes``.
+
+    A row's score is that of a row of zeros, and what its own entries change;
+    so the work does not grow with the stumps. ``prior`` is the score where
+    there are none.
+    """
+    keep = [c for c in rows.columns if c != "features"]
+    stages = [(n, _votes(stumps[:n]), sum(s.alpha for s in stumps[:n])) for n in sizes]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, feature, value = entries(batch.column(len(keep)))
+            order = np.argsort(feature, kind="stable")
+            row, feature, value = row[order], feature[order], value[order]
+            for n, votes, alphas in stages:
+                margin = np.zeros(batch.num_rows)
+                for f, (cuts, sums) in votes.items():
+                    a, b = np.searchsorted(feature, [f, f + 1])
+                    at_zero = sums[np.searchsorted(cuts, 0.0)]
+                    margin += at_zero
+                    margin[row[a:b]] += sums[np.searchsorted(cuts, value[a:b])] - at_zero
+                score = 1 / (1 + np.exp(-2 * margin / alphas)) if votes else np.full(batch.num_rows, float(prior))
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[: len(keep)], pa.array(np.full(batch.num_rows, n), pa.int32()), pa.array(score)],
+                    names=[*batch.schema.names[: len(keep)], "size", "score"],
+                )
+
+    schema = T.StructType([*rows.select(*keep).schema, T.StructField("size", T.IntegerType()), T.StructField("score", T.DoubleType())])
+    return rows.select(*keep, "features").mapInArrow(run, schema)

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from episodica.functions.columns import flag_equal
 from episodica.operators.episodes import keep_episodes_of, keep_persons_of
-from episodica.operators.ordering import exact_quantiles
+from episodica.operators.ordering import add_position, exact_quantiles
 from episodica.operators.profile import long_values
+from episodica.operators.sparse import entries
+from episodica.session import cut_lineage
 
 EPISODE = ["person_id", "episode_id"]
 
@@ -209,8 +213,9 @@ class FeatureEncoder:
 
     Categories and counted codes are those seen in both train and test; missing
     numbers take the median of the training rows, and zero where training has
-    none. Names are kept on the driver, like the coefficients of the models
-    that are fitted on them.
+    none. A written table gives every (column, code) its place in the vector, so
+    codes whose joined names are equal stay apart. Names are kept on the driver too,
+    like the coefficients of the models that are fitted on them.
     """
 
     categorical: Sequence[str]
@@ -218,6 +223,7 @@ class FeatureEncoder:
     counted: Sequence[str] = ()
     fills: dict[str, float] = field(default_factory=dict)
     codes: list[str] = field(default_factory=list)
+    places: DataFrame | None = None
 
     @property
     def names(self) -> list[str]:
@@ -232,10 +238,12 @@ class FeatureEncoder:
         if self.counted:
             seen = seen.unionByName(rows.select(*EPISODE, "side").join(counts, EPISODE).select("side", "column", "code"))
         sides = seen.groupBy("column", "code").agg(*[F.max(F.col("side") == s).alias(s) for s in ("train", "test")])
-        both = sides.filter("train and test").select("column", "code")
-        place = {c: i for i, c in enumerate([*self.categorical, *self.counted])}
-        found = sorted((place[r["column"]], r["code"], r["column"]) for r in both.toLocalIterator())
-        self.codes = [f"{column}_{code}" for _, code, column in found]
+        order = F.array_position(F.array(*[F.lit(c) for c in [*self.categorical, *self.counted, ""]]), F.col("column"))
+        both = sides.filter("train and test").select(F.lit(0).alias("all"), order.alias("rank"), "column", "code")
+        placed = add_position(both, ["all"], [F.col("rank"), F.col("code")], "index")
+        self.places = cut_lineage(placed.select("column", "code", F.col("index").cast("int").alias("index")))
+        found = sorted((r["index"], r["column"], r["code"]) for r in self.places.toLocalIterator())
+        self.codes = [f"{column}_{code}" for _, column, code in found]
         fills = fill_values(rows.filter(F.col("side") == "train"), self.numeric, "median") if self.numeric else {}
         self.fills = {c: 0.0 if fills.get(c) is None else fills[c] for c in self.numeric}
         return self
@@ -243,30 +251,65 @@ class FeatureEncoder:
     def transform(self, rows: DataFrame, counts: DataFrame | None = None) -> DataFrame:
         """Add column ``features``: counts of the row's codes, then its numbers.
 
-        A row's codes are a list with as many entries as it has components, so
-        its vector holds no more than those however long the list of codes is.
+        Rows have an episode each. A row's vector holds one entry for each of
+        its codes, however often it occurs and however many codes there are.
         """
-        filled = impute(rows, self.fills)
-        own = [F.concat(F.lit(f"{c}_"), F.col(c).cast("string")) for c in self.categorical]
-        codes = F.array_compact(F.array(*own)) if own else F.array().cast("array<string>")
+        none = F.array().cast("array<struct<column:string,code:string,n:bigint>>")
+        items = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("code"), F.lit(1).cast("long").alias("n")) for c in self.categorical]
+        found = rows.select(*EPISODE, F.inline(F.concat(none, F.array(*items)) if items else none))
         if self.counted:
-            entry = F.array_repeat(F.concat_ws("_", "column", "code"), F.col("n").cast("int"))
-            lists = counts.filter(F.col("column").isin(list(self.counted))).groupBy(*EPISODE).agg(
-                F.flatten(F.collect_list(entry)).alias("_counted")
-            )
-            filled = filled.join(lists, EPISODE, "left")
-            codes = F.concat(codes, F.coalesce("_counted", F.array().cast("array<string>")))
-        parts = list(self.numeric)
-        if self.codes:
-            counter = CountVectorizerModel.from_vocabulary(self.codes, inputCol="_codes", outputCol="_code_counts")
-            filled = counter.transform(filled.withColumn("_codes", codes))
-            parts = ["_code_counts", *parts]
-        assembled = VectorAssembler(inputCols=parts, outputCol="features").transform(filled)
-        return assembled.drop("_codes", "_code_counts", "_counted")
+            found = found.unionByName(counts.filter(F.col("column").isin(list(self.counted))).select(*found.columns))
+        entry = F.struct("index", F.col("n").cast("double").alias("n"))
+        listed = found.join(self.places, ["column", "code"]).groupBy(*EPISODE).agg(F.sort_array(F.collect_list(entry)).alias("_codes"))
+        filled = impute(rows, self.fills)
+        keep = filled.columns
+        numbers = F.array(*[F.col(c) for c in self.numeric]).cast("array<double>") if self.numeric else F.array().cast("array<double>")
+        joined = filled.join(listed, EPISODE, "left").select(
+            *keep, F.coalesce("_codes.index", F.array().cast("array<int>")).alias("_index"),
+            F.coalesce("_codes.n", F.array().cast("array<double>")).alias("_n"), numbers.alias("_numbers"),
+        )
+        return _with_vectors(joined, keep, len(self.codes), len(self.numeric))
+
+
+def _with_vectors(rows: DataFrame, keep: Sequence[str], codes: int, numbers: int) -> DataFrame:
+    """``keep`` columns and ``features``, built in Arrow batches from ``_index``, ``_n`` and ``_numbers``."""
+    size = codes + numbers
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            count, own = batch.num_rows, batch.column(len(keep))
+            lengths = own.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            wide = batch.column(len(keep) + 2).flatten().to_numpy(zero_copy_only=False).reshape(count, numbers)
+            at_row, at_number = np.nonzero(wide)
+            row = np.concatenate([np.repeat(np.arange(count), lengths), at_row])
+            index = np.concatenate([own.flatten().to_numpy(zero_copy_only=False), codes + at_number])
+            value = np.concatenate([batch.column(len(keep) + 1).flatten().to_numpy(zero_copy_only=False), wide[at_row, at_number]])
+            order = np.lexsort((index, row))
+            ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=count))]), pa.int32())
+            parts = [
+                pa.array(np.zeros(count), pa.int8()), pa.array(np.full(count, size), pa.int32()),
+                pa.ListArray.from_arrays(ends, pa.array(index[order], pa.int32())),
+                pa.ListArray.from_arrays(ends, pa.array(value[order], pa.float64())),
+            ]
+            vectors = pa.StructArray.from_arrays(parts, names=["type", "size", "indices", "values"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], vectors], names=[*keep, "features"])
+
+    schema = T.StructType([*rows.select(*keep).schema, T.StructField("features", VectorUDT())])
+    return rows.mapInArrow(run, schema)
 
 
 def vector_entries(encoded: DataFrame, names: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """Non-zero entries of the vectors by feature name, for reports on few features."""
-    values = F.posexplode(vector_to_array("features")).alias("at", "value")
-    entries = encoded.select(*keys, values).filter("value <> 0")
-    return entries.select(*keys, F.get(F.array(*[F.lit(n) for n in names]), F.col("at")).alias("feature"), "value")
+    """Non-zero entries of the vectors by feature name; names meet the entries in a join."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, feature, value = entries(batch.column(len(keys)))
+            own = [c.take(pa.array(row)) for c in batch.columns[: len(keys)]]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(feature, pa.int32()), pa.array(value)], names=[*keys, "at", "value"])
+
+    schema = T.StructType(
+        [*encoded.select(*keys).schema, T.StructField("at", T.IntegerType()), T.StructField("value", T.DoubleType())]
+    )
+    found = encoded.select(*keys, "features").mapInArrow(run, schema)
+    named = encoded.sparkSession.createDataFrame(list(enumerate(names)), "at int, feature string")
+    return found.join(named, "at").select(*keys, "feature", "value")

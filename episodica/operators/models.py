@@ -3,22 +3,26 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from itertools import product
 
+from pyspark import SparkContext
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
+    GBTClassificationModel,
     GBTClassifier,
-    LinearSVC,
-    LogisticRegression,
+    RandomForestClassificationModel,
     RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from episodica.operators.boosting import boosted_score, fit_boosted_stumps
+from episodica.operators.boosting import boosted_scores, fit_boosted_stumps
+from episodica.operators.linear import Objective, fit_linear, linear_scores
 from episodica.operators.neighbours import k_nearest, vote_shares
+from episodica.session import cut_lineage
 
 # MLlib trees cannot be deeper.
 MAX_DEPTH = 30
@@ -35,6 +39,10 @@ FULL_GRID: dict[str, dict[str, list]] = {
     "GB": {"trees": [10, 50, 100], "rate": [0.1, 0.5], "subsample": [0.1, 0.5], "depth": [5, 10]},
     "BG": {"trees": [10, 50, 100], "sample": [0.5]},
 }
+# The parameter by which the fit of one choice holds those of smaller ones.
+SIZE = {"RF": "trees", "GB": "trees", "BG": "trees", "AB": "rounds"}
+# Families whose choices are fitted together, in the same passes over the rows.
+TOGETHER = ("LR", "SVM", "KNN")
 # The chosen model.
 BEST_MODEL = ("RF", {"trees": 1000, "depth": 10, "min_split": 2})
 
@@ -88,25 +96,18 @@ def _leaf(min_split: int) -> int:
     return max(1, int(min_split) // 2)
 
 
-def estimator(cell: Cell, train_rows: int, seed: int = 0):
-    """MLlib estimator of a cell; None for the families MLlib lacks."""
+def estimator(cell: Cell, seed: int = 0):
+    """MLlib estimator of a tree family; None for the others."""
     p = cell.values()
     if cell.family == "RF":
         return RandomForestClassifier(
             numTrees=p["trees"], maxDepth=_depth(p["depth"]), minInstancesPerNode=_leaf(p["min_split"]),
             featureSubsetStrategy="sqrt", seed=seed,
         )
-    if cell.family == "LR":
-        return LogisticRegression(
-            elasticNetParam=1.0 if p["penalty"] == "l1" else 0.0,
-            regParam=1.0 / (p["C"] * train_rows), standardization=False,
-        )
     if cell.family == "DT":
         return DecisionTreeClassifier(
             impurity="gini", maxDepth=_depth(p["depth"]), minInstancesPerNode=_leaf(p["min_split"]), seed=seed
         )
-    if cell.family == "SVM":
-        return LinearSVC(regParam=1.0 / (p["C"] * train_rows), standardization=False)
     if cell.family == "GB":
         return GBTClassifier(
             maxIter=p["trees"], stepSize=p["rate"], subsamplingRate=p["subsample"],
@@ -120,39 +121,93 @@ def estimator(cell: Cell, train_rows: int, seed: int = 0):
     return None
 
 
-def fit_and_score(
-    cell: Cell, train: DataFrame, test: DataFrame, seed: int = 0, train_rows: int | None = None
-) -> DataFrame:
+def nests(cells: Iterable[Cell]) -> list[list[Cell]]:
+    """Groups of cells that one fit serves: alike but for their size, or fitted in the same passes."""
+    out: dict[tuple, list[Cell]] = {}
+    for cell in cells:
+        rest = {k: v for k, v in cell.values().items() if k != SIZE.get(cell.family)}
+        key = (cell.family,) if cell.family in TOGETHER else (cell.family, json.dumps(rest, sort_keys=True))
+        out.setdefault(key, []).append(cell)
+    return list(out.values())
+
+
+def first_trees(model, n: int):
+    """The ensemble of the first ``n`` trees of a fitted forest or boosting sequence."""
+    trees = model._java_obj.trees()
+    sc = SparkContext.getOrCreate()
+    jvm, gateway = sc._jvm, sc._gateway
+    kinds, n = jvm.org.apache.spark.ml.classification, min(n, len(trees))
+    boosted = isinstance(model, GBTClassificationModel)
+    kind = jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel if boosted else kinds.DecisionTreeClassificationModel
+    kept = gateway.new_array(kind, n)
+    for i in range(n):
+        kept[i] = trees[i]
+    if boosted:
+        weights = gateway.new_array(jvm.double, n)
+        for i, w in enumerate(model.treeWeights[:n]):
+            weights[i] = w
+        return GBTClassificationModel(kinds.GBTClassificationModel(model.uid, kept, weights, model.numFeatures, 2))
+    return RandomForestClassificationModel(kinds.RandomForestClassificationModel(model.uid, kept, model.numFeatures, 2))
+
+
+def fit_and_score(cell: Cell, train: DataFrame, test: DataFrame, seed: int = 0) -> DataFrame:
     """Scores of the test rows: (person_id, episode_id, label, score).
 
-    ``train_rows`` is the number of training rows, where the caller knows it. The support vector machine gives its margin, every other family a
+    The support vector machine gives its margin, every other family a
     probability of the positive class.
     """
-    if cell.family == "AB":
-        stumps = fit_boosted_stumps(train, cell.values()["rounds"], seed)
-        prior = 0.5 if stumps else train.agg(F.avg("label")).first()[0]
-        return test.select(*ROW_KEY, "label", boosted_score(stumps, F.col("features"), prior).alias("score"))
-    if cell.family == "KNN":
-        return _neighbour_scores(cell, train, test)
-    rows = train.count() if train_rows is None else train_rows
-    model = estimator(cell, rows, seed).fit(train)
-    column = "rawPrediction" if cell.family == "SVM" else "probability"
-    score = vector_to_array(column)[1].alias("score")
-    return model.transform(test).select(*ROW_KEY, "label", score)
+    return next(scores for _, scores in fit_and_score_all([cell], train, test, seed))
 
 
-def _neighbour_scores(cell: Cell, train: DataFrame, test: DataFrame) -> DataFrame:
+def fit_and_score_all(cells: Sequence[Cell], train: DataFrame, test: DataFrame, seed: int = 0) -> Iterator[tuple[Cell, DataFrame]]:
+    """Each cell of one nest with its scores of the test rows; one fit serves all."""
+    family = cells[0].family
+    asked = test.select(*ROW_KEY, "label", "features")
+    size = {c: c.values().get(SIZE.get(family)) for c in cells}
+    if family == "AB":
+        stumps = fit_boosted_stumps(train, max(size.values()))
+        prior = 0.5 if stumps else train.agg(F.avg("label")).first()[0]
+        staged = cut_lineage(boosted_scores(asked, stumps, sorted(set(size.values())), prior))
+        for cell in cells:
+            yield cell, staged.filter(F.col("size") == size[cell]).drop("size")
+    elif family in ("LR", "SVM"):
+        width = train.select(F.max(vector_size("features"))).first()[0] or 0
+        goals = [_objective(c) for c in cells]
+        for cell, w in zip(cells, fit_linear(train, goals, width), strict=True):
+            yield cell, linear_scores(asked, w, probability=family == "LR")
+    elif family == "KNN":
+        yield from _neighbour_scores(cells, train, test)
+    else:
+        largest = max(cells, key=lambda c: size[c] or 0)
+        model = estimator(largest, seed).fit(train)
+        for cell in cells:
+            own = model if cell == largest else first_trees(model, size[cell])
+            yield cell, own.transform(asked).select(*ROW_KEY, "label", vector_to_array("probability")[1].alias("score"))
+
+
+def vector_size(column: str):
+    """Length of a vector, sparse or dense."""
+    return F.size(vector_to_array(column))
+
+
+def _objective(cell: Cell) -> Objective:
     p = cell.values()
+    return Objective("logistic", p["penalty"], p["C"]) if cell.family == "LR" else Objective("squared_hinge", "l2", p["C"])
+
+
+def _neighbour_scores(cells: Sequence[Cell], train: DataFrame, test: DataFrame) -> Iterator[tuple[Cell, DataFrame]]:
     key = F.concat_ws("|", *ROW_KEY)
     vector = vector_to_array("features")
     rows = train.select(key.alias("key"), vector.alias("vector"), F.col("label").cast("int").alias("label"))
     asks = test.select(key.alias("key"), vector.alias("vector"))
-    shares = vote_shares(k_nearest(rows, asks, p["k"]), p["weights"])
-    positive = shares.groupBy("query").agg(
-        F.sum(F.when(F.col("label") == 1, F.col("share")).otherwise(0.0)).alias("score")
-    )
+    # The nearest k are the first of the nearest of a larger k.
+    near = cut_lineage(k_nearest(rows, asks, max(c.values()["k"] for c in cells)))
     keyed = test.select(*ROW_KEY, "label", key.alias("query"))
-    return keyed.join(positive, "query").select(*ROW_KEY, "label", "score")
+    for cell in cells:
+        p = cell.values()
+        shares = vote_shares(near.filter(F.col("place") <= p["k"]), p["weights"])
+        positive = shares.groupBy("query").agg(F.sum(F.when(F.col("label") == 1, F.col("share")).otherwise(0.0)).alias("score"))
+        yield cell, keyed.join(positive, "query").select(*ROW_KEY, "label", "score")
 
 
 def importance_rows(model, names: list[str], spark) -> DataFrame:

@@ -91,6 +91,13 @@ def sweep(
     return swept.withColumns(added).drop("_in", "_out", *parts.values())
 
 
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """Join rows with one row for each of their groups; a null key is a group like any other."""
+    names = {k: f"_group_{k}" for k in keys}
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+    return rows.join(groups.withColumnsRenamed(names), same).drop(*names.values())
+
+
 def add_position(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
     """Add the 0-based position of each row within its key."""
     sliced = slice_rows(df, keys, order)
@@ -115,7 +122,7 @@ def exact_quantiles(
     order = [F.col(value).asc()]
     sliced = slice_rows(counts, keys, order)
     totals = sliced.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    ranked = sweep(sliced, keys, order, {"_before": F.col("_n")}).join(totals, keys)
+    ranked = join_groups(sweep(sliced, keys, order, {"_before": F.col("_n")}), totals, keys)
 
     def at(rank: Column) -> Column:
         here = (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_n"))

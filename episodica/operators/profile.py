@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from episodica.functions.columns import any_of, ratio
-from episodica.operators.ordering import approximate_quantiles, exact_quantiles
+from episodica.operators.ordering import approximate_quantiles, exact_quantiles, join_groups
 from episodica.session import cut_lineage
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
@@ -44,13 +44,15 @@ def describe(df: DataFrame, variables: list[str], by: list[str] = (), approx: bo
         F.max("value").alias("max"),
     )
     quantiles = approximate_quantiles if approx else exact_quantiles
-    return moments.join(quantiles(long, keys, "value", QUARTILES), keys)
+    return join_groups(moments, quantiles(long, keys, "value", QUARTILES), keys)
 
 
 def describe_groups(df: DataFrame, variables: list[str], attributes: list[str]) -> DataFrame:
-    """``describe`` for every value of several attributes: (attribute, group_value, variable, ...)."""
-    items = [F.struct(F.lit(a).alias("attribute"), F.col(a).cast("string").alias("group_value")) for a in attributes]
-    rows = df.select(*variables, F.inline(F.array(*items)))
+    """``describe`` for every value of several attributes: (attribute, group_value, variable, ...).
+
+    Rows without a value are the group UNKNOWN.
+    """
+    rows = attribute_rows(df, attributes, *variables).withColumnRenamed("value", "group_value")
     return describe(rows, variables, ["attribute", "group_value"])
 
 

@@ -28,10 +28,19 @@ def score_table(df: DataFrame, by: list[str], score: str = "score", label: str =
     costs one row. Columns: n, pos (at the score), above_n, above_pos (strictly
     above), total_n, total_pos (of the group).
     """
-    keyed, keys = with_group(df, by)
-    counts = keyed.groupBy(*keys, F.col(score).alias("score")).agg(
+    return rank_counts(score_counts(df, by, score, label), by)
+
+
+def score_counts(df: DataFrame, by: list[str], score: str = "score", label: str = "label") -> DataFrame:
+    """Rows (n) and positives (pos) of each distinct score; tables of other rows can be appended."""
+    return df.groupBy(*by, F.col(score).alias("score")).agg(
         F.count("*").alias("n"), F.sum(F.col(label).cast("long")).alias("pos")
     )
+
+
+def rank_counts(counts: DataFrame, by: list[str]) -> DataFrame:
+    """The score table of ``score_counts`` rows, one for each group and score."""
+    counts, keys = with_group(counts, by)
     order = [F.col("score").desc()]
     sliced = slice_rows(counts, keys, order)
     totals = sliced.groupBy(*keys).agg(F.sum("n").alias("total_n"), F.sum("pos").alias("total_pos"))

@@ -34,10 +34,8 @@ def audit_scores(
     metrics = fairness.group_metrics(fairness.crosstab(flagged, names))
     chosen = fairness.disparities(metrics, references)
     parity = fairness.parity(chosen, tau)
-    shares = [
-        profile.share(keyed, [a]).select(F.lit(a).alias("attribute"), F.col(a).cast("string").alias("value"), "count", "percent")
-        for a in names
-    ]
+    by_value = [profile.attribute_rows(keyed, [a]) for a in names]
+    shares = [profile.share(rows, ["attribute", "value"]) for rows in by_value]
     return {
         "scores_by_group": profile.describe_groups(keyed, ["score"], names),
         "group_shares": reduce(DataFrame.unionByName, shares),

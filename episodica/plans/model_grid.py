@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+import uuid
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,12 +16,15 @@ from episodica.config import Study, TimeSplit
 from episodica.operators import evaluation, models, stump
 from episodica.operators.encoding import EPISODE, FeatureEncoder, count_block_long, features_long
 from episodica.operators.episodes import keep_episodes_of
-from episodica.operators.ranking import score_table
+from episodica.operators.ranking import rank_counts, score_counts, score_table
 from episodica.operators.splits import temporal_split
 from episodica.session import cut_lineage, scratch_path
 
 MODEL_KEYS = ["split_id", "model_type", "parameter"]
-LEDGER = "split_id int, model_type string, parameter string, fingerprint string"
+LEDGER = "split_id int, model_type string, parameter string, fingerprint string, name string"
+SCORES = "person_id long, episode_id long, label double, score double"
+KEYS_OF_SCORES = "split_id int, model_type string, parameter string, requested string"
+COUNTS = "split_id int, model_type string, parameter string, requested string, score double, n long, pos long"
 
 
 @dataclass(frozen=True)
@@ -43,7 +48,6 @@ class EncodedSplit:
     train: DataFrame
     test: DataFrame
     names: list[str]
-    train_rows: int
 
 
 def code_counts(cohort: DataFrame, source: DataFrame | None, spec: FeatureSpec) -> DataFrame | None:
@@ -62,7 +66,7 @@ def encode_split(cohort: DataFrame, counts: DataFrame | None, split: TimeSplit,
     columns = ["side", *EPISODE, F.col("label").cast("double").alias("label"), "features"]
     ready = cut_lineage(encoder.transform(rows, counts).select(*columns))
     train, test = (ready.filter(F.col("side") == s).drop("side") for s in ("train", "test"))
-    return EncodedSplit(split, train, test, encoder.names, train.count())
+    return EncodedSplit(split, train, test, encoder.names)
 
 
 def score_grid(
@@ -74,78 +78,122 @@ def score_grid(
     path: str | None = None,
     seed: int = 0,
 ) -> tuple[str, DataFrame]:
-    """Fit all cells on all splits and write their scores, one folder per cell.
-
-    Scores are keyed by split, model and parameters. A cell enters the ledger
-    next to ``path`` once its scores are written; a later run on the same path
-    skips the cells found there. Cells written from another cohort, source,
-    feature spec, split or seed have another fingerprint and are fitted anew. After each split
-    the evaluation grid so far is written to ``path``-grid.
+    """Fit all cells on all splits and write their scores; returns the path and the scores of these cells.
+
+    Cells that one fit serves are fitted together. Their scores, and the counts
+    of distinct scores, have folders of a name of their own; once both are written,
+    rows of the ledger ``path``-done name them for each cell and a fingerprint of
+    cohort, source, feature spec, splits and seed. Only folders that the ledger
+    names are read, and only rows of this run's cells and fingerprint: a later run
+    on the same path goes on where this one ended, and another cohort or seed
+    neither overwrites nor reads these scores. The evaluation of each split, from
+    its counts alone, goes to ``path``-grid, which holds that of the last run.
     """
     spark = cohort.sparkSession
     path = (path or scratch_path(spark, "scores")).rstrip("/")
-    ledger = f"{path}-done"
-    done = finished_cells(spark, ledger)
     cells = list(cells)
     cohort = cut_lineage(cohort)
     counts = code_counts(cohort, source, spec)
-    marks = {split: fingerprint(cohort, counts, split, spec, seed) for split in study.splits}
-    todo = {
-        split: [c for c in cells if (split.split_id, c.family, c.params, marks[split]) not in done]
-        for split in study.splits
-    }
-    for split, missing in todo.items():
+    mark = fingerprint(cohort, counts, study, spec, seed)
+    for split in study.splits:
+        keys = [(split.split_id, c.family, c.params, mark) for c in cells]
+        done = finished_cells(spark, f"{path}-done")
+        missing = [c for c, key in zip(cells, keys, strict=True) if key not in done]
         encoded = encode_split(cohort, counts, split, spec) if missing else None
-        for cell in missing:
-            scores = models.fit_and_score(cell, encoded.train, encoded.test, seed, encoded.train_rows)
-            tag = hashlib.sha1(cell.params.encode()).hexdigest()[:12]
-            folder = f"{path}/split_id={split.split_id}/model_type={cell.family}/cell={tag}"
-            named = scores.withColumns({"parameter": F.lit(cell.params), "requested": F.lit(cell.requested)})
-            named.write.mode("overwrite").parquet(folder)
-            entry = [(split.split_id, cell.family, cell.params, marks[split])]
-            spark.createDataFrame(entry, LEDGER).write.mode("append").parquet(ledger)
-        if missing:
-            grid = evaluate_grid(read_scores(spark, path), cohort, study, spec.time_column)
-            grid.write.mode("overwrite").parquet(f"{path}-grid")
-    return path, read_scores(spark, path)
-
-
-def fingerprint(cohort: DataFrame, counts: DataFrame | None, split: TimeSplit, spec: FeatureSpec, seed: int) -> str:
-    """Stands for all that the scores of a split depend on besides the cell."""
+        for nest in models.nests(missing):
+            _record(path, split, list(models.fit_and_score_all(nest, encoded.train, encoded.test, seed)), mark)
+        own = _read(spark, path, "counts", _named(spark, path, keys), COUNTS)
+        grid = evaluate_counts(own, cohort, replace(study, splits=[split]), spec.time_column)
+        grid.drop("split_id").write.mode("overwrite").parquet(f"{path}-grid/split_id={split.split_id}")
+    keys = [(s.split_id, c.family, c.params, mark) for s in study.splits for c in cells]
+    return path, _read(spark, path, "scores", _named(spark, path, keys), f"{SCORES}, {KEYS_OF_SCORES}")
+
+
+def _record(path: str, split: TimeSplit, scored: list[tuple[models.Cell, DataFrame]], mark: str) -> None:
+    """Write the scores of one nest's cells and their counts under a new name, then enter the name in the ledger."""
+    parts = []
+    for cell, scores in scored:
+        names = {"split_id": split.split_id, "model_type": cell.family, "parameter": cell.params, "requested": cell.requested}
+        parts.append(scores.withColumns({k: F.lit(v) for k, v in names.items()}))
+    spark, name = parts[0].sparkSession, uuid.uuid4().hex
+    reduce(DataFrame.unionByName, parts).write.parquet(f"{path}/scores/{name}")
+    written = spark.read.schema(f"{SCORES}, {KEYS_OF_SCORES}").parquet(f"{path}/scores/{name}")
+    score_counts(written, [*MODEL_KEYS, "requested"]).write.parquet(f"{path}/counts/{name}")
+    entries = [(split.split_id, cell.family, cell.params, mark, name) for cell, _ in scored]
+    # One file, so all cells of the nest enter at once.
+    spark.createDataFrame(entries, LEDGER).coalesce(1).write.mode("append").parquet(f"{path}-done")
+
+
+def fingerprint(cohort: DataFrame, counts: DataFrame | None, study: Study, spec: FeatureSpec, seed: int) -> str:
+    """Stands for all that scores depend on besides the cell and the split's number."""
 
     def rows(df: DataFrame) -> list:
         columns = [F.col(f"`{c}`") for c in sorted(df.columns)]
         return [df.columns, *df.agg(F.count("*"), F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))).first()]
 
-    parts = [rows(cohort), rows(counts) if counts is not None else None, split, spec, seed]
+    splits = sorted(study.splits, key=lambda s: s.split_id)
+    parts = [rows(cohort), rows(counts) if counts is not None else None, splits, spec, seed]
     return hashlib.sha1(repr(parts).encode()).hexdigest()
 
 
-def finished_cells(spark: SparkSession, ledger: str) -> set[tuple]:
-    """Cells recorded as written; one row per split and cell of the grid."""
+def finished_cells(spark: SparkSession, ledger: str) -> dict[tuple, str]:
+    """Name of the folders of each recorded cell; one row per split and cell of the grid."""
     try:
-        return {tuple(row) for row in spark.read.schema(LEDGER).parquet(ledger).collect()}
+        rows = spark.read.schema(LEDGER).parquet(ledger).collect()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return set()
+            return {}
         raise
+    # If two runs recorded the same cell, all readers follow the same one.
+    return {tuple(row)[:-1]: row["name"] for row in sorted(rows, key=lambda r: r["name"], reverse=True)}
+
+
+def _named(spark: SparkSession, path: str, keys: Sequence[tuple]) -> dict[str, list[tuple]]:
+    """Folders that the ledger names for ``keys``, with the keys that each holds."""
+    out: dict[str, list[tuple]] = {}
+    done = finished_cells(spark, f"{path}-done")
+    for key in keys:
+        if key in done:
+            out.setdefault(done[key], []).append(key)
+    return out
+
+
+def _read(spark: SparkSession, path: str, part: str, named: Mapping[str, list[tuple]], schema: str) -> DataFrame:
+    """Rows of the named folders that belong to the keys looked for there."""
+    if not named:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).parquet(*[f"{path}/{part}/{name}" for name in sorted(named)])
+    wanted = sorted({"|".join(map(str, key[:3])) for keys in named.values() for key in keys})
+    return rows.filter(F.concat_ws("|", "split_id", "model_type", "parameter").isin(wanted))
 
 
-def read_scores(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("basePath", path).parquet(path).drop("cell")
+def read_scores(spark: SparkSession, path: str, mark: str) -> DataFrame:
+    """All scores of one fingerprint that the ledger of ``path`` names."""
+    keys = [key for key in finished_cells(spark, f"{path}-done") if key[-1] == mark]
+    return _read(spark, path, "scores", _named(spark, path, keys), f"{SCORES}, {KEYS_OF_SCORES}")
+
+
+def read_grid(spark: SparkSession, path: str) -> DataFrame:
+    """The evaluation that the last run on ``path`` wrote."""
+    return spark.read.parquet(f"{path}-grid")
 
 
 def evaluate_grid(scores: DataFrame, cohort: DataFrame, study: Study, time_column: str = "release_date") -> DataFrame:
-    """The result grid: one row per split and model, plus one baseline row per split.
+    """The result grid: one row per split and model, plus one baseline row per split."""
+    return evaluate_counts(score_counts(scores, [*MODEL_KEYS, "requested"]), cohort, study, time_column)
+
+
+def evaluate_counts(counts: DataFrame, cohort: DataFrame, study: Study, time_column: str = "release_date") -> DataFrame:
+    """The result grid from counts of distinct scores.
 
     All models are evaluated by one query over their distinct scores.
     """
-    table = score_table(scores, MODEL_KEYS)
+    table = rank_counts(counts.drop("requested"), MODEL_KEYS)
     wide = evaluation.results_grid(
         evaluation.metrics_at(table, MODEL_KEYS, study.cutoffs), MODEL_KEYS, study.cutoffs
     )
     auc = evaluation.auc_roc(table, MODEL_KEYS).select(*MODEL_KEYS, F.col("auc_roc"))
-    asked = scores.groupBy(*MODEL_KEYS).agg(F.min("requested").alias("requested"))
+    asked = counts.groupBy(*MODEL_KEYS).agg(F.min("requested").alias("requested"))
     per_model = auc.join(wide, MODEL_KEYS).join(asked, MODEL_KEYS)
     sides = temporal_split(cohort, time_column, study.splits)
     sizes = sides.groupBy("split_id").agg(
@@ -155,7 +203,7 @@ def evaluate_grid(scores: DataFrame, cohort: DataFrame, study: Study, time_colum
     )
     baseline = sizes.select("split_id", F.lit("baseline").alias("model_type"))
     all_rows = per_model.unionByName(baseline, allowMissingColumns=True)
-    spark = scores.sparkSession
+    spark = counts.sparkSession
     calendar = spark.createDataFrame(
         [(s.split_id, s.train_start, s.train_end, s.test_start, s.test_end) for s in study.splits],
         "split_id int, train_start date, train_end date, test_start date, test_end date",
@@ -199,7 +247,7 @@ def best_model(
     cohort = cut_lineage(cohort)
     counts = code_counts(cohort, source, spec)
     encoded = encode_split(cohort, counts, split, spec)
-    model = models.estimator(cell, encoded.train_rows, seed).fit(encoded.train)
+    model = models.estimator(cell, seed).fit(encoded.train)
     scores = cut_lineage(
         model.transform(encoded.test).select(
             *EPISODE, "label", models.vector_to_array("probability")[1].alias("score")

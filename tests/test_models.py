@@ -67,11 +67,11 @@ def test_grid_cells_are_fits_of_their_own():
     fits = [
         (c.family, str(sorted((p.name, v) for p, v in e.extractParamMap().items() if not p.name.endswith("Col"))))
         for c in cells
-        if (e := models.estimator(c, 1000)) is not None
+        if (e := models.estimator(c)) is not None
     ]
     assert len(set(fits)) == len(fits)
     with pytest.raises(ValueError):
-        models.estimator(Cell.of("DT", depth=31, min_split=2), 10)
+        models.estimator(Cell.of("DT", depth=31, min_split=2))
 
 
 def test_boosting_without_a_split_gives_the_prior(planted):
@@ -163,7 +163,7 @@ def test_grid_resumes_and_audit_runs(spark, tmp_path, monkeypatch):
         raise AssertionError("a finished cell was fitted again")
 
     assert spark.read.parquet(f"{path}-grid").count() == 3
-    monkeypatch.setattr(models, "fit_and_score", fail)
+    monkeypatch.setattr(models, "fit_and_score_all", fail)
     _, again = model_grid.score_grid(cohort, source, study, fits.SPEC, cells, path)
     # Other rows or another seed are not taken for the same scores.
     with pytest.raises(AssertionError):
@@ -176,7 +176,34 @@ def test_grid_resumes_and_audit_runs(spark, tmp_path, monkeypatch):
     assert report["parity"].count() == report["metrics"].count() > 0
 
 
-def test_registered_forest_has_its_former_size():
-    from episodica.checks.fits import FAMILY_CELLS
+def test_scores_follow_the_ledger(spark, tmp_path, monkeypatch):
+    """Runs A, B, A on one path: each returns its own scores, and the second A fits nothing."""
+    cohort, source = tables.kept_cohort(spark, SF_DIR), D.component(spark, SF_DIR)
+    study = replace(tables.STUDY, splits=tables.STUDY.splits[1:2])
+    cells = [Cell.of("DT", depth=1, min_split=2), Cell.of("DT", depth=5, min_split=2)]
+    fitted = []
+
+    def stub(nest, train, test, seed):
+        fitted.append((nest[0].params, seed))
+        yield nest[0], test.select("person_id", "episode_id", "label", F.lit(float(seed) + len(nest[0].params) / 1000).alias("score"))
+
+    monkeypatch.setattr(models, "fit_and_score_all", stub)
+    path = str(tmp_path / "scores")
 
-    assert FAMILY_CELLS["model_rf"] == [Cell.of("RF", trees=20, depth=10, min_split=2)]
+    def run(wanted, seed):
+        _, scores = model_grid.score_grid(cohort, source, study, fits.SPEC, wanted, path, seed)
+        found = {(r.parameter, int(r.score)) for r in scores.select("parameter", "score").distinct().collect()}
+        shown = {r.parameter for r in model_grid.read_grid(spark, path).collect() if r.parameter is not None}
+        return found, shown, scores.count()
+
+    both = {(c.params, 0) for c in cells}
+    first = run(cells, 0)
+    assert first[:2] == (both, {c.params for c in cells})
+    # A shrunken grid of another seed neither reads the dropped cell nor the other seed's scores.
+    assert run(cells[:1], 1)[:2] == ({(cells[0].params, 1)}, {cells[0].params})
+    assert len(fitted) == 3
+    assert run(cells, 0) == first and len(fitted) == 3
+    # The other splits add their own jobs only.
+    wider = replace(study, splits=tables.STUDY.splits[1:3])
+    model_grid.score_grid(cohort, source, wider, fits.SPEC, cells[:1], path, 0)
+    assert len(fitted) == 5
