@@ -132,8 +132,9 @@ def stump_split(spark, sf_dir):
 
 # All families; of the slow ones the smaller sizes.
 GRID_CELLS = [
-    *(c for name in ("model_rf", "model_lr", "model_tree", "model_svm", "model_knn_scores") for c in FAMILY_CELLS[name]),
-    *cells_of("AB", rounds=[1, 10]), *cells_of("GB", trees=[10], depth=[5]), *cells_of("BG", trees=[10]),
+    *(c for name in ("model_rf", "model_lr", "model_svm", "model_knn_scores") for c in FAMILY_CELLS[name]),
+    *cells_of("AB", rounds=[1, 10]), *cells_of("DT", min_split=[2]), *cells_of("GB", trees=[10], depth=[5], rate=[0.1]),
+    *cells_of("BG", trees=[10]),
 ]
 
 

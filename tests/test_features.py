@@ -144,3 +144,27 @@ def test_common_features_without_a_join(spark, capsys):
     assert [tuple(r) for r in found.collect()] == [(0, "all")]
     found.explain()
     assert "Join" not in capsys.readouterr().out
+
+
+def test_encoder_with_frequent_codes_and_colliding_names(spark):
+    """One row has a code 100,000 times; a_b with code c and a with code b_c have one name and two places."""
+    schema = "person_id int, episode_id int, side string, a string, a_b string"
+    rows = spark.createDataFrame([(1, 1, "train", "b_c", "c"), (2, 2, "test", "b_c", "c"), (3, 3, "test", "b_c", None)], schema)
+    counts = spark.createDataFrame(
+        [(1, 1, "o", "k", 100_000), (2, 2, "o", "k", 1), (2, 2, "other", "k", 7)],
+        "person_id int, episode_id int, column string, code string, n long",
+    )
+    encoder = X.FeatureEncoder(["a", "a_b"], [], ["o"]).fit(rows, counts)
+    assert encoder.names == ["a_b_c", "a_b_c", "o_k"]
+    encoded = encoder.transform(rows, counts)
+    assert {r.person_id: r.features.toArray().tolist() for r in encoded.collect()} == {1: [1, 1, 100_000], 2: [1, 1, 1], 3: [1, 0, 0]}
+    entries = X.vector_entries(encoded, encoder.names, ["person_id"]).collect()
+    assert sorted((r.person_id, r.feature, r.value) for r in entries if r.person_id == 3) == [(3, "a_b_c", 1.0)]
+
+
+def test_null_groups_are_described(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 5.0), (None, 7.0)], "g string, v double")
+    got = {r["g"]: (r["count"], r["mean"], r["q50"]) for r in profile.describe(df, ["v"], ["g"]).collect()}
+    assert got == {"a": (2, 2.0, 2.0), None: (2, 6.0, 6.0)}
+    named = {(r["attribute"], r["group_value"]): r["q50"] for r in profile.describe_groups(df, ["v"], ["g"]).collect()}
+    assert named == {("g", "a"): 2.0, ("g", "UNKNOWN"): 6.0}
