@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,20 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and scratch tables.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a local session
-    without that setting falls back to a temporary folder.
+    A cluster names it in ``spark.checkpoint.dir``. Where that is unset, it is a
+    folder in the session's warehouse, which all executors see as well.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if current is None:
-        if configured is None:
-            if not sc.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            configured = tempfile.mkdtemp(prefix="episodica-")
+    if configured is None and sc.getCheckpointDir() is None:
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
-        current = sc.getCheckpointDir()
-    return configured or current
+    return configured or sc.getCheckpointDir()
 
 
 def scratch_root(spark: SparkSession) -> str:
