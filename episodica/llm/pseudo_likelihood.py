@@ -14,10 +14,11 @@ document's score is the sum of its tokens' conditional log-probabilities.
 
 All documents are learned from: word counts are summed over the corpus, then in
 every round each partition trains its own copy of the network on all of its
-tokens, and the copies are averaged, weighted by tokens, in one aggregation
-over parameters. The frequent words, the totals of the classes and the averaged
-parameters come to the driver, as many as there are ids; the word counts stay a
-table and are joined to the documents' words.
+tokens, and the copies are averaged, weighted by tokens: each leaves its task as
+a few binary pieces, which are added in a tree of small groups. The frequent
+words, the totals of the classes and the averaged parameters come to the driver,
+as many as there are ids; the word counts stay a table, which is joined to those
+words of the documents that are not among the SHARED most frequent ones.
 
 Null and empty texts have no tokens, the sum 0 and no mean. Repeated rows are
 learned from and scored each. An empty table gives an empty table. Extra
@@ -31,9 +32,9 @@ import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
-from itertools import compress
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -51,8 +52,16 @@ ROUNDS, BATCH, RATE = 2, 8192, 0.05
 COUNTED = 200_000
 # Words whose ids a worker remembers; the others are hashed again.
 KNOWN = 300_000
+# Words without an id of their own whose counts each worker holds, the most frequent ones; the others are joined.
+SHARED = 200_000
 # Tokens that are trained on or scored at once, about.
 STRETCH = 16_384
+# Parameters in a piece of a copy, and pieces that are added at once.
+PIECE, FAN = 65_536, 32
+# Tokens whose logits over the groups are held at once.
+SLAB = 512
+# Sums of exponentials of logits within this bound neither overflow nor vanish.
+SAFE = 60.0
 
 
 def ids_for(distinct: int) -> int:
@@ -134,68 +143,117 @@ class WindowNetwork:
         z += self.bias
         return np.tanh(z, out=z)
 
-    # Logits have a column for each token: reductions over the short axis then run along memory.
+    @staticmethod
+    def exponentials(z: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray | float]:
+        """Exponentials of each row of logits less its peak, in place, and the peaks.
+
+        Hidden units lie within one, so a logit is at most the sum of its weights' absolute values;
+        where that is small, all peaks count as 0.
+        """
+        peak = 0.0
+        if np.abs(weights).sum(axis=-2).max() > SAFE:
+            peak = z.max(axis=1)
+            z -= peak[:, None]
+        return np.exp(z, out=z), peak
+
+    def joint(self) -> tuple[np.ndarray, np.ndarray]:
+        """The output weights of the groups and within them, each with its bias as a last row."""
+        return (
+            np.concatenate([self.group, self.group_bias[None]]),
+            np.concatenate([self.within, self.within_bias[:, None]], axis=1),
+        )
+
+    def extents(self, group: np.ndarray) -> list[tuple[int, int, int]]:
+        """Group and bounds of its tokens, which are sorted by group, for all groups that have any."""
+        ends = np.searchsorted(group, np.arange(len(self.group_bias) + 1)).tolist()
+        return [(g, a, b) for g, (a, b) in enumerate(zip(ends, ends[1:], strict=False)) if a < b]
+
+    @staticmethod
+    def by_group(target: np.ndarray) -> np.ndarray:
+        """Order of the tokens by group; short integers are sorted by their digits."""
+        group = target // GROUPS
+        return np.argsort(group.astype(np.uint16) if len(group) and group.max() < 1 << 16 else group, kind="stable")
 
     @staticmethod
-    def logits(h: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
-        z = weights.T @ h.T
-        z += bias[:, None]
-        z -= z.max(axis=0)
-        return z
-
-    @classmethod
-    def error(cls, h: np.ndarray, weights: np.ndarray, bias: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """The softmax less one at each token's own place: the loss's slope in the logits."""
-        z = cls.logits(h, weights, bias)
-        np.exp(z, out=z)
-        z /= z.sum(axis=0)
-        z[at, np.arange(len(at))] -= 1
-        return z
-
-    @classmethod
-    def log_share(cls, h: np.ndarray, weights: np.ndarray, bias: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Logarithm of the softmax at each token's own place."""
-        z = cls.logits(h, weights, bias)
-        own = z[at, np.arange(len(at))].astype(float)
-        return own - np.log(np.exp(z, out=z).sum(axis=0))
-
-    def by_group(self, target: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        order = np.argsort(target // GROUPS, kind="stable")
-        groups = len(self.group_bias)
-        ends = np.searchsorted(target[order] // GROUPS, np.arange(groups + 1))
-        for g in range(groups):
-            if ends[g] < ends[g + 1]:
-                yield g, order[ends[g] : ends[g + 1]]
+    def slabs(n: int) -> list[slice]:
+        """Runs of tokens whose logits stay in a core's cache."""
+        return [slice(i, i + SLAB) for i in range(0, n, SLAB)]
+
+    def units(self, window: np.ndarray) -> np.ndarray:
+        """The hidden units of each token, and a one for the bias."""
+        return np.append(self.hidden(window), np.ones((window.shape[1], 1), np.float32), axis=1)
 
     def log_prob(self, target: np.ndarray, window: np.ndarray) -> np.ndarray:
         """Log-probability of each target given its window."""
-        h = self.hidden(window)
-        out = self.log_share(h, self.group, self.group_bias, target // GROUPS)
-        for g, at in self.by_group(target):
-            out[at] += self.log_share(h.take(at, axis=0), self.within[g], self.within_bias[g], target[at] % GROUPS)
+        order = self.by_group(target)
+        group, place = np.divmod(target[order], GROUPS)
+        h, (outer, inner), line = self.units(window[:, order]), self.joint(), np.arange(len(target))
+        own, ones = np.empty(len(target)), np.ones(max(len(self.group_bias), GROUPS), np.float32)
+        for at in self.slabs(len(target)):
+            z = h[at] @ outer
+            own[at] = z[line[: len(z)], group[at]]
+            z, peak = self.exponentials(z, outer)
+            own[at] -= np.log(z @ ones[: z.shape[1]]) + peak
+        z = np.empty((len(target), GROUPS), np.float32)
+        for g, a, b in self.extents(group):
+            np.matmul(h[a:b], inner[g], out=z[a:b])
+        own += z[line, place]
+        z, peak = self.exponentials(z, inner)
+        own -= np.log(z @ ones[:GROUPS]) + peak
+        out = np.empty(len(target))
+        out[order] = own
         return out
 
     def train(self, target: np.ndarray, window: np.ndarray, square: list[np.ndarray]) -> None:
-        """One step of adaptive gradient descent; ``square`` holds the sums of squared gradients."""
+        """One step of adaptive gradient descent; ``square`` holds the sums of squared gradients.
+
+        A softmax's slope is its shares less one at the token's own place. The shares are never formed:
+        what is summed over tokens is divided by the sums of exponentials first. Rows of the tables that
+        no window names have the slope zero and stay.
+        """
         n = len(target)
-        h = self.hidden(window)
-        p = self.error(h, self.group, self.group_bias, target // GROUPS)
-        dh = p.T @ self.group.T
-        within, within_bias = np.zeros_like(self.within), np.zeros_like(self.within_bias)
-        for g, at in self.by_group(target):
-            own = h.take(at, axis=0)
-            q = self.error(own, self.within[g], self.within_bias[g], target[at] % GROUPS)
-            within[g], within_bias[g] = own.T @ q.T, q.sum(axis=1)
-            dh[at] += q.T @ self.within[g].T
+        order = self.by_group(target)
+        target, window = target[order], window[:, order]
+        group, place = np.divmod(target, GROUPS)
+        h, (outer, inner) = self.units(window), self.joint()
+        extents = self.extents(group)
+        seen, starts = [g for g, _, _ in extents], [a for _, a, _ in extents]
+
+        ones, weights = np.ones((outer.shape[1], 1), np.float32), np.ascontiguousarray(outer[:-1].T)
+        to_outer, dh = np.zeros_like(outer), np.empty((n, HIDDEN), np.float32)
+        for at in self.slabs(n):
+            z, _ = self.exponentials(h[at] @ outer, outer)
+            over = 1 / (z @ ones)
+            to_outer += (h[at] * over).T @ z
+            np.multiply(z @ weights, over, out=dh[at])
+        to_outer[:, seen] -= np.add.reduceat(h, starts, axis=0).T
+        dh -= weights.take(group, axis=0)
+
+        z, ones_within = np.empty((n, GROUPS), np.float32), np.ones((GROUPS, 1), np.float32)
+        for g, a, b in extents:
+            np.matmul(h[a:b], inner[g], out=z[a:b])
+        z, _ = self.exponentials(z, inner)
+        z /= z @ ones_within
+        z[np.arange(n), place] -= 1
+        to_inner = np.zeros_like(inner)
+        for g, a, b in extents:
+            np.matmul(h[a:b].T, z[a:b], out=to_inner[g])
+            dh[a:b] += z[a:b] @ inner[g, :-1].T
+        h = h[:, :-1]
         dh *= 1 - h * h
-        units = np.ascontiguousarray(dh.T, dtype=float)
-        tables = np.empty_like(self.tables)
-        for place, ids in enumerate(window):
-            for k, unit in enumerate(units):
-                tables[place, :, k] = np.bincount(ids, unit, tables.shape[1])
-        slopes = [tables, dh.sum(axis=0), h.T @ p.T, p.sum(axis=1), within, within_bias]
-        for value, slope, sums in zip(self.parts(), slopes, square, strict=True):
-            slope /= n
+
+        units, places, slot = dh.astype(float).ravel(), np.empty((n, HIDDEN), np.int64), np.empty(self.tables.shape[1], np.int64)
+        for table, sums, ids in zip(self.tables, square[0], window, strict=True):
+            rows = np.flatnonzero(np.bincount(ids, minlength=len(table)))
+            slot[rows] = np.arange(0, len(rows) * HIDDEN, HIDDEN)
+            np.add(slot.take(ids)[:, None], np.arange(HIDDEN), out=places)
+            slope = (np.bincount(places.ravel(), units, len(rows) * HIDDEN) / n).astype(np.float32).reshape(-1, HIDDEN)
+            own = sums[rows] + slope * slope
+            sums[rows] = own
+            table[rows] -= RATE * slope / (np.sqrt(own) + 1e-6)
+        slopes = [dh.sum(axis=0), to_outer[:-1], to_outer[-1], to_inner[:, :-1], to_inner[:, -1]]
+        for value, slope, sums in zip(self.parts()[1:], slopes, square[1:], strict=True):
+            slope = slope / n
             sums += slope * slope
             value -= RATE * slope / (np.sqrt(sums) + 1e-6)
 
@@ -271,6 +329,27 @@ def fit(docs: DataFrame, rounds: int = ROUNDS, counts: DataFrame | None = None)
     return words, network
 
 
+def _added(pieces: pd.DataFrame) -> bytes:
+    return np.sum([np.frombuffer(v) for v in pieces["value"]], axis=0).tobytes()
+
+
+def summed(pieces: DataFrame) -> DataFrame:
+    """``pieces`` (part, piece, value: binary doubles) with one row for each piece, their sum, added FAN at a time."""
+    parts = pieces.agg(F.max("part")).first()[0] or 0
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"part": [key[0]], "piece": [key[1]], "value": [_added(rows)]})
+
+    while parts:
+        parts //= FAN
+        above = pieces.withColumn("part", F.expr(f"part div {FAN}").cast("int"))
+        pieces = above.groupBy("part", "piece").applyInPandas(run, PIECES)
+    return pieces
+
+
+PIECES = "part int, piece int, value binary"
+
+
 def _round(docs: DataFrame, words: Vocabulary, network: WindowNetwork) -> WindowNetwork:
     known, ids, begin = dict(words), words.size, network.flat()
     size = len(begin)
@@ -286,16 +365,21 @@ def _round(docs: DataFrame, words: Vocabulary, network: WindowNetwork) -> Window
                 own.train(target[at], window[:, at], square)
             n += len(target)
         if n:
+            flat = np.append(own.flat().astype(float) * n, n)
+            part, firsts = TaskContext.get().partitionId(), range(0, size + 1, PIECE)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(size + 1), pa.int32()), pa.array(np.append(own.flat().astype(float) * n, n))],
-                names=["at", "value"],
-            )
-
-    sums = docs.select("text").mapInArrow(run, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).toArrow()
-    if not sums.num_rows:
+                [
+                    pa.array([part] * len(firsts), pa.int32()), pa.array(range(len(firsts)), pa.int32()),
+                    pa.array([flat[i : i + PIECE].tobytes() for i in firsts], pa.binary()),
+                ],
+                names=["part", "piece", "value"],
+            )
+
+    pieces = written(docs.select("text").mapInArrow(run, PIECES), "copies")
+    sums = summed(pieces).orderBy("piece").select("value").collect()
+    if not sums:
         return network
-    total = np.zeros(size + 1)
-    total[sums.column("at").to_numpy()] = sums.column("value").to_numpy()
+    total = np.frombuffer(b"".join(r["value"] for r in sums))
     return network.shaped(total[:-1] / total[-1])
 
 
@@ -315,6 +399,13 @@ def _classes(words: Vocabulary, counts: DataFrame) -> tuple[np.ndarray, np.ndarr
     return np.log(n + once + 1), np.log((once + 1) / (distinct + 1))
 
 
+def _rates(words: Vocabulary, counts: DataFrame) -> dict[str, float]:
+    """Logarithm of the count of the SHARED most frequent words without an id of their own."""
+    top = counts.orderBy(F.desc("n"), "word").limit(words.frequent + SHARED).toArrow()
+    logs = np.log(top.column("n").to_numpy()).tolist()
+    return {w: x for w, x in zip(top.column("word").to_pylist(), logs, strict=True) if words.get(w, words.size) > words.frequent}
+
+
 SCORED = "row long, doc_id long, n_tokens long, log_prob double"
 
 
@@ -326,6 +417,7 @@ def score(docs: DataFrame, words: Vocabulary, network: WindowNetwork, counts: Da
     """
     known, ids = dict(words), words.size
     total, unseen = (None, None) if counts is None else _classes(words, counts)
+    rates = {} if counts is None else _rates(words, counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(known, ids)
@@ -347,10 +439,18 @@ def score(docs: DataFrame, words: Vocabulary, network: WindowNetwork, counts: Da
                 if total is not None:
                     shared = np.flatnonzero(target > vocabulary.frequent)
                     each[shared] -= total[target[shared] - 1 - vocabulary.frequent]
+                    at = 0
                     for t, c in zip(held, coded, strict=True):
-                        found = Counter(compress(t, (c > vocabulary.frequent).tolist()))
-                        rare.append(list(found))
-                        times.append(list(found.values()))
+                        left: Counter = Counter()
+                        for i in np.flatnonzero(c > vocabulary.frequent).tolist():
+                            rate = rates.get(t[i])
+                            if rate is None:
+                                left[t[i]] += 1
+                            else:
+                                each[at + i] += rate
+                        at += len(t)
+                        rare.append(list(left))
+                        times.append(list(left.values()))
                 owner = np.repeat(np.arange(len(held)), lengths)
                 sums += np.bincount(owner, each, minlength=len(held)).tolist()
                 sizes += lengths.tolist()
@@ -373,8 +473,8 @@ def score(docs: DataFrame, words: Vocabulary, network: WindowNetwork, counts: Da
         scored = written(narrow.mapInArrow(run, f"{SCORED}, rare array<string>, times array<long>"), "scored")
         each = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x"))
         each = each.select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
-        rates = F.array(*map(F.lit, unseen.tolist()))
-        of_class = F.get(rates, (F.crc32("word") % words.classes).cast("int"))
+        of_unseen = F.array(*map(F.lit, unseen.tolist()))
+        of_class = F.get(of_unseen, (F.crc32("word") % words.classes).cast("int"))
         shares = (
             each.join(counts, "word", "left")
             .groupBy("row")

@@ -76,6 +76,47 @@ def test_words_of_one_class_are_told_apart(spark):
     assert lm.score(asked.limit(0), words, network, counts).count() == 0
 
 
+def test_words_whose_counts_are_joined_score_as_those_held(spark, monkeypatch):
+    texts = [" ".join(f"w{i * k % 1500}" for i in range(k, 900)) for k in range(1, 12)]
+    docs = spark.createDataFrame([*enumerate(texts), (99, None), (99, "w3 never w3")], "doc_id long, text string")
+    counts = lm.counted(docs.where("doc_id < 99"))
+    words, network = lm.fit(docs, rounds=1, counts=counts)
+    held = {(r.doc_id, r.n_tokens): r.log_prob for r in lm.score(docs, words, network, counts).collect()}
+    monkeypatch.setattr(lm, "SHARED", 40)
+    joined = {(r.doc_id, r.n_tokens): r.log_prob for r in lm.score(docs, words, network, counts).collect()}
+    assert held.keys() == joined.keys() and all(np.isclose(held[k], joined[k]) for k in held)
+
+
+def test_slopes_are_those_of_the_loss():
+    """One step moves every parameter against its numeric slope; ids that no window names stay."""
+    rng = np.random.default_rng(2)
+    size = lm.GROUPS * 4
+    target, window = lm.windows([rng.integers(1, size // 2, 40) for _ in range(5)])
+    for bias in (0.0, 200.0):
+        net = lm.WindowNetwork.start(np.ones(size))
+        net.group_bias[0] += bias
+        before = lm.WindowNetwork(*[p.copy() for p in net.parts()])
+        square = [np.zeros(p.shape) for p in net.parts()]
+        net.train(target, window, square)
+        for k, (old, sums) in enumerate(zip(before.parts(), square, strict=True)):
+            for at in [tuple(rng.integers(0, n) for n in old.shape) for _ in range(15)]:
+                kept, loss = old[at], []
+                for step in (1e-2, -1e-2):
+                    old[at] = kept + step
+                    loss.append(-before.log_prob(target, window).mean())
+                old[at] = kept
+                assert abs(abs(loss[0] - loss[1]) / 2e-2 - np.sqrt(sums[at])) < 2e-3, (bias, k, at)
+        assert np.array_equal(net.tables[:, size // 2 :], before.tables[:, size // 2 :])
+
+
+def test_pieces_add_up_in_a_tree(spark, monkeypatch):
+    monkeypatch.setattr(lm, "FAN", 3)
+    rows = [(part, piece, np.array([part, piece, 1.0]).tobytes()) for part in range(20) for piece in range(3)]
+    got = lm.summed(spark.createDataFrame(rows, lm.PIECES)).collect()
+    assert {r.piece: np.frombuffer(r.value).tolist() for r in got} == {p: [190.0, 20.0 * p, 20.0] for p in range(3)}
+    assert lm.summed(spark.createDataFrame([], lm.PIECES)).count() == 0
+
+
 def test_ids_grow_with_the_distinct_words(spark):
     assert lm.ids_for(0) == lm.IDS and lm.ids_for(4_000_000) == 4000
     docs = spark.createDataFrame([(k, " ".join(f"v{i}" for i in range(k * 30_000, (k + 1) * 30_000))) for k in range(12)], "doc_id long, text string")
