@@ -4,16 +4,26 @@ Each line has a hash. A rolling hash over ``WINDOW`` line hashes chooses the
 boundaries: a chunk ends after a line whose rolling hash is less than its
 predecessor's and not more than its successor's. So a boundary depends on the
 lines around it alone, not on their place, and two boundaries are two lines
-apart at least. Chunks of two lines or more that occur more than once in all
-documents are removed but for their first occurrence, in the order of doc_id
-and place. Equality is that of the chunks' bytes: chunks are grouped by their
-text, and a key that stood for several texts would remove nothing.
+apart at least.
+
+What goes: two adjacent lines repeat if a document with a smaller doc_id has
+them too, or the same text two lines before or earlier. All lines of such pairs
+go, that is, maximal runs of repeated lines. Each line that goes stays at an
+earlier place.
+
+How it is found: chunks of two lines or more are grouped by their bytes; of a
+chunk that repeats, all pairs but those of its first occurrence repeat and need
+no index. The other pairs, also those across boundaries, are indexed one by
+one, which extends repeated chunks to maximal runs and finds runs that share no
+chunk. Equality is that of bytes: chunks are grouped by their text, and the
+texts of repeated pairs are compared; a key that stands for several removes
+nothing.
 
 Null texts stay null, empty texts empty. Documents of one line, and those
-without a doc_id, stay as they are. Chunks of white space alone stay. Rows that
-share a doc_id count as the same document: what only they share stays in each.
-An empty table gives an empty table. Extra columns are kept; columns named as
-the results are replaced.
+without a doc_id, stay as they are. Pairs of white space alone do not repeat.
+Rows that share a doc_id count as the same document: what only they share stays
+in each. An empty table gives an empty table. Extra columns are kept; columns
+named as the results are replaced.
 """
 
 from __future__ import annotations
@@ -95,42 +105,133 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     return places.where("doc_id > first or nth > 0").select("doc_id", "version", "chunk_no")
 
 
+def _repeatable(pair: str) -> bool:
+    return not pair.isspace()
+
+
+def _inner(text: str, gone: list[int]) -> set[int]:
+    """Numbers of the pairs inside the chunks that are listed; a pair has the number of its first line."""
+    out: set[int] = set()
+    if gone:
+        listed, at = set(gone), 0
+        for no, chunk in enumerate(chunks(text)):
+            n = chunk.count("\n") + 1
+            if no in listed:
+                out.update(range(at, at + n - 1))
+            at += n
+    return out
+
+
+PAIRS = "doc_id long, version long, pair int, again boolean, key binary"
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All pairs but those inside removed chunks; ``again``: the text has the pair two lines before or earlier."""
+    names = [c.split()[0] for c in PAIRS.split(", ")]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary()]
+    for batch in batches:
+        for part in (batch.slice(i, 250) for i in range(0, batch.num_rows, 250)):
+            rows = []
+            for doc_id, version, text, gone in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                lines, inner = text.split("\n"), _inner(text, gone)
+                first: dict[bytes, int] = {}
+                for i, two in enumerate(zip(lines, lines[1:], strict=False)):
+                    pair = "\n".join(two)
+                    if _repeatable(pair):
+                        key = _key(pair)
+                        begin = first.setdefault(key, i)
+                        if i not in inner:
+                            rows.append((doc_id, version, i, begin + 2 <= i, key))
+            columns = list(zip(*rows, strict=True)) or [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+
+def _pair_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys, texts = [], []
+        for text, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            lines = text.split("\n")
+            for x in found:
+                keys.append(x["key"])
+                texts.append("\n".join(lines[x["pair"] : x["pair"] + 2]))
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(texts, pa.string())], names=["key", "two"])
+
+
+def _with_lists(docs: DataFrame, lists: DataFrame, name: str) -> DataFrame:
+    """doc_id, version, text and the document's entry ``name`` in ``lists`` (doc_id, version, name), null if it has none."""
+    texts = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"), F.col("text")
+    )
+    return texts.join(lists.select("doc_id", "version", name), ["doc_id", "version"], "left")
+
+
+def repeated_pairs(docs: DataFrame, lists: DataFrame) -> DataFrame:
+    """doc_id, version and ``pairs`` (numbers of first lines) of repeated pairs outside the chunks of ``lists``."""
+    pairs = written(_with_lists(docs, lists, "gone").mapInArrow(_pairs, PAIRS), "pairs")
+    counted = pairs.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+    classes = written(counted.where("n > 1").select("key", "first"), "pair_classes")
+    entry = F.struct("pair", "key", (F.col("again") | (F.col("doc_id") > F.col("first"))).alias("goes"))
+    places = pairs.join(classes, "key").select("doc_id", "version", entry.alias("entry"))
+    # As many entries as the document has lines, at most.
+    found = written(places.groupBy("doc_id", "version").agg(F.collect_set("entry").alias("found")), "pair_places")
+    compared = _with_lists(docs, found, "found").where("found is not null").select("text", "found")
+    texts = compared.mapInArrow(_pair_texts, "key binary, two string").distinct()
+    clashes = written(texts.groupBy("key").count().where("count > 1").select("key"), "pair_clashes")
+    goes = F.filter("found", lambda x: x["goes"])
+    if not clashes.isEmpty():
+        rows = found.select("doc_id", "version", F.explode(goes).alias("x")).select("doc_id", "version", "x.pair", "x.key")
+        return rows.join(clashes, "key", "left_anti").groupBy("doc_id", "version").agg(F.collect_set("pair").alias("pairs"))
+    return found.select("doc_id", "version", F.transform(goes, lambda x: x["pair"]).alias("pairs"))
+
+
+def _gone_lines(text: str, gone: list[int], pairs: list[int]) -> list[int]:
+    """Numbers of the lines of all repeated pairs: those listed, and those inside removed chunks."""
+    lines = text.split("\n")
+    repeated = {i for i in _inner(text, gone) if _repeatable("\n".join(lines[i : i + 2]))}.union(pairs)
+    return sorted(repeated | {i + 1 for i in repeated})
+
+
 def dedup(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``text`` without repeated chunks, ``removed`` (numbers of its chunks) and ``removed_lines``."""
+    """``docs`` with ``text`` without repeated lines, ``removed`` (numbers of its lines, from 0) and ``removed_lines``."""
     docs = in_small_batches(docs)
     keep = [c for c in docs.columns if c not in ("removed", "removed_lines")]
     lists = written(
         repeated_chunks(docs).groupBy("doc_id", "version").agg(F.sort_array(F.collect_set("chunk_no")).alias("gone")),
         "chunk_lists",
     )
+    lists = written(lists.join(repeated_pairs(docs, lists), ["doc_id", "version"], "full"), "line_lists")
     named = docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(keep)])
     key = (F.col(f"_{keep.index('doc_id')}").cast("long") == lists.doc_id) & (
         F.xxhash64(F.col(f"_{keep.index('text')}")) == lists.version
     )
-    joined = named.join(lists, key, "left").select(*named.columns, F.coalesce("gone", F.array().cast("array<int>")).alias("gone"))
-    at = keep.index("text")
+    none = F.array().cast("array<int>")
+    joined = named.join(lists, key, "left").select(
+        *named.columns, F.coalesce("gone", none).alias("gone"), F.coalesce("pairs", none).alias("pairs")
+    )
+    at, n_keep = keep.index("text"), len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, lines = [], []
-            for text, gone in zip(batch.column(at).to_pylist(), batch.column(len(keep)).to_pylist(), strict=True):
-                n = 0
-                if gone:
-                    out, parts = set(gone), chunks(text)
-                    n = sum(parts[i].count("\n") + 1 for i in gone)
-                    text = "\n".join(c for i, c in enumerate(parts) if i not in out)
+            texts, removed = [], []
+            for text, gone, pairs in zip(*(batch.column(i).to_pylist() for i in (at, n_keep, n_keep + 1)), strict=True):
+                out: list[int] = []
+                if gone or pairs:
+                    out = _gone_lines(text, gone, pairs)
+                    listed = set(out)
+                    text = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in listed)
                 texts.append(text)
-                lines.append(n)
-            columns = list(batch.columns)
+                removed.append(out)
+            columns = list(batch.columns)[:n_keep]
             columns[at] = pa.array(texts, columns[at].type)
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(lines, pa.int32())], names=[*batch.schema.names, "lines"])
+            columns += [pa.array(removed, pa.list_(pa.int32())), pa.array([len(x) for x in removed], pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:n_keep], "removed", "lines"])
 
     schema = T.StructType(
         [T.StructField(f"_{i}", docs.schema[c].dataType) for i, c in enumerate(keep)]
-        + [T.StructField("gone", T.ArrayType(T.IntegerType())), T.StructField("lines", T.IntegerType())]
+        + [T.StructField("removed", T.ArrayType(T.IntegerType())), T.StructField("lines", T.IntegerType())]
     )
     out = joined.mapInArrow(run, schema)
     return out.select(
         *[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)],
-        F.col("gone").alias("removed"), F.col("lines").alias("removed_lines"),
+        F.col("removed").alias("removed"), F.col("lines").alias("removed_lines"),
     )

@@ -2,23 +2,29 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from episodica.llm import line_dedup
 
 SCHEMA = "doc_id long, text string, removed string, gone string"
 
 
 def brute(rows):
-    """First occurrences by (doc_id, place) of every chunk of two lines or more stay."""
+    """Lines of pairs that a smaller doc_id has, or the same text two lines before or earlier, go."""
+    pairs_of = lambda lines: [tuple(lines[i : i + 2]) for i in range(len(lines) - 1)]
     first = {}
     for doc_id, text in sorted((r for r in rows if r[0] is not None and r[1] is not None), key=lambda r: r[0]):
-        for no, chunk in enumerate(line_dedup.chunks(text)):
-            first.setdefault(chunk, (doc_id, no))
+        for pair in pairs_of(text.split("\n")):
+            first.setdefault(pair, doc_id)
     out = []
     for doc_id, text in rows:
         if doc_id is not None and text is not None:
-            parts = list(enumerate(line_dedup.chunks(text)))
-            kept = [c for no, c in parts if "\n" not in c or c.isspace() or first[c] == (doc_id, no)]
-            text = "\n".join(kept)
+            lines, gone = text.split("\n"), set()
+            pairs = pairs_of(lines)
+            for i, pair in enumerate(pairs):
+                if any(x.strip() for x in pair) and (first[pair] < doc_id or pairs.index(pair) <= i - 2):
+                    gone |= {i, i + 1}
+            text = "\n".join(x for i, x in enumerate(lines) if i not in gone)
         out.append((doc_id, text))
     return out
 
@@ -62,6 +68,36 @@ def test_matches_brute_force(spark):
     assert sum(len(t) for _, t in got) < 0.7 * sum(len(t) for _, t in rows)
 
 
+def test_short_passages_in_foreign_surroundings(spark):
+    """Passages of two to six lines go whole wherever they repeat, and nothing else does."""
+    rng = random.Random(4)
+    passages = [[f"passage {p} {k}" for k in range(2 + p % 5)] for p in range(25)]
+    rows, want = [], {}
+    for i in range(250):
+        head, tail = ([f"own {i} {side} {k}" for k in range(rng.randint(0, 6))] for side in "ab")
+        p = i % 25
+        rows.append((i, "\n".join(head + passages[p] + tail)))
+        want[i] = "\n".join(head + (passages[p] if i < 25 else []) + tail)
+    assert dict(run(spark, rows)) == want
+
+
+def test_runs_inside_texts_and_across_chunks(spark):
+    rng = random.Random(5)
+    rows = [(i // 2 if i % 9 == 0 else i, "\n".join(rng.choice("ab  cd") for _ in range(rng.randint(0, 40)))) for i in range(40)]
+    rows += [(100 + i, "\n".join(["x"] * i)) for i in range(6)] + [(200, "p\n\n\n\nq"), (201, "p\n\n\n\nq"), (202, "\n\nq\n\n")]
+    assert order(run(spark, rows)) == order(brute(rows))
+
+
+def test_keys_of_several_texts_remove_nothing(spark):
+    rows = [(1, "a\nb"), (2, "c\na\nb"), (3, "c\nd")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = spark.createDataFrame([(1, b"k"), (2, b"k")], "doc_id long, key binary")
+    entries = F.array(F.struct(F.lit(0).alias("pair"), F.col("key")))
+    texts = docs.join(found.select("doc_id", entries.alias("found")), "doc_id").select("text", "found")
+    got = texts.mapInArrow(line_dedup._pair_texts, "key binary, two string").distinct().groupBy("key").count().collect()
+    assert [(bytes(r.key), r["count"]) for r in got] == [(b"k", 2)]
+
+
 def test_edge_cases(spark):
     long = "\n".join(f"l{i}" for i in range(20_000))
     rows = [

@@ -7,7 +7,7 @@ import corpus_pipeline as pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from episodica.llm import language, line_dedup, quality
+from episodica.llm import language, quality
 from episodica.llm.common import crc_mod
 
 SF = "/root/testdata/sf0.01"
@@ -73,23 +73,13 @@ def test_language_drops_unlearned_languages_and_junk(spark):
     assert len(good & kept) > 0.98 * len(good)
 
 
-def test_line_dedup_leaves_one_of_each_chunk(stages):
+def test_line_dedup_leaves_one_of_each_run(stages):
+    from test_llm_lines import brute
+
     docs, out = stages["line_dedup"]
-    seen, want = set(), {}
-    for r in docs.orderBy("doc_id").collect():
-        parts = [c for c in line_dedup.chunks(r.text) if "\n" not in c or c.isspace() or c not in seen]
-        fresh = []
-        for c in line_dedup.chunks(r.text):
-            if "\n" in c and not c.isspace():
-                if c in seen:
-                    continue
-                seen.add(c)
-            fresh.append(c)
-        assert len(fresh) <= len(parts)
-        if fresh:
-            want[r.doc_id] = "\n".join(fresh)
-    got = {r.doc_id: (r.text, r.n_chars) for r in out.collect()}
-    assert got == {k: (t, len(t)) for k, t in want.items()}
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want = {k: (t, len(t)) for (k, t), (_, old) in zip(brute(rows), rows, strict=True) if t or not old}
+    assert {r.doc_id: (r.text, r.n_chars) for r in out.collect()} == want
 
 
 def test_near_duplicates_leave_one_of_each_group(stages):
