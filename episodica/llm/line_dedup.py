@@ -11,13 +11,14 @@ them too, or the same text two lines before or earlier. All lines of such pairs
 go, that is, maximal runs of repeated lines. Each line that goes stays at an
 earlier place.
 
-How it is found: chunks of two lines or more are grouped by their bytes; of a
-chunk that repeats, all pairs but those of its first occurrence repeat and need
-no index. The other pairs, also those across boundaries, are indexed one by
-one, which extends repeated chunks to maximal runs and finds runs that share no
-chunk. Equality is that of bytes: chunks are grouped by their text, and the
-texts of repeated pairs are compared; a key that stands for several removes
-nothing.
+How it is found: chunks of two lines or more are grouped by the digest of their
+bytes; of a chunk that repeats, all pairs but those of its first occurrence
+repeat and need no index. The other pairs, also those across boundaries, are
+indexed one by one, which extends repeated chunks to maximal runs and finds runs
+that share no chunk. One pass over the texts gives all digests; the texts move
+once, to meet what repeats in them. There the bytes of repeated chunks and pairs
+are compared: a digest of several texts removes nothing, and the pairs of such a
+chunk are indexed again.
 
 Null texts stay null, empty texts empty. Documents of one line, and those
 without a doc_id, stay as they are. Pairs of white space alone do not repeat.
@@ -29,7 +30,7 @@ named as the results are replaced.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,8 @@ from pyspark.sql import types as T
 from episodica.llm.common import in_small_batches, written
 
 WINDOW, FACTOR, LEAST_LINES = 2, 31, 2
+# Digests that are spread over tasks by a broadcast, at most.
+HOT = 1000
 
 
 def chunks(text: str) -> list[str]:
@@ -62,163 +65,143 @@ def _shared(chunk: str) -> bool:
     return "\n" in chunk and not chunk.isspace()
 
 
-def _key(chunk: str) -> bytes:
-    return hashlib.md5(chunk.encode(errors="replace")).digest()
-
+def _repeatable(pair: str) -> bool:
+    return not pair.isspace()
 
-OCCURRENCES = "doc_id long, version long, chunk_no int, nth int, key binary, chunk string"
 
+def md5(text: str) -> bytes:
+    return hashlib.md5(text.encode(errors="replace")).digest()
 
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = [c.split()[0] for c in OCCURRENCES.split(", ")]
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.string()]
-    for batch in batches:
-        for part in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
-            rows = []
-            for doc_id, version, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                seen: dict[bytes, int] = {}
-                for no, chunk in enumerate(chunks(text)):
-                    if _shared(chunk):
-                        key = _key(chunk)
-                        nth = seen[key] = seen.get(key, -1) + 1
-                        rows.append((doc_id, version, no, nth, key, chunk))
-            columns = list(zip(*rows, strict=True)) or [()] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
-
-
-def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """doc_id, version (hash of the text) and chunk_no of every chunk to remove."""
-    texts = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"), F.col("text")
-    )
-    found = texts.mapInArrow(_occurrences, OCCURRENCES)
-    # Equal bytes meet here, after a partial aggregation in every task.
-    texts_of_key = found.groupBy("key", "chunk").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
-    classes = written(
-        texts_of_key.groupBy("key")
-        .agg(F.min("first").alias("first"), F.sum("n").alias("n"), F.count("*").alias("texts"))
-        .where("n > 1 and texts = 1")
-        .select("key", "first"),
-        "chunk_classes",
-    )
-    places = found.drop("chunk").join(classes, "key")
-    return places.where("doc_id > first or nth > 0").select("doc_id", "version", "chunk_no")
 
+Digest = Callable[[str], bytes]
+KEYS = "doc_id long, version long, whole boolean, chunk int, line int, size int, again boolean, key binary"
 
-def _repeatable(pair: str) -> bool:
-    return not pair.isspace()
 
+def _keys_of(text: str, digest: Digest) -> list[tuple]:
+    """Of the chunks and of all pairs: whole, chunk, first line, lines, again and digest.
 
-def _inner(text: str, gone: list[int]) -> set[int]:
-    """Numbers of the pairs inside the chunks that are listed; a pair has the number of its first line."""
-    out: set[int] = set()
-    if gone:
-        listed, at = set(gone), 0
-        for no, chunk in enumerate(chunks(text)):
-            n = chunk.count("\n") + 1
-            if no in listed:
-                out.update(range(at, at + n - 1))
-            at += n
-    return out
+    ``chunk`` is null for a pair across a boundary; ``again`` says that the text has the chunk
+    before, or the pair two lines before or earlier.
+    """
+    rows: list[tuple] = []
+    lines, own, seen, at = text.split("\n"), {}, set(), 0
+    for no, chunk in enumerate(chunks(text)):
+        n = chunk.count("\n") + 1
+        own.update(dict.fromkeys(range(at, at + n - 1), no))
+        if _shared(chunk):
+            key = digest(chunk)
+            rows.append((True, no, at, n, key in seen, key))
+            seen.add(key)
+        at += n
+    first: dict[bytes, int] = {}
+    for i, two in enumerate(zip(lines, lines[1:], strict=False)):
+        pair = "\n".join(two)
+        if _repeatable(pair):
+            key = digest(pair)
+            rows.append((False, own.get(i), i, 2, first.setdefault(key, i) + 2 <= i, key))
+    return rows
 
 
-PAIRS = "doc_id long, version long, pair int, again boolean, key binary"
+def line_keys(docs: DataFrame, digest: Digest) -> DataFrame:
+    """Digests of all chunks and pairs, with the hash of the text as version."""
+    names = [c.split()[0] for c in KEYS.split(", ")]
+    types = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(i, 250) for i in range(0, batch.num_rows, 250)):
+                each = zip(*(c.to_pylist() for c in part.columns), strict=True)
+                rows = [(doc_id, version, *row) for doc_id, version, text in each for row in _keys_of(text, digest)]
+                columns = list(zip(*rows, strict=True)) or [()] * len(names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All pairs but those inside removed chunks; ``again``: the text has the pair two lines before or earlier."""
-    names = [c.split()[0] for c in PAIRS.split(", ")]
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary()]
-    for batch in batches:
-        for part in (batch.slice(i, 250) for i in range(0, batch.num_rows, 250)):
-            rows = []
-            for doc_id, version, text, gone in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                lines, inner = text.split("\n"), _inner(text, gone)
-                first: dict[bytes, int] = {}
-                for i, two in enumerate(zip(lines, lines[1:], strict=False)):
-                    pair = "\n".join(two)
-                    if _repeatable(pair):
-                        key = _key(pair)
-                        begin = first.setdefault(key, i)
-                        if i not in inner:
-                            rows.append((doc_id, version, i, begin + 2 <= i, key))
-            columns = list(zip(*rows, strict=True)) or [()] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
-
-
-def _pair_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    texts = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"), F.col("text")
+    )
+    return texts.mapInArrow(run, KEYS)
+
+
+def _places(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` whose digest occurs twice or more; ``goes``: not the first one.
+
+    Digests of more than a share 1 / HOT of these rows, fewer than HOT, are broadcast, so that no task gets all their
+    rows. The others are sorted and merged at every size: their number grows with the rows.
+    """
+    counted = rows.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    classes = written(counted, name)
+    hot = F.col("n") * HOT > F.lit(classes.agg(F.sum("n")).first()[0] or 0)
+    often = F.broadcast(classes.where(hot).select("key", F.col("first").alias("hot_first")))
+    split = rows.join(often, "key", "left")
+    rare = classes.where(~hot).select("key", "first").hint("merge")
+    places = split.where("hot_first is null").drop("hot_first").join(rare, "key")
+    places = places.unionByName(split.where("hot_first is not null").withColumnRenamed("hot_first", "first"))
+    return places.withColumn("goes", F.col("again") | (F.col("doc_id") > F.col("first")))
+
+
+def line_lists(keys: DataFrame) -> DataFrame:
+    """doc_id, version and ``found``: line, size, key and goes of repeated chunks, and of repeated pairs outside those that go."""
+    whole = written(_places(keys.where("whole"), "chunk_classes"), "chunk_places")
+    gone = whole.where("goes").select("doc_id", "version", "chunk").hint("merge")
+    # Pairs across boundaries have no chunk and stay.
+    rest = written(keys.where("not whole").join(gone, ["doc_id", "version", "chunk"], "left_anti"), "pairs")
+    columns = ["doc_id", "version", F.struct("line", "size", "key", "goes").alias("entry")]
+    places = whole.select(columns).unionByName(_places(rest, "pair_classes").select(columns))
+    # At most two entries for each of the document's lines.
+    return places.groupBy("doc_id", "version").agg(F.collect_set("entry").alias("found"))
+
+
+def _key_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The digest and text of every entry, once in a batch."""
     for batch in batches:
-        keys, texts = [], []
+        rows = {}
         for text, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             lines = text.split("\n")
             for x in found:
-                keys.append(x["key"])
-                texts.append("\n".join(lines[x["pair"] : x["pair"] + 2]))
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(texts, pa.string())], names=["key", "two"])
+                rows[x["key"], "\n".join(lines[x["line"] : x["line"] + x["size"]])] = None
+        keys, texts = zip(*rows, strict=True) if rows else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(texts, pa.string())], names=["key", "text"])
 
 
-def _with_lists(docs: DataFrame, lists: DataFrame, name: str) -> DataFrame:
-    """doc_id, version, text and the document's entry ``name`` in ``lists`` (doc_id, version, name), null if it has none."""
-    texts = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"), F.col("text")
-    )
-    return texts.join(lists.select("doc_id", "version", name), ["doc_id", "version"], "left")
-
-
-def repeated_pairs(docs: DataFrame, lists: DataFrame) -> DataFrame:
-    """doc_id, version and ``pairs`` (numbers of first lines) of repeated pairs outside the chunks of ``lists``."""
-    pairs = written(_with_lists(docs, lists, "gone").mapInArrow(_pairs, PAIRS), "pairs")
-    counted = pairs.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
-    classes = written(counted.where("n > 1").select("key", "first"), "pair_classes")
-    entry = F.struct("pair", "key", (F.col("again") | (F.col("doc_id") > F.col("first"))).alias("goes"))
-    places = pairs.join(classes, "key").select("doc_id", "version", entry.alias("entry"))
-    # As many entries as the document has lines, at most.
-    found = written(places.groupBy("doc_id", "version").agg(F.collect_set("entry").alias("found")), "pair_places")
-    compared = _with_lists(docs, found, "found").where("found is not null").select("text", "found")
-    texts = compared.mapInArrow(_pair_texts, "key binary, two string").distinct()
-    clashes = written(texts.groupBy("key").count().where("count > 1").select("key"), "pair_clashes")
-    goes = F.filter("found", lambda x: x["goes"])
-    if not clashes.isEmpty():
-        rows = found.select("doc_id", "version", F.explode(goes).alias("x")).select("doc_id", "version", "x.pair", "x.key")
-        return rows.join(clashes, "key", "left_anti").groupBy("doc_id", "version").agg(F.collect_set("pair").alias("pairs"))
-    return found.select("doc_id", "version", F.transform(goes, lambda x: x["pair"]).alias("pairs"))
-
-
-def _gone_lines(text: str, gone: list[int], pairs: list[int]) -> list[int]:
-    """Numbers of the lines of all repeated pairs: those listed, and those inside removed chunks."""
-    lines = text.split("\n")
-    repeated = {i for i in _inner(text, gone) if _repeatable("\n".join(lines[i : i + 2]))}.union(pairs)
+def clashes(texts: DataFrame) -> DataFrame:
+    """``key`` of each digest that stands for several texts; ``texts`` has text and found."""
+    each = texts.where("found is not null").select("text", "found").mapInArrow(_key_texts, "key binary, text string").distinct()
+    return each.groupBy("key").count().where("count > 1").select("key")
+
+
+def _gone_lines(lines: list[str], found: list[dict]) -> list[int]:
+    """Numbers of the lines of all repeated pairs, those inside chunks too."""
+    pairs = {i for x in found for i in range(x["line"], x["line"] + x["size"] - 1)}
+    repeated = {i for i in pairs if _repeatable("\n".join(lines[i : i + 2]))}
     return sorted(repeated | {i + 1 for i in repeated})
 
 
-def dedup(docs: DataFrame) -> DataFrame:
+def dedup(docs: DataFrame, digest: Digest = md5) -> DataFrame:
     """``docs`` with ``text`` without repeated lines, ``removed`` (numbers of its lines, from 0) and ``removed_lines``."""
     docs = in_small_batches(docs)
     keep = [c for c in docs.columns if c not in ("removed", "removed_lines")]
-    lists = written(
-        repeated_chunks(docs).groupBy("doc_id", "version").agg(F.sort_array(F.collect_set("chunk_no")).alias("gone")),
-        "chunk_lists",
-    )
-    lists = written(lists.join(repeated_pairs(docs, lists), ["doc_id", "version"], "full"), "line_lists")
-    named = docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(keep)])
-    key = (F.col(f"_{keep.index('doc_id')}").cast("long") == lists.doc_id) & (
-        F.xxhash64(F.col(f"_{keep.index('text')}")) == lists.version
-    )
-    none = F.array().cast("array<int>")
-    joined = named.join(lists, key, "left").select(
-        *named.columns, F.coalesce("gone", none).alias("gone"), F.coalesce("pairs", none).alias("pairs")
-    )
     at, n_keep = keep.index("text"), len(keep)
+    named = docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(keep)])
+    keys = written(line_keys(docs, digest), "line_keys")
+    while True:
+        lists = written(line_lists(keys), "line_lists")
+        key = (F.col(f"_{keep.index('doc_id')}").cast("long") == lists.doc_id) & (F.xxhash64(F.col(f"_{at}")) == lists.version)
+        joined = written(named.join(lists.hint("merge"), key, "left").select(*named.columns, "found"), "lined")
+        several = written(clashes(joined.select(F.col(f"_{at}").alias("text"), "found")), "clashes")
+        if several.isEmpty():
+            break
+        # Each turn takes out digests that stand for several texts, so that this ends.
+        keys = written(keys.join(several, "key", "left_anti"), "line_keys")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, removed = [], []
-            for text, gone, pairs in zip(*(batch.column(i).to_pylist() for i in (at, n_keep, n_keep + 1)), strict=True):
+            for text, found in zip(batch.column(at).to_pylist(), batch.column(n_keep).to_pylist(), strict=True):
                 out: list[int] = []
-                if gone or pairs:
-                    out = _gone_lines(text, gone, pairs)
+                if found:
+                    lines = text.split("\n")
+                    out = _gone_lines(lines, found)
                     listed = set(out)
-                    text = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in listed)
+                    text = "\n".join(x for i, x in enumerate(lines) if i not in listed)
                 texts.append(text)
                 removed.append(out)
             columns = list(batch.columns)[:n_keep]
@@ -230,7 +213,8 @@ def dedup(docs: DataFrame) -> DataFrame:
         [T.StructField(f"_{i}", docs.schema[c].dataType) for i, c in enumerate(keep)]
         + [T.StructField("removed", T.ArrayType(T.IntegerType())), T.StructField("lines", T.IntegerType())]
     )
-    out = joined.mapInArrow(run, schema)
+    going = F.transform(F.filter("found", lambda x: x["goes"]), lambda x: F.struct(x["line"], x["size"]))
+    out = joined.select(*named.columns, going.alias("found")).mapInArrow(run, schema)
     return out.select(
         *[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)],
         F.col("removed").alias("removed"), F.col("lines").alias("removed_lines"),

@@ -2,8 +2,6 @@
 
 import random
 
-from pyspark.sql import functions as F
-
 from episodica.llm import line_dedup
 
 SCHEMA = "doc_id long, text string, removed string, gone string"
@@ -88,14 +86,23 @@ def test_runs_inside_texts_and_across_chunks(spark):
     assert order(run(spark, rows)) == order(brute(rows))
 
 
-def test_keys_of_several_texts_remove_nothing(spark):
-    rows = [(1, "a\nb"), (2, "c\na\nb"), (3, "c\nd")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    found = spark.createDataFrame([(1, b"k"), (2, b"k")], "doc_id long, key binary")
-    entries = F.array(F.struct(F.lit(0).alias("pair"), F.col("key")))
-    texts = docs.join(found.select("doc_id", entries.alias("found")), "doc_id").select("text", "found")
-    got = texts.mapInArrow(line_dedup._pair_texts, "key binary, two string").distinct().groupBy("key").count().collect()
-    assert [(bytes(r.key), r["count"]) for r in got] == [(b"k", 2)]
+def test_digests_of_several_texts_remove_nothing(spark):
+    rows = [(1, "a\nb"), (2, "c\nd"), (3, "a\nb"), (4, "longer\nlines"), (5, "longer\nlines"), (6, "own\nlonger\nlines\n.")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    by_length = lambda n: lambda text: str(len(text) // n).encode()
+    got = {r.doc_id: r.text for r in line_dedup.dedup(df, digest=by_length(1)).collect()}
+    assert got == {**dict(rows), 5: "", 6: "own\n."}
+    assert {r.doc_id: r.text for r in line_dedup.dedup(df, digest=by_length(1000)).collect()} == dict(rows)
+
+
+def test_pairs_of_a_clashing_chunk_are_indexed(spark):
+    """Chunks all share a digest; their pairs do not."""
+    rng = random.Random(6)
+    shared = [f"shared {k}" for k in range(9)]
+    rows = [(i, "\n".join([f"own {i} {k}" for k in range(rng.randint(0, 5))] + shared + [f"end {i}"])) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    digest = lambda text: text.encode() if text.count("\n") == 1 else b"chunk"
+    assert order([(r.doc_id, r.text) for r in line_dedup.dedup(df, digest=digest).collect()]) == order(brute(rows))
 
 
 def test_edge_cases(spark):
