@@ -2,6 +2,7 @@
 
 import numpy as np
 
+from episodica import session
 from episodica.operators import neighbours
 
 
@@ -30,3 +31,22 @@ def test_neighbours_of_copies_and_unusable_vectors(spark, monkeypatch):
     for q, point in enumerate(points):
         far = sorted((round(float(np.sqrt(np.square(np.array(v) - point).sum())), 6), key) for key, v, _ in rows if key != q)
         assert sorted(got[q]) == sorted(key for _, key in far[:5])
+
+
+def test_shuffles_are_cut_finer_for_larger_tables(spark, tmp_path, monkeypatch):
+    names = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes", session.LEAST_PARTS]
+    before = {n: spark.conf.get(n, None) for n in names}
+    monkeypatch.setattr(session, "PARTITION_BYTES", 1000)
+    (tmp_path / "small").write_bytes(b"x" * 3000)
+    (tmp_path / "large").write_bytes(b"x" * 99_500)
+    try:
+        session.spread_by_size(spark, str(tmp_path / "small"))
+        assert {n: spark.conf.get(n, None) for n in names} == before
+        session.spread_by_size(spark, str(tmp_path / "large"))
+        assert [spark.conf.get(n) for n in names] == ["100", str(session.READ_BYTES), "100"]
+        # A smaller table read later does not undo it.
+        session.spread_by_size(spark, str(tmp_path / "small"))
+        assert spark.conf.get(names[0]) == "100" and spark.range(500).groupBy("id").count().count() == 500
+    finally:
+        for n, value in before.items():
+            spark.conf.unset(n) if value is None else spark.conf.set(n, value)
