@@ -1,9 +1,12 @@
 """Steps that have to grow with the data: few copies of rows, bounded tasks, few passes."""
 
 import numpy as np
+import pytest
+from pyspark.ml.linalg import Vectors
 
 from episodica import session
-from episodica.operators import neighbours
+from episodica.operators import models, neighbours
+from episodica.operators.models import Cell
 
 
 def test_a_query_is_sent_once_to_a_pack_of_cells():
@@ -50,3 +53,24 @@ def test_shuffles_are_cut_finer_for_larger_tables(spark, tmp_path, monkeypatch):
     finally:
         for n, value in before.items():
             spark.conf.unset(n) if value is None else spark.conf.set(n, value)
+
+
+TREES = [
+    Cell.of("RF", trees=4, depth=8, min_split=2), Cell.of("DT", depth=8, min_split=2), Cell.of("BG", trees=3, sample=0.5),
+]
+
+
+@pytest.fixture(scope="module")
+def noisy(spark):
+    rng = np.random.default_rng(7)
+    rows = [(float(rng.random() < x[0]), Vectors.dense(x.tolist())) for x in rng.random((300, 5))]
+    return spark.createDataFrame(rows, ["label", "features"])
+
+
+@pytest.mark.parametrize("cell", TREES, ids=[c.family for c in TREES])
+def test_deep_trees_are_not_sent_to_tasks(noisy, cell):
+    estimator = models.estimator(cell)
+    assert estimator.getCacheNodeIds()
+    # The same trees as by walking down from the roots.
+    kept = estimator.fit(noisy).toDebugString.split("\n", 1)[1]
+    assert estimator.copy({estimator.cacheNodeIds: False}).fit(noisy).toDebugString.split("\n", 1)[1] == kept
