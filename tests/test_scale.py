@@ -74,3 +74,18 @@ def test_deep_trees_are_not_sent_to_tasks(noisy, cell):
     # The same trees as by walking down from the roots.
     kept = estimator.fit(noisy).toDebugString.split("\n", 1)[1]
     assert estimator.copy({estimator.cacheNodeIds: False}).fit(noisy).toDebugString.split("\n", 1)[1] == kept
+
+
+def test_tree_fits_read_one_partition_a_core(spark, noisy, monkeypatch):
+    read = []
+
+    class Spy:
+        def fit(self, train):
+            read.append((train.rdd.getNumPartitions(), train.count()))
+
+    monkeypatch.setattr(models, "estimator", lambda *_: Spy())
+    cores = spark.sparkContext.defaultParallelism
+    models.fit_trees(TREES[0], noisy.repartition(5 * cores))
+    models.fit_trees(TREES[0], noisy.repartition(1))
+    # All rows in both; fewer partitions stay as they are.
+    assert read == [(cores, 300), (1, 300)]
