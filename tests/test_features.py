@@ -168,3 +168,34 @@ def test_null_groups_are_described(spark):
     assert got == {"a": (2, 2.0, 2.0), None: (2, 6.0, 6.0)}
     named = {(r["attribute"], r["group_value"]): r["q50"] for r in profile.describe_groups(df, ["v"], ["g"]).collect()}
     assert named == {("g", "a"): 2.0, ("g", "UNKNOWN"): 6.0}
+
+
+def test_codes_are_numbered_once_for_all_splits(spark, capsys):
+    """The vectors of each split are those that its own codes give, and need neither join nor shuffle."""
+    keys = "person_id int, episode_id int"
+    people = spark.createDataFrame(
+        [(1, 1, "x", 1.0, "b"), (2, 2, "x", None, "b"), (2, 3, None, 4.0, "a"), (3, 4, "y", 5.0, "a"), (4, 5, "y", 0.0, "a")],
+        f"{keys}, c string, v double, d string",
+    )
+    counts = spark.createDataFrame(
+        [(1, 1, "o", "p", 2), (2, 2, "o", "p", 1), (2, 3, "o", "q", 9), (3, 4, "o", "r", 3), (4, 5, "o", "r", 1), (4, 5, "z", "r", 1), (9, 9, "o", "p", 5)],
+        f"{keys}, column string, code string, n long",
+    )
+    rows, places = X.number_codes(people, counts, ["c", "d"], ["o"])
+    for train, names in (("episode_id in (1, 3)", ["d_b", "o_p", "v"]), ("episode_id = 4", ["c_y", "d_a", "o_r", "v"])):
+        side = F.when(F.expr(train), "train").otherwise("test").alias("side")
+        if names[0] == "d_b":
+            own, numbered = (t.filter("episode_id <> 5 and episode_id <> 4").select("*", side) for t in (people, rows))
+            names = ["c_x", *names]
+        else:
+            own, numbered = (t.filter("episode_id > 2").select("*", side) for t in (people, rows))
+        kept = X.keep_episodes_of(counts, own)
+        plain = X.FeatureEncoder(["c", "d"], ["v"], ["o"]).fit(own.cache(), kept)
+        once = X.FeatureEncoder(["c", "d"], ["v"], ["o"]).fit_numbered(numbered, places)
+        assert once.names == plain.names == names and once.fills == plain.fills
+        found = once.transform_numbered(numbered, ["episode_id"])
+        assert {r.episode_id: r.features for r in found.collect()} == {r.episode_id: r.features for r in plain.transform(own, kept).collect()}
+        capsys.readouterr()
+        found.explain()
+        plan = capsys.readouterr().out
+        assert "Join" not in plan and "Exchange" not in plan
