@@ -178,3 +178,22 @@ def test_neighbours_of_all_choices_come_from_one_search(data):
     for cell in cells:
         alone = {r.person_id: r.score for r in models.fit_and_score(cell, df, df).collect()}
         assert {r.person_id: pytest.approx(r.score) for r in together[cell].collect()} == alone
+
+
+@pytest.mark.parametrize("cost", [0, 10**9])
+def test_curvatures_from_pairs_of_entries(monkeypatch, cost):
+    """Pairs, in runs that end within a row, and the dense product give the same; a row without entries, and one that names a code twice."""
+    monkeypatch.setattr(linear, "PAIR_COST", cost)
+    monkeypatch.setattr(linear, "PAIRS", 7)
+    rng = np.random.default_rng(1)
+    entries = [(i, j) for j in range(6) for i in range(40) if i != 5 and rng.random() < 0.5] + [(9, 5), (9, 5)]
+    row, code = (np.array(c, np.int32) for c in zip(*entries))
+    block = sparse.Block(np.ones(40), np.ones(40), row, code, rng.normal(size=len(row)))
+    x = np.zeros((40, 7))
+    np.add.at(x, (row, code), block.value)
+    x[:, 6] = 1
+    weights = [rng.random(40), np.zeros(40), np.ones(40)]
+    for got, w in zip(linear.curvatures(block, 6, weights), weights, strict=True):
+        assert np.allclose(got, x.T @ (w[:, None] * x), rtol=1e-12, atol=1e-12)
+    empty = sparse.Block(*[np.zeros(0, t) for t in (bool, float, np.int32, np.int32, float)])
+    assert all(not got.any() for got in linear.curvatures(empty, 6, [np.zeros(0)]))
