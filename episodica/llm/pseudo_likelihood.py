@@ -12,9 +12,10 @@ unseen words as it has words seen once, shared by as many unseen words as it
 has known ones; so an unseen word is never likelier than one seen once. A
 document's score is the sum of its tokens' conditional log-probabilities.
 
-All documents are learned from: word counts are summed over the corpus, then in
-every round each partition trains its own copy of the network on all of its
-tokens, and the copies are averaged, weighted by tokens: each leaves its task as
+All documents are learned from: word counts are summed over the corpus, every
+text is coded as ids once and written, then in every round each partition of
+the coded texts trains its own copy of the network on all of its tokens, in
+even steps, and the copies are averaged, weighted by tokens: each leaves its task as
 a few binary pieces, which are added in a tree of small groups. The frequent
 words, the totals of the classes and the averaged parameters come to the driver,
 as many as there are ids; the word counts stay a table, which is joined to those
@@ -32,10 +33,12 @@ import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,20 +51,24 @@ IDS = GROUPS * GROUPS
 # Ids for each root of the number of distinct words.
 IDS_PER_ROOT = 2
 ROUNDS, BATCH, RATE = 2, 8192, 0.05
-# Distinct words that a task counts before it hands them on.
-COUNTED = 200_000
+# Words and counts, about 20 MB, that a task holds before it hands them on.
+COUNTED = 1_000_000
 # Words whose ids a worker remembers; the others are hashed again.
 KNOWN = 300_000
 # Words without an id of their own whose counts each worker holds, the most frequent ones; the others are joined.
 SHARED = 200_000
-# Tokens that are trained on or scored at once, about.
+# Tokens that are coded, held for training or scored at once, about.
 STRETCH = 16_384
 # Parameters in a piece of a copy, and pieces that are added at once.
 PIECE, FAN = 65_536, 32
-# Tokens whose logits over the groups are held at once.
-SLAB = 512
-# Sums of exponentials of logits within this bound neither overflow nor vanish.
-SAFE = 60.0
+# Logits over the groups that are held at once: few enough for a core's cache and for the fast products of small matrices.
+SLAB = 32_768
+# Powers of two in a power of e.
+TWOS = np.float32(1 / math.log(2))
+# Sums of powers of two of logits within this bound neither overflow nor vanish.
+SAFE = 85.0
+# Bytes that a worker may keep for its next arrays instead of giving them back.
+KEPT = 24 << 20
 
 
 def ids_for(distinct: int) -> int:
@@ -88,6 +95,19 @@ class Vocabulary(dict):
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
+def keep_freed() -> None:
+    """Let this process keep the memory of freed arrays: a step's arrays otherwise get new pages each time, a sixth of its time.
+
+    glibc's allocator keeps as much as the largest block that was freed; this one is never touched.
+    """
+    np.empty(KEPT, np.uint8)
+
+
+def by_value(ids: np.ndarray) -> np.ndarray:
+    """Order of ids by value, equal ones as they come; short integers are sorted by their digits."""
+    return np.argsort(ids.astype(np.uint16) if len(ids) and ids.max() < 1 << 16 else ids, kind="stable")
+
+
 def windows(texts: Iterable[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Targets and their windows (places x tokens) for texts as ids, padded at their ends."""
     gap = np.zeros(REACH, np.int64)
@@ -100,6 +120,12 @@ def windows(texts: Iterable[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return line[at], np.stack([line[at + k] for k in places])
 
 
+def steps(n: int) -> list[slice]:
+    """``n`` tokens in even steps of about BATCH, so that none is left with a few tokens and the work of a whole step."""
+    many = max(1, round(n / BATCH))
+    return [slice(n * i // many, n * (i + 1) // many) for i in range(many if n else 0)]
+
+
 @dataclass
 class WindowNetwork:
     """Parameters: tables of the places, bias, weights of the groups and within them."""
@@ -144,23 +170,27 @@ class WindowNetwork:
         return np.tanh(z, out=z)
 
     @staticmethod
-    def exponentials(z: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray | float]:
-        """Exponentials of each row of logits less its peak, in place, and the peaks.
+    def safe(weights: np.ndarray) -> bool:
+        """Whether no logit leaves SAFE: hidden units lie within one, so it is at most the sum of its weights' absolute values."""
+        return bool(np.abs(weights).sum(axis=-2).max() <= SAFE)
 
-        Hidden units lie within one, so a logit is at most the sum of its weights' absolute values;
-        where that is small, all peaks count as 0.
-        """
+    @staticmethod
+    def powers(z: np.ndarray, safe: bool) -> tuple[np.ndarray, np.ndarray | float]:
+        """Two to each row of logits less its peak, in place, and the peaks; where logits are safe, all peaks count as 0."""
         peak = 0.0
-        if np.abs(weights).sum(axis=-2).max() > SAFE:
+        if not safe:
             peak = z.max(axis=1)
             z -= peak[:, None]
-        return np.exp(z, out=z), peak
+        return np.exp2(z, out=z), peak
 
     def joint(self) -> tuple[np.ndarray, np.ndarray]:
-        """The output weights of the groups and within them, each with its bias as a last row."""
+        """The output weights of the groups and within them, each with its bias as a last row.
+
+        They are scaled so that logits count in powers of two, which numpy computes faster than those of e.
+        """
         return (
-            np.concatenate([self.group, self.group_bias[None]]),
-            np.concatenate([self.within, self.within_bias[:, None]], axis=1),
+            np.concatenate([self.group, self.group_bias[None]]) * TWOS,
+            np.concatenate([self.within, self.within_bias[:, None]], axis=1) * TWOS,
         )
 
     def extents(self, group: np.ndarray) -> list[tuple[int, int, int]]:
@@ -168,16 +198,10 @@ class WindowNetwork:
         ends = np.searchsorted(group, np.arange(len(self.group_bias) + 1)).tolist()
         return [(g, a, b) for g, (a, b) in enumerate(zip(ends, ends[1:], strict=False)) if a < b]
 
-    @staticmethod
-    def by_group(target: np.ndarray) -> np.ndarray:
-        """Order of the tokens by group; short integers are sorted by their digits."""
-        group = target // GROUPS
-        return np.argsort(group.astype(np.uint16) if len(group) and group.max() < 1 << 16 else group, kind="stable")
-
-    @staticmethod
-    def slabs(n: int) -> list[slice]:
-        """Runs of tokens whose logits stay in a core's cache."""
-        return [slice(i, i + SLAB) for i in range(0, n, SLAB)]
+    def slabs(self, n: int) -> list[slice]:
+        """Runs of tokens that have about SLAB logits over the groups."""
+        run = max(64, SLAB // len(self.group_bias))
+        return [slice(i, i + run) for i in range(0, n, run)]
 
     def units(self, window: np.ndarray) -> np.ndarray:
         """The hidden units of each token, and a one for the bias."""
@@ -185,70 +209,75 @@ class WindowNetwork:
 
     def log_prob(self, target: np.ndarray, window: np.ndarray) -> np.ndarray:
         """Log-probability of each target given its window."""
-        order = self.by_group(target)
+        order = by_value(target // GROUPS)
         group, place = np.divmod(target[order], GROUPS)
         h, (outer, inner), line = self.units(window[:, order]), self.joint(), np.arange(len(target))
         own, ones = np.empty(len(target)), np.ones(max(len(self.group_bias), GROUPS), np.float32)
+        safe = self.safe(outer)
         for at in self.slabs(len(target)):
             z = h[at] @ outer
             own[at] = z[line[: len(z)], group[at]]
-            z, peak = self.exponentials(z, outer)
-            own[at] -= np.log(z @ ones[: z.shape[1]]) + peak
+            z, peak = self.powers(z, safe)
+            own[at] -= np.log2(z @ ones[: z.shape[1]]) + peak
         z = np.empty((len(target), GROUPS), np.float32)
         for g, a, b in self.extents(group):
             np.matmul(h[a:b], inner[g], out=z[a:b])
         own += z[line, place]
-        z, peak = self.exponentials(z, inner)
-        own -= np.log(z @ ones[:GROUPS]) + peak
+        z, peak = self.powers(z, self.safe(inner))
+        own -= np.log2(z @ ones[:GROUPS]) + peak
         out = np.empty(len(target))
-        out[order] = own
+        out[order] = own * math.log(2)
         return out
 
     def train(self, target: np.ndarray, window: np.ndarray, square: list[np.ndarray]) -> None:
         """One step of adaptive gradient descent; ``square`` holds the sums of squared gradients.
 
         A softmax's slope is its shares less one at the token's own place. The shares are never formed:
-        what is summed over tokens is divided by the sums of exponentials first. Rows of the tables that
+        what is summed over tokens is divided by the sums of powers first. Rows of the tables that
         no window names have the slope zero and stay.
         """
         n = len(target)
-        order = self.by_group(target)
-        target, window = target[order], window[:, order]
+        order = by_value(target // GROUPS)
+        target, window = target[order], window.take(order, axis=1)
         group, place = np.divmod(target, GROUPS)
         h, (outer, inner) = self.units(window), self.joint()
         extents = self.extents(group)
         seen, starts = [g for g, _, _ in extents], [a for _, a, _ in extents]
 
-        ones, weights = np.ones((outer.shape[1], 1), np.float32), np.ascontiguousarray(outer[:-1].T)
-        to_outer, dh = np.zeros_like(outer), np.empty((n, HIDDEN), np.float32)
-        for at in self.slabs(n):
-            z, _ = self.exponentials(h[at] @ outer, outer)
-            over = 1 / (z @ ones)
-            to_outer += (h[at] * over).T @ z
-            np.multiply(z @ weights, over, out=dh[at])
+        # A last column of ones: a product with it also sums the powers.
+        weights = np.append(self.group.T, np.ones((outer.shape[1], 1), np.float32), axis=1)
+        to_outer, dh, safe = np.zeros_like(outer), np.empty((n, HIDDEN), np.float32), self.safe(outer)
+        for slab in self.slabs(n):
+            z, _ = self.powers(h[slab] @ outer, safe)
+            back = z @ weights
+            over = 1 / back[:, -1:]
+            to_outer += (h[slab] * over).T @ z
+            np.multiply(back[:, :-1], over, out=dh[slab])
         to_outer[:, seen] -= np.add.reduceat(h, starts, axis=0).T
-        dh -= weights.take(group, axis=0)
+        dh -= weights[:, :-1].take(group, axis=0)
 
         z, ones_within = np.empty((n, GROUPS), np.float32), np.ones((GROUPS, 1), np.float32)
         for g, a, b in extents:
             np.matmul(h[a:b], inner[g], out=z[a:b])
-        z, _ = self.exponentials(z, inner)
+        z, _ = self.powers(z, self.safe(inner))
         z /= z @ ones_within
         z[np.arange(n), place] -= 1
-        to_inner = np.zeros_like(inner)
+        to_inner, back, turned = np.zeros_like(inner), np.empty_like(dh), np.ascontiguousarray(self.within.transpose(0, 2, 1))
         for g, a, b in extents:
             np.matmul(h[a:b].T, z[a:b], out=to_inner[g])
-            dh[a:b] += z[a:b] @ inner[g, :-1].T
+            np.matmul(z[a:b], turned[g], out=back[a:b])
+        dh += back
         h = h[:, :-1]
         dh *= 1 - h * h
 
-        units, places, slot = dh.astype(float).ravel(), np.empty((n, HIDDEN), np.int64), np.empty(self.tables.shape[1], np.int64)
+        # One sum by id for each hidden unit; ``slot`` numbers the rows that are named.
+        units, slot = np.ascontiguousarray(dh.T, dtype=float), np.empty(self.tables.shape[1], np.int64)
         for table, sums, ids in zip(self.tables, square[0], window, strict=True):
             rows = np.flatnonzero(np.bincount(ids, minlength=len(table)))
-            slot[rows] = np.arange(0, len(rows) * HIDDEN, HIDDEN)
-            np.add(slot.take(ids)[:, None], np.arange(HIDDEN), out=places)
-            slope = (np.bincount(places.ravel(), units, len(rows) * HIDDEN) / n).astype(np.float32).reshape(-1, HIDDEN)
-            own = sums[rows] + slope * slope
+            slot[rows] = np.arange(len(rows))
+            ids = slot.take(ids)
+            slope = (np.stack([np.bincount(ids, unit, len(rows)) for unit in units]) / n).astype(np.float32).T
+            own = sums.take(rows, axis=0) + slope * slope
             sums[rows] = own
             table[rows] -= RATE * slope / (np.sqrt(own) + 1e-6)
         slopes = [dh.sum(axis=0), to_outer[:-1], to_outer[-1], to_inner[:, :-1], to_inner[:, -1]]
@@ -258,27 +287,12 @@ class WindowNetwork:
             value -= RATE * slope / (np.sqrt(sums) + 1e-6)
 
 
-def _texts(batches: Iterator[pa.RecordBatch], words: Vocabulary, stretch: int) -> Iterator[list[np.ndarray]]:
-    """Texts as ids, gathered to stretches of about so many tokens."""
-    held, n = [], 0
-    for batch in batches:
-        for text in batch.column(0):
-            ids = words.ids(text.as_py())
-            held.append(ids)
-            n += len(ids)
-            if n >= stretch:
-                yield held
-                held, n = [], 0
-    if held:
-        yield held
-
-
-def _stretches(texts: Iterable[list[str]], stretch: int) -> Iterator[list[list[str]]]:
-    """Texts as words, gathered to stretches of about so many tokens."""
+def _stretches(texts: Iterable, stretch: int) -> Iterator[list]:
+    """Texts as words or ids, gathered to stretches of about so many tokens."""
     held, n = [], 0
-    for words in texts:
-        held.append(words)
-        n += len(words)
+    for text in texts:
+        held.append(text)
+        n += len(text)
         if n >= stretch:
             yield held
             held, n = [], 0
@@ -286,23 +300,35 @@ def _stretches(texts: Iterable[list[str]], stretch: int) -> Iterator[list[list[s
         yield held
 
 
+def _width(words: Vocabulary) -> str:
+    """Type of an id in a coded text."""
+    return "<u2" if words.size <= 1 << 16 else "<u4"
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """word and n over all documents."""
 
-    def rows(counts: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["word", "n"]
-        )
+    def added(held: list[pa.Table]) -> pa.Table:
+        sums = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")])
+        return sums.select(["word", "n_sum"]).rename_columns(["word", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        held: list[pa.Table] = []
+        n = 0
         for batch in batches:
-            for text in batch.column(0):
-                counts.update((text.as_py() or "").split())
-                if len(counts) >= COUNTED:
-                    yield rows(counts)
-                    counts = Counter()
-        yield rows(counts)
+            # Texts split where str.split does, with empty words at their ends.
+            words = pc.list_flatten(pc.utf8_split_whitespace(batch.column(0))).value_counts()
+            table = pa.table([words.field(0), words.field(1)], names=["word", "n"])
+            held.append(table.filter(pc.not_equal(table["word"], "")))
+            n += len(held[-1])
+            if n >= COUNTED:
+                held = [added(held)]
+                n = len(held[0])
+                if n >= COUNTED // 2:
+                    yield from held[0].to_batches()
+                    held, n = [], 0
+        if held:
+            yield from added(held).to_batches()
 
     return in_small_batches(docs).select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -312,9 +338,24 @@ def counted(docs: DataFrame) -> DataFrame:
     return written(word_counts(docs), "word_counts")
 
 
-def fit(docs: DataFrame, rounds: int = ROUNDS, counts: DataFrame | None = None) -> tuple[Vocabulary, WindowNetwork]:
-    """The frequent words and the network, learned from all of ``docs``; ``counts`` is ``counted(docs)``."""
-    table = counted(docs) if counts is None else counts
+@dataclass
+class Coded:
+    """Texts as ids, one row each as ``_coded`` gives them, with their vocabulary and the counts of its ids."""
+
+    words: Vocabulary
+    start: np.ndarray
+    rows: DataFrame
+    unseen: np.ndarray
+
+
+def coded(docs: DataFrame, counts: DataFrame) -> Coded:
+    """All texts of ``docs`` as ids, for ``fit`` and ``score``; ``counts`` is ``counted(docs)``."""
+    words, start = _vocabulary(counts)
+    return Coded(words, start, *_coded(docs, words, counts))
+
+
+def _vocabulary(table: DataFrame) -> tuple[Vocabulary, np.ndarray]:
+    """The vocabulary, and a count for each id."""
     size = ids_for(table.count())
     words = Vocabulary(size=size)
     top = table.orderBy(F.desc("n"), "word").limit(words.frequent).collect()
@@ -323,9 +364,19 @@ def fit(docs: DataFrame, rounds: int = ROUNDS, counts: DataFrame | None = None)
     start[1 : 1 + len(top)] = [r["n"] for r in top]
     # The hash classes start at the count of the rarest frequent word.
     start[1 + words.frequent :] = top[-1]["n"] if top else 1
+    return words, start
+
+
+def fit(docs: DataFrame | Coded, rounds: int = ROUNDS, counts: DataFrame | None = None) -> tuple[Vocabulary, WindowNetwork]:
+    """The frequent words and the network, learned from all of ``docs``; ``counts`` is ``counted(docs)``."""
+    if isinstance(docs, Coded):
+        words, start, rows = docs.words, docs.start, docs.rows
+    else:
+        words, start = _vocabulary(counted(docs) if counts is None else counts)
+        rows, _ = _coded(docs, words)
     network = WindowNetwork.start(start)
     for _ in range(rounds):
-        network = _round(docs, words, network)
+        network = _round(rows, words, network)
     return words, network
 
 
@@ -350,19 +401,21 @@ def summed(pieces: DataFrame) -> DataFrame:
 PIECES = "part int, piece int, value binary"
 
 
-def _round(docs: DataFrame, words: Vocabulary, network: WindowNetwork) -> WindowNetwork:
-    known, ids, begin = dict(words), words.size, network.flat()
+def _round(rows: DataFrame, words: Vocabulary, network: WindowNetwork) -> WindowNetwork:
+    width, begin = _width(words), network.flat()
     size = len(begin)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, vocabulary, n = network.shaped(begin.copy()), Vocabulary(known, ids), 0
+        keep_freed()
+        own, n = network.shaped(begin.copy()), 0
         square = [np.zeros_like(p) for p in own.parts()]
-        for texts in _texts(batches, vocabulary, STRETCH):
-            target, window = windows(texts)
+        texts = (np.frombuffer(ids.as_buffer(), width).astype(np.int64) for batch in batches for ids in batch.column(0))
+        for held in _stretches(texts, STRETCH):
+            target, window = windows(held)
             order = np.random.default_rng(len(target)).permutation(len(target))
-            for first in range(0, len(target), BATCH):
-                at = order[first : first + BATCH]
-                own.train(target[at], window[:, at], square)
+            for step in steps(len(target)):
+                at = order[step]
+                own.train(target[at], window.take(at, axis=1), square)
             n += len(target)
         if n:
             flat = np.append(own.flat().astype(float) * n, n)
@@ -375,7 +428,7 @@ def _round(docs: DataFrame, words: Vocabulary, network: WindowNetwork) -> Window
                 names=["part", "piece", "value"],
             )
 
-    pieces = written(docs.select("text").mapInArrow(run, PIECES), "copies")
+    pieces = written(rows.select("ids").mapInArrow(run, PIECES), "copies")
     sums = summed(pieces).orderBy("piece").select("value").collect()
     if not sums:
         return network
@@ -406,72 +459,94 @@ def _rates(words: Vocabulary, counts: DataFrame) -> dict[str, float]:
     return {w: x for w, x in zip(top.column("word").to_pylist(), logs, strict=True) if words.get(w, words.size) > words.frequent}
 
 
-SCORED = "row long, doc_id long, n_tokens long, log_prob double"
+CODED = "row long, doc_id long, n_tokens long, ids binary, shared double, rare array<string>, times array<long>"
+
 
+def _coded(docs: DataFrame, words: Vocabulary, counts: DataFrame | None = None) -> tuple[DataFrame, np.ndarray]:
+    """Every text as ids, written. Rows have numbers of their own: those that repeat are learned from and scored each.
 
-def score(docs: DataFrame, words: Vocabulary, network: WindowNetwork, counts: DataFrame | None = None) -> DataFrame:
+    With ``counts`` also the sum of the logarithms of its words' shares in their classes, as far as each worker
+    holds their counts, and the other words with their times, for which that sum has only the classes' part; and
+    the classes' logarithms of the count that stands for an unseen word.
+    """
+    known, size, width, rates = dict(words), words.size, _width(words), {}
+    id_of, weight, unseen = np.arange(size), np.zeros(size), np.zeros(words.classes)
+    if counts is not None:
+        total, unseen = _classes(words, counts)
+        rates = _rates(words, counts)
+        mates = np.fromiter(map(Vocabulary(known, size).__getitem__, rates), np.int64, len(rates))
+        weight[1 + words.frequent :] = -total
+        weight = np.append(weight, np.fromiter(rates.values(), float, len(rates)) + weight[mates])
+        id_of = np.append(id_of, mates)
+    # Words whose counts are held have codes from ``size`` on.
+    known.update(zip(rates, range(size, size + len(rates)), strict=True))
+    joined = counts is not None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = Vocabulary(known, size)
+        row = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            sizes, ids, shared, rare, times = [], [], [], [], []
+            for held in _stretches(((text.as_py() or "").split() for text in batch.column("text")), STRETCH):
+                ends = np.cumsum([0] + [len(t) for t in held])
+                flat = list(chain.from_iterable(held))
+                codes = np.fromiter(map(vocabulary.__getitem__, flat), np.int64, len(flat))
+                narrow = id_of.take(codes).astype(width)
+                owner = np.repeat(np.arange(len(held)), np.diff(ends))
+                shared += np.bincount(owner, weight.take(codes), minlength=len(held)).tolist()
+                sizes += np.diff(ends).tolist()
+                others = np.flatnonzero((codes > vocabulary.frequent) & (codes < size)) if joined else np.zeros(0, np.int64)
+                bounds = np.searchsorted(others, ends).tolist()
+                others, ends = others.tolist(), ends.tolist()
+                for i in range(len(held)):
+                    left = Counter([flat[k] for k in others[bounds[i] : bounds[i + 1]]])
+                    rare.append(list(left))
+                    times.append(list(left.values()))
+                    ids.append(narrow[ends[i] : ends[i + 1]].tobytes())
+            columns = [
+                pa.array(range(row, row + len(ids)), pa.int64()), batch.column("doc_id"),
+                pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), pa.array(shared, pa.float64()),
+                pa.array(rare, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int64())),
+            ]
+            row += len(ids)
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "n_tokens", "ids", "shared", "rare", "times"])
+
+    id_column = F.col("doc_id").cast("long") if "doc_id" in docs.columns else F.lit(None).cast("long")
+    narrow = in_small_batches(docs).select(id_column.alias("doc_id"), "text")
+    return written(narrow.mapInArrow(run, CODED), "coded"), unseen
+
+
+def score(docs: DataFrame | Coded, words: Vocabulary, network: WindowNetwork, counts: DataFrame | None = None) -> DataFrame:
     """doc_id, n_tokens, log_prob (sum over tokens) and mean_log_prob of every whole text.
 
     With ``counts`` (see ``counted``) the probability is that of the word;
     without, that of its id, where words of one class are not told apart.
     """
-    known, ids = dict(words), words.size
-    total, unseen = (None, None) if counts is None else _classes(words, counts)
-    rates = {} if counts is None else _rates(words, counts)
+    rows, unseen = (docs.rows, docs.unseen) if isinstance(docs, Coded) else _coded(docs, words, counts)
+    width = _width(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(known, ids)
-        row = TaskContext.get().partitionId() << 40
+        keep_freed()
         for batch in batches:
-            texts = [(text or "").split() for text in batch.column("text").to_pylist()]
             sums: list[float] = []
-            sizes: list[int] = []
-            rare: list[list[str]] = []
-            times: list[list[int]] = []
+            texts = (np.frombuffer(ids.as_buffer(), width).astype(np.int64) for ids in batch.column("ids"))
             for held in _stretches(texts, STRETCH):
-                coded = [np.fromiter(map(vocabulary.__getitem__, t), np.int64, len(t)) for t in held]
-                lengths = np.array([len(t) for t in held])
-                target, window = windows(coded)
+                target, window = windows(held)
                 each = np.concatenate(
                     [np.zeros(0)]
                     + [network.log_prob(target[i : i + STRETCH], window[:, i : i + STRETCH]) for i in range(0, len(target), STRETCH)]
                 )
-                if total is not None:
-                    shared = np.flatnonzero(target > vocabulary.frequent)
-                    each[shared] -= total[target[shared] - 1 - vocabulary.frequent]
-                    at = 0
-                    for t, c in zip(held, coded, strict=True):
-                        left: Counter = Counter()
-                        for i in np.flatnonzero(c > vocabulary.frequent).tolist():
-                            rate = rates.get(t[i])
-                            if rate is None:
-                                left[t[i]] += 1
-                            else:
-                                each[at + i] += rate
-                        at += len(t)
-                        rare.append(list(left))
-                        times.append(list(left.values()))
-                owner = np.repeat(np.arange(len(held)), lengths)
+                owner = np.repeat(np.arange(len(held)), [len(t) for t in held])
                 sums += np.bincount(owner, each, minlength=len(held)).tolist()
-                sizes += lengths.tolist()
-            columns = [
-                pa.array(range(row, row + len(sums)), pa.int64()), batch.column("doc_id"),
-                pa.array(sizes, pa.int64()), pa.array(sums, pa.float64()),
-            ]
-            names = ["row", "doc_id", "n_tokens", "log_prob"]
-            row += len(sums)
-            if total is not None:
-                columns += [pa.array(rare, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int64()))]
-                names += ["rare", "times"]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    narrow = in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    if counts is None:
-        out = narrow.mapInArrow(run, SCORED)
-    else:
-        # Rows have numbers of their own, which the file keeps: those that repeat are scored each.
-        scored = written(narrow.mapInArrow(run, f"{SCORED}, rare array<string>, times array<long>"), "scored")
-        each = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x"))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), batch.column("doc_id"), batch.column("n_tokens"), pa.array(sums, pa.float64()), batch.column("shared")],
+                names=["row", "doc_id", "n_tokens", "log_prob", "shared"],
+            )
+
+    narrow = in_small_batches(rows).select("row", "doc_id", "n_tokens", "ids", "shared")
+    out = narrow.mapInArrow(run, "row long, doc_id long, n_tokens long, log_prob double, shared double")
+    if counts is not None:
+        each = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x"))
         each = each.select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
         of_unseen = F.array(*map(F.lit, unseen.tolist()))
         of_class = F.get(of_unseen, (F.crc32("word") % words.classes).cast("int"))
@@ -480,7 +555,7 @@ def score(docs: DataFrame, words: Vocabulary, network: WindowNetwork, counts: Da
             .groupBy("row")
             .agg(F.sum(F.col("times") * F.coalesce(F.log("n"), of_class)).alias("shares"))
         )
-        out = scored.drop("rare", "times").join(shares, "row", "left")
-        out = out.withColumn("log_prob", F.col("log_prob") + F.coalesce("shares", F.lit(0.0)))
+        out = out.join(shares, "row", "left")
+        out = out.withColumn("log_prob", F.col("log_prob") + F.col("shared") + F.coalesce("shares", F.lit(0.0)))
     mean = F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens"))
     return out.select("doc_id", "n_tokens", "log_prob", mean.alias("mean_log_prob"))

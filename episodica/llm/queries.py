@@ -68,7 +68,8 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counts = pseudo_likelihood.counted(docs)
-    return pseudo_likelihood.score(docs, *pseudo_likelihood.fit(docs, counts=counts), counts)
+    coded = pseudo_likelihood.coded(docs, counts)
+    return pseudo_likelihood.score(coded, *pseudo_likelihood.fit(coded, counts=counts), counts)
 
 
 def op6_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:

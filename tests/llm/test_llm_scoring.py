@@ -1,5 +1,7 @@
 """Pseudo-likelihood and quality model: against plain versions, held-out rows and edge cases."""
 
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -162,3 +164,36 @@ def test_quality_edge_cases(spark):
     x, y = quality.training_rows(docs, labels, F.lit(True))
     assert sorted(y.tolist()) == [0.0, 1.0]  # 3 is labelled both ways
     assert len(quality.training_rows(docs, labels, F.lit(True), rows=1)[1]) == 1
+
+
+def test_steps_are_even_and_whole():
+    """No step is left with a few tokens, which costs as much as a full one."""
+    for n in (0, 1, lm.BATCH, 2 * lm.BATCH + 300, 5 * lm.BATCH - 1, 16 * lm.BATCH + 7):
+        found = lm.steps(n)
+        assert [i for s in found for i in range(s.start, s.stop)] == list(range(n))
+        sizes = [s.stop - s.start for s in found]
+        assert n < lm.BATCH or min(sizes) >= 2 / 3 * lm.BATCH and max(sizes) <= 1.5 * lm.BATCH
+
+
+def test_texts_coded_once_score_as_texts(spark, monkeypatch):
+    """Coded texts hold every token's id; fit and score read them in place of the texts. Words end where str.split ends them."""
+    texts = [" ".join(f"w{i * k % 1400}" for i in range(k, 800)) for k in range(1, 9)]
+    odd = "\x1ca b c\x85​d　a\n\n\ta "
+    docs = spark.createDataFrame([*enumerate(texts), (20, odd), (20, odd), (21, None), (22, ""), (None, "w1")], "doc_id long, text string")
+    counts = lm.counted(docs)
+    plain = Counter(w for r in docs.collect() for w in (r.text or "").split())
+    assert {r.word: r.n for r in counts.collect()} == plain
+    monkeypatch.setattr(lm, "SHARED", 100)
+    coded = lm.coded(docs, counts)
+    rows = coded.rows.collect()
+    assert len(rows) == docs.count() == len({r.row for r in rows})
+    by_id = {r.doc_id: r.text for r in docs.collect()}
+    for r in rows:
+        assert np.frombuffer(r.ids, lm._width(coded.words)).tolist() == coded.words.ids(by_id[r.doc_id]).tolist()
+        assert r.n_tokens == len((by_id[r.doc_id] or "").split())
+    words, network = lm.fit(coded, rounds=1, counts=counts)
+    key = lambda r: (r.doc_id is None, r.doc_id, r.n_tokens)
+    once = sorted(lm.score(coded, words, network, counts).collect(), key=key)
+    again = sorted(lm.score(docs, words, network, counts).collect(), key=key)
+    assert [key(r) for r in once] == [key(r) for r in again]
+    assert np.allclose([r.log_prob for r in once], [r.log_prob for r in again])
