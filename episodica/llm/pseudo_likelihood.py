@@ -267,7 +267,7 @@ class WindowNetwork:
             np.matmul(h[a:b].T, z[a:b], out=to_inner[g])
             np.matmul(z[a:b], turned[g], out=back[a:b])
         dh += back
-        h = h[:, :-1]
+        h = np.ascontiguousarray(h[:, :-1])
         dh *= 1 - h * h
 
         # One sum by id for each hidden unit; ``slot`` numbers the rows that are named.
@@ -276,10 +276,13 @@ class WindowNetwork:
             rows = np.flatnonzero(np.bincount(ids, minlength=len(table)))
             slot[rows] = np.arange(len(rows))
             ids = slot.take(ids)
-            slope = (np.stack([np.bincount(ids, unit, len(rows)) for unit in units]) / n).astype(np.float32).T
+            slope = np.empty((len(rows), HIDDEN), np.float32)
+            for k, unit in enumerate(units):
+                slope[:, k] = np.bincount(ids, unit, len(rows))
+            slope /= n
             own = sums.take(rows, axis=0) + slope * slope
             sums[rows] = own
-            table[rows] -= RATE * slope / (np.sqrt(own) + 1e-6)
+            table[rows] = table.take(rows, axis=0) - RATE * slope / (np.sqrt(own) + 1e-6)
         slopes = [dh.sum(axis=0), to_outer[:-1], to_outer[-1], to_inner[:, :-1], to_inner[:, -1]]
         for value, slope, sums in zip(self.parts()[1:], slopes, square[1:], strict=True):
             slope = slope / n
