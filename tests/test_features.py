@@ -199,3 +199,14 @@ def test_codes_are_numbered_once_for_all_splits(spark, capsys):
         found.explain()
         plan = capsys.readouterr().out
         assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_entries_get_their_names_without_a_shuffle(spark, capsys):
+    rows = spark.createDataFrame([(1, 1, "train", "x", 2.0), (2, 2, "test", "x", 0.0)], "person_id int, episode_id int, side string, c string, v double")
+    encoder = X.FeatureEncoder(["c"], ["v"]).fit(rows)
+    entries = X.vector_entries(encoder.transform(rows).cache(), encoder.names, ["person_id"])
+    assert sorted(tuple(r) for r in entries.collect()) == [(1, "c_x", 1.0), (1, "v", 2.0), (2, "c_x", 1.0)]
+    capsys.readouterr()
+    entries.explain()
+    plan = capsys.readouterr().out.split("InMemoryTableScan")[0]
+    assert "MapInArrow" in plan and "Join" not in plan and "Exchange" not in plan
